@@ -27,7 +27,7 @@ from ..functions.text import (
     skip_symbols,
     suffix_of,
 )
-from ..sources.staging import BROADCAST_BYTES, materialize, new_path
+from ..sources.staging import BROADCAST_BYTES, localize, materialize, new_path, row_bytes
 from .vocabulary import masked_words
 
 # Discounts for adjusted counts 1, 2 and 3 or more where an order's own
@@ -144,7 +144,8 @@ def _root(adjusted: DataFrame, contexts: DataFrame, by: Sequence[str]) -> DataFr
     """``s, b, low`` of the empty context: ``low`` is uniform over the types and <unk>."""
     types = adjusted.filter(F.col("n") == 1).groupBy(*by, "n").agg(F.count(F.lit(1)).alias("types"))
     low = types.select(*by, "n", (1 / (F.col("types") + 1)).alias("low"))
-    return contexts.filter(F.col("n") == 1).drop("ctx").join(low, [*by, "n"])
+    # bounded: one row per model
+    return contexts.filter(F.col("n") == 1).drop("ctx").join(F.broadcast(low), [*by, "n"])
 
 
 def _level(
@@ -153,7 +154,8 @@ def _level(
     """The grams of order ``n``: ``n, gram, p, low, b``, with ``low`` the probability of the
     gram's suffix and ``b`` the back-off weight of its context.
 
-    ``below`` is the root for unigrams, else the level of order ``n - 1``.
+    ``contexts`` are those of order ``n``. ``below`` is the root for unigrams, else the
+    level of order ``n - 1``.
     """
     of_order = terms.filter(F.col("n") == n)
     p = (F.col("rest") / F.col("s") + F.col("b") * F.col("low")).alias("p")
@@ -163,7 +165,7 @@ def _level(
         known = of_order.join(root, [*by, "n"]).select(*by, "n", "gram", p, "low", "b")
         mass = (F.col("b") * F.col("low")).alias("p")
         return known.unionByName(root.select(*by, "n", F.lit(UNK).alias("gram"), mass, "low", "b"))
-    context = contexts.filter(F.col("n") == n).select(*by, "ctx", "s", "b")
+    context = contexts.select(*by, "ctx", "s", "b")
     lower = below.select(*by, F.col("gram").alias("suffix"), F.col("p").alias("low"))
     joined = of_order.join(context, [*by, "ctx"]).join(lower, [*by, "suffix"])
     return joined.select(*by, "n", "gram", p, "low", "b")
@@ -179,7 +181,7 @@ def lm_probs(
     """Interpolated probabilities ``n, gram, p`` of all orders, ``<unk>`` included."""
     terms, level, levels = _terms(adjusted, disc, by), _root(adjusted, contexts, by), []
     for n in range(1, order + 1):
-        level = _level(n, terms, contexts, level, by)
+        level = _level(n, terms, contexts.filter(F.col("n") == n), level, by)
         levels.append(level.select(*by, "n", "gram", "p"))
     return reduce(DataFrame.unionByName, levels)
 
@@ -212,29 +214,40 @@ def train_lm(
         raise ValueError("order must be at least 2")
     sentences = training_sentences(segs, vocabulary, by, broadcast_bytes)
     counts = ngram_counts(sentences, order, by)
-    adjusted = materialize(adjusted_counts(counts, order, by), "adjusted")
-    disc = discounts(adjusted, fallback, by)
-    contexts = materialize(context_stats(adjusted, disc, by), "contexts")
+    adjusted = materialize(adjusted_counts(counts, order, by), "adjusted", ["n"])
+    disc = localize(discounts(adjusted, fallback, by))
+    contexts = materialize(context_stats(adjusted, disc, by), "contexts", ["n"])
+    # An order has no more contexts than grams, and as many rows in its level.
+    tally = adjusted.groupBy("n").agg(F.sum(row_bytes(adjusted)).alias("size")).collect()
+    small = {row["n"] for row in tally if row["size"] <= broadcast_bytes}
+
+    def contexts_of(n: int) -> DataFrame:
+        found = contexts.filter(F.col("n") == n)
+        return F.broadcast(found) if n in small else found
+
     terms, level = _terms(adjusted, disc, by), _root(adjusted, contexts, by)
     path = new_path(segs.sparkSession, "model")
     for n in range(1, order + 1):
         # Each order is written before the next one reads it, so that no plan holds more
         # than one step of the recursion.
-        backoff = contexts.filter(F.col("n") == n + 1).select(
-            *by, F.col("ctx").alias("gram"), F.log10("b").alias("bow")
-        )
-        rows = _with_backoff(n, _level(n, terms, contexts, level, by), backoff, order, by)
+        level = _level(n, terms, contexts_of(n), level, by)
+        rows = _with_backoff(n, level, contexts_of(n + 1), order, by)
         rows.write.parquet(f"{path}/level={n}")
         level = segs.sparkSession.read.schema(rows.schema).parquet(f"{path}/level={n}")
+        level = F.broadcast(level) if n in small else level
     model = segs.sparkSession.read.schema(rows.schema).parquet(path)
     return model.select(*by, "n", "gram", "logp", "bow", "weight")
 
 
 def _with_backoff(
-    n: int, level: DataFrame, backoff: DataFrame, order: int, by: Sequence[str]
+    n: int, level: DataFrame, contexts: DataFrame, order: int, by: Sequence[str]
 ) -> DataFrame:
-    """The model rows of one order; ``p`` stays beside them for the next order."""
+    """The model rows of one order; ``p`` stays beside them for the next order.
+
+    ``contexts`` are those of order ``n + 1``.
+    """
     none = F.lit(0.0)
+    backoff = contexts.select(*by, F.col("ctx").alias("gram"), F.log10("b").alias("bow"))
     if n == order:
         # grams of the highest order are never contexts
         level = level.withColumn("bow", none)

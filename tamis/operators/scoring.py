@@ -63,18 +63,22 @@ def joint_weights(
     on = [*by, "n", "gram"]
     models = {"s": specific, "g": general}
     unknown = unknown or {tag: _unknown_logp(model, by) for tag, model in models.items()}
-    half = {
-        tag: model.filter(F.col("gram") != UNK).select(*on, F.col("weight").alias(f"m_{tag}"))
-        for tag, model in models.items()
-    }
     word = (F.col("n") == 1) & (F.col("gram") != BOS)
+    tagged = [
+        model.filter(F.col("gram") != UNK).select(*on, "weight", F.lit(tag).alias("tag"))
+        for tag, model in models.items()
+    ]
+    # a gram occurs once per model, so the sum is that one weight, or null
+    both = tagged[0].unionByName(tagged[1]).groupBy(*on).agg(
+        *[F.sum(F.when(F.col("tag") == tag, F.col("weight"))).alias(f"m_{tag}") for tag in models]
+    )
     columns = []
     for tag in models:
         missing = F.when(word, unknown[tag]).otherwise(F.lit(0.0))
         columns.append(F.coalesce(F.col(f"m_{tag}"), missing).alias(f"w_{tag}"))
     for tag in models:
         columns.append((word & F.col(f"m_{tag}").isNotNull()).cast("int").alias(f"known_{tag}"))
-    return half["s"].join(half["g"], on, "full").select(*on, *columns)
+    return both.select(*on, *columns)
 
 
 def segment_endings(segs: DataFrame, order: int = ORDER, by: Sequence[str] = ()) -> DataFrame:

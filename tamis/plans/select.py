@@ -76,14 +76,14 @@ def train_models(
     )
 
 
-def score_pairs(
+def side_diffs(
     general: DataFrame,
     models: DataFrame,
     sides: tuple[str, ...],
     metric: str = "logprob",
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """``seg_id, score``: the sum over the sides of the rounded score differences."""
+    """``side, seg_id, diff``: the rounded score difference of every general segment."""
     specific, of_general = (
         models.filter(F.col("model") == name).drop("model") for name in ("specific", "general")
     )
@@ -95,9 +95,21 @@ def score_pairs(
         by=["side"],
         broadcast_bytes=settings.broadcast_bytes,
     )
-    diffs = score_diff(scores, metric, by=["side"])
+    return score_diff(scores, metric, by=["side"])
+
+
+def score_pairs(
+    general: DataFrame,
+    models: DataFrame,
+    sides: tuple[str, ...],
+    metric: str = "logprob",
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """``seg_id, score``: the differences of the sides added up."""
+    diffs = side_diffs(general, models, sides, metric, settings)
     if len(sides) == 1:
         return diffs.select("seg_id", F.col("diff").alias("score"))
+    # both sides of a pair in one narrow aggregation
     return diffs.groupBy("seg_id").agg(rounded(F.sum("diff")).alias("score"))
 
 

@@ -14,7 +14,9 @@ def _one_line(text: str) -> Column:
     return F.regexp_replace(F.col(text), "\r\n|\r|\n", " ")
 
 
-def _write_in_order(df: DataFrame, key: str, text: str, path: str, mode: str) -> None:
+def write_lines(df: DataFrame, key: str, text: str, path: str, mode: str = "error") -> None:
+    """Write one text column, one row per line, so that part files in name order are in the
+    order of ``key``."""
     ordered = df.select(key, _one_line(text).alias("value"))
     ordered = ordered.repartitionByRange(key).sortWithinPartitions(key)
     ordered.select("value").write.mode(mode).option("lineSep", "\n").text(path)
@@ -35,8 +37,8 @@ def write_ranked(
     ordered.write.mode(mode).parquet(table)
     # each side shuffles its own column only
     written = ranked.sparkSession.read.schema(ranked.schema).parquet(table)
-    _write_in_order(written, "rank", "src", f"{name}.{src_lang}", mode)
-    _write_in_order(written, "rank", "tgt", f"{name}.{tgt_lang}", mode)
+    write_lines(written, "rank", "src", f"{name}.{src_lang}", mode)
+    write_lines(written, "rank", "tgt", f"{name}.{tgt_lang}", mode)
 
 
 def write_filtered_text(
@@ -46,7 +48,7 @@ def write_filtered_text(
     corpus order, the first ``n`` only if given. Returns the number of lines."""
     if n is not None:
         segs = sample_first_n(segs, n)
-    _write_in_order(mask_oov(segs, vocabulary), "seg_id", "text", dest, mode)
+    write_lines(mask_oov(segs, vocabulary), "seg_id", "text", dest, mode)
     return segs.count()
 
 

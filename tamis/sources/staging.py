@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -43,12 +44,27 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a frame to the shared folder and return the frame that reads it back."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def localize(df: DataFrame) -> DataFrame:
+    """Work out a frame of a few rows once. Only for one row per model, or per model and
+    order."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """The size of a row in a broadcast table."""
+    size = F.lit(ROW_BYTES)
+    for field in df.schema.fields:
+        if field.dataType.typeName() == "string":
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return size
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -71,11 +87,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the rows of a written table fit the broadcast limit, by counting them."""
-    size = F.lit(ROW_BYTES)
-    for field in df.schema.fields:
-        if field.dataType.typeName() == "string":
-            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
-    total = df.agg(F.sum(size)).first()[0]
+    total = df.agg(F.sum(row_bytes(df))).first()[0]
     return (total or 0) <= limit
 
 
