@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.staging import BROADCAST_BYTES, materialize, rows_before, small_side
+from ..sources.staging import BROADCAST_BYTES, ROW_BYTES, fits_broadcast, materialize, rows_before
 
 # Bytes of text in one step of the sort path.
 CHUNK = 48
@@ -117,7 +117,9 @@ def _place_ties(
     groups = _tie_groups(keys).filter(F.col("ties") > 1).select(*on)
     tied = materialize(keys.join(groups, on, "left_semi"), "tied")
     order = W.partitionBy(*on).orderBy(*_directed(("src", "tgt"), ascending))
-    texts = pairs.select("seg_id", "src", "tgt").join(small_side(tied, broadcast_bytes), "seg_id")
+    if fits_broadcast(tied, broadcast_bytes):
+        tied = F.broadcast(tied)
+    texts = pairs.select("seg_id", "src", "tgt").join(tied, "seg_id")
     places = texts.select("seg_id", F.row_number().over(order).alias("place"))
     return keys.join(places, "seg_id", "left").withColumn("place", F.coalesce("place", F.lit(1)))
 
@@ -183,5 +185,19 @@ def rank(
     return attach_ranks(pairs, rank_ids(pairs, scores, ascending, tie_rows, broadcast_bytes))
 
 
-def attach_ranks(pairs: DataFrame, ranks: DataFrame) -> DataFrame:
+def attach_ranks(
+    pairs: DataFrame,
+    ranks: DataFrame,
+    top: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The ranked pairs, or the first ``top`` of them.
+
+    A rank occurs once, so ``top`` bounds the rows: few enough are sent to the texts, and
+    the texts are not shuffled at all.
+    """
+    if top is not None:
+        ranks = ranks.filter(F.col("rank") <= top)
+        if top * ROW_BYTES <= broadcast_bytes:
+            ranks = F.broadcast(ranks)
     return pairs.join(ranks, "seg_id").select("rank", "score", "seg_id", "src", "tgt")

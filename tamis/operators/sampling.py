@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Buckets per counting pass; each pass brings this many counts to the driver.
-BUCKETS = 1024
+BUCKETS = 1 << 16
 
 
 def nth_smallest(df: DataFrame, column: str, n: int) -> tuple[int, int] | None:

@@ -31,7 +31,7 @@ from ..functions.text import (
     perplexity,
     tokenize,
 )
-from ..sources.staging import BROADCAST_BYTES, fits_broadcast, materialize, small_side, spread
+from ..sources.staging import BROADCAST_BYTES, fits_broadcast, lookup, materialize, spread
 
 SCALE = 6
 
@@ -103,17 +103,26 @@ def model_lookup(
     """Every gram occurrence that a written weight table has, with its weights.
 
     No model gram contains an unknown word, so tokens are first looked up alone and only
-    those the models know go on to be expanded into grams.
+    those the models know go on to be expanded into grams. Words, the most frequent keys,
+    are few and fit a broadcast long after the longer grams no longer do.
     """
-    known = weights.filter(F.col("n") == 1).select(*by, F.col("gram").alias("t0"))
-    if fits_broadcast(weights, broadcast_bytes):
-        weights, known = F.broadcast(weights), F.broadcast(known)
-    else:
-        known = small_side(known, broadcast_bytes)
-    ends = segment_endings(segs, order, by).join(known, [*by, "t0"], "left_semi")
+    words = weights.filter(F.col("n") == 1)
+    whole = fits_broadcast(weights, broadcast_bytes)
+    known = whole or fits_broadcast(words, broadcast_bytes)
+    ends = lookup(
+        segment_endings(segs, order, by),
+        words.select(*by, F.col("gram").alias("t0")),
+        [*by, "t0"],
+        broadcast=known,
+    )
     grams = ends.select(*by, "seg_id", "positions", F.inline(grams_ending(order=order)))
-    grams = grams.filter(F.col("gram").isNotNull()).drop("n")
-    return grams.join(weights, [*by, "gram"])
+    grams = grams.filter(F.col("gram").isNotNull())
+    if whole or not known:
+        return lookup(grams.drop("n"), weights, [*by, "gram"], broadcast=whole)
+    short, long = F.col("n") == 1, F.col("n") > 1
+    return lookup(grams.filter(short).drop("n"), words, [*by, "gram"], broadcast=True).unionByName(
+        lookup(grams.filter(long).drop("n"), weights.filter(long), [*by, "gram"], broadcast=False)
+    )
 
 
 def score_lm(

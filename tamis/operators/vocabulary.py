@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import UNK, tokenize
-from ..sources.staging import BROADCAST_BYTES, materialize, small_side, spread
+from ..sources.staging import BROADCAST_BYTES, fits_broadcast, lookup, materialize, spread
 
 
 def count_segments(segs: DataFrame) -> DataFrame:
@@ -45,19 +45,29 @@ def vocab_stats(segs: DataFrame, min_count: int = 2) -> DataFrame:
     return rows.unionByName(types).agg(*[F.sum(c).alias(c) for c in ("rows", "types", "kept")])
 
 
-def vocab_lookup(segs: DataFrame, vocabulary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def vocab_lookup(
+    segs: DataFrame,
+    vocabulary: DataFrame,
+    by: Sequence[str] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Every token with its position and whether the vocabulary has it.
 
     A token frame ``seg_id, pos, tok, known``; a segment without tokens keeps one row, with
     a null token. ``vocabulary`` may carry a subset of ``by``.
     """
     on = [c for c in by if c in vocabulary.columns] + ["tok"]
+    words = materialize(vocabulary.select(*on), "vocab")
     tokens = spread(segs).select(*by, "seg_id", F.posexplode_outer(tokenize(F.col("text"))))
     tokens = tokens.withColumnRenamed("col", "tok")
-    found = vocabulary.select(*on, F.lit(True).alias("hit"))
-    return tokens.join(found, on, "left").select(
-        *by, "seg_id", "pos", "tok", F.coalesce("hit", F.lit(False)).alias("known")
+    found = lookup(
+        tokens,
+        words.withColumn("hit", F.lit(True)),
+        on,
+        "left",
+        broadcast=fits_broadcast(words, broadcast_bytes),
     )
+    return found.select(*by, "seg_id", "pos", "tok", F.coalesce("hit", F.lit(False)).alias("known"))
 
 
 def masked_words(
@@ -67,9 +77,7 @@ def masked_words(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``seg_id, words``: tokens in order, those outside the vocabulary as ``<unk>``."""
-    on = [c for c in by if c in vocabulary.columns] + ["tok"]
-    found = small_side(materialize(vocabulary.select(*on), "vocab"), broadcast_bytes)
-    tokens = vocab_lookup(segs, found, by)
+    tokens = vocab_lookup(segs, vocabulary, by, broadcast_bytes)
     word = F.when(F.col("known"), F.col("tok")).otherwise(F.lit(UNK))
     placed = F.when(F.col("tok").isNotNull(), F.struct("pos", word.alias("word")))
     # one group is one row of the input, split into its tokens

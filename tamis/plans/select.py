@@ -46,7 +46,7 @@ def train_models(
     general: DataFrame,
     specific: DataFrame,
     sides: tuple[str, ...],
-    sample: str = "first",
+    sample: str | DataFrame = "first",
     settings: Settings = Settings(),
 ) -> DataFrame:
     """Models of both corpora for all sides: a model frame with ``model`` and ``side``.
@@ -54,10 +54,12 @@ def train_models(
     The general model learns from as many segments as the specific corpus has; both see
     only the words that occur more than once in the specific corpus.
     """
-    n = count_segments(specific).first()["n"]
-    if sample == "first":
-        drawn = sample_first_n(general, n)
+    if isinstance(sample, DataFrame):
+        drawn = sample
+    elif sample == "first":
+        drawn = sample_first_n(general, count_segments(specific).first()["n"])
     elif sample == "random":
+        n = count_segments(specific).first()["n"]
         drawn = sample_random_n(general, n, settings.seed)
     else:
         raise ValueError(f"unknown sample: {sample!r}")
@@ -119,12 +121,14 @@ def select(
     rank_src: bool = True,
     rank_tgt: bool = True,
     metric: str = "logprob",
-    sample: str = "first",
+    sample: str | DataFrame = "first",
     settings: Settings = Settings(),
+    top: int | None = None,
 ) -> DataFrame:
     """Rank the general pairs, most in-domain first, without repeats.
 
-    Takes and returns pair frames; the result has ``rank, score, seg_id, src, tgt``.
+    Takes and returns pair frames; the result has ``rank, score, seg_id, src, tgt``, for the
+    ``top`` pairs only if given. ``sample`` is ``first``, ``random``, or the drawn pairs.
     """
     sides = rank_mode(rank_src, rank_tgt)
     models = train_models(general, specific, sides, sample, settings)
@@ -136,4 +140,4 @@ def select(
         tie_rows=settings.tie_rows,
         broadcast_bytes=settings.broadcast_bytes,
     )
-    return attach_ranks(general, ranks)
+    return attach_ranks(general, ranks, top, settings.broadcast_bytes)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .staging import rows_before
+from .staging import materialize, rows_before
 
 
 def project_text(df: DataFrame, src_col: str, tgt_col: str) -> DataFrame:
@@ -39,21 +39,27 @@ def _path_order() -> Column:
     return F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
 
 
+def _located(df: DataFrame) -> DataFrame:
+    return df.select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+
+
+def _file_offsets(df: DataFrame) -> DataFrame:
+    """``file, skip``: the rows in files that come before, from one count per file."""
+    sizes = _located(df).groupBy("file").agg(F.count(F.lit(1)).alias("size"))
+    return sizes.select("file", rows_before("size", _path_order()).alias("skip"))
+
+
 def seg_ids(df: DataFrame) -> DataFrame:
     """Add ``seg_id``, the row number from 0 over the files in path order.
 
-    ``df`` must come straight from a Parquet read. Row counts of the files, one row each,
-    are turned into offsets; the rows themselves are neither sorted nor shuffled.
+    ``df`` must come straight from a Parquet read. The rows are neither sorted nor shuffled.
     """
-    located = df.select(
-        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    )
-    sizes = located.groupBy("file").agg(F.count(F.lit(1)).alias("size"))
-    offsets = sizes.select("file", rows_before("size", _path_order()).alias("skip"))
     # bounded: one row per file, a list the driver holds anyway to plan the scan
-    return located.join(F.broadcast(offsets), "file").select(
-        (F.col("skip") + F.col("row")).alias("seg_id"), *df.columns
-    )
+    offsets = F.broadcast(_file_offsets(df))
+    number = (F.col("skip") + F.col("row")).alias("seg_id")
+    return _located(df).join(offsets, "file").select(number, *df.columns)
 
 
 def _has(spark: SparkSession, path: str) -> tuple[bool, bool]:
@@ -65,16 +71,56 @@ def _has(spark: SparkSession, path: str) -> tuple[bool, bool]:
     return folder, matches is not None and len(matches) > 0
 
 
-def read_corpus(spark: SparkSession, prefix: str, src_col: str, tgt_col: str) -> DataFrame:
-    """Parquet files as a pair frame: those directly in the folder ``prefix``, or else those
-    whose path starts with ``prefix``. No match is an error."""
+def _pattern(spark: SparkSession, prefix: str) -> str:
     if prefix.startswith("s3://"):
         prefix = "s3a://" + prefix.removeprefix("s3://")
     is_folder, _ = _has(spark, prefix)
     pattern = f"{prefix.rstrip('/')}/*.parquet" if is_folder else f"{prefix}*.parquet"
     if not _has(spark, pattern)[1]:
         raise FileNotFoundError(f"no Parquet files at {prefix}")
-    return project_text(seg_ids(spark.read.parquet(pattern)), src_col, tgt_col)
+    return pattern
+
+
+def read_corpus(spark: SparkSession, prefix: str, src_col: str, tgt_col: str) -> DataFrame:
+    """Parquet files as a pair frame: those directly in the folder ``prefix``, or else those
+    whose path starts with ``prefix``. No match is an error."""
+    return project_text(seg_ids(spark.read.parquet(_pattern(spark, prefix))), src_col, tgt_col)
+
+
+def read_corpus_head(
+    spark: SparkSession, prefix: str, src_col: str, tgt_col: str, n: int
+) -> DataFrame:
+    """The first ``n`` rows of a corpus, as ``sample_first_n`` of ``read_corpus`` gives them,
+    but reading only the files that hold them."""
+    corpus = spark.read.parquet(_pattern(spark, prefix))
+    files = _file_offsets(corpus).filter(F.col("skip") < n).select("file").collect()
+    # the first files in path order, so row numbers stay the same
+    head = corpus.filter(F.col("_metadata.file_path").isin([row["file"] for row in files]))
+    return project_text(seg_ids(head), src_col, tgt_col).filter(F.col("seg_id") < n)
+
+
+def _numbered(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("mark"),
+        F.col("value").alias("text"),
+    )
+    splits = lines.groupBy("file", "start").agg(
+        F.min("mark").alias("first"), F.count(F.lit(1)).alias("size")
+    )
+    splits = materialize(splits, "splits")
+    total = splits.agg(F.sum("size")).first()[0] or 0
+    skip = rows_before("size", _path_order(), F.col("start")).alias("skip")
+    offsets = splits.select("file", "start", "first", "size", skip)
+    # The two reads must cut the files alike; a change of cores in between can alter that.
+    place = F.col("mark") - F.col("first")
+    alike = (place >= 0) & (place < F.col("size"))
+    changed = F.raise_error(F.lit("the file splits changed between two reads")).cast("long")
+    number = F.when(alike, F.col("skip") + place).otherwise(changed).alias("seg_id")
+    # bounded: one row per file split, which the driver holds anyway to plan the scan
+    numbered = lines.join(F.broadcast(offsets), ["file", "start"], "left").select(number, "text")
+    return numbered, total
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -84,31 +130,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     its own split. Within a split the generated ids are consecutive, and splits are told
     apart by file and start offset.
     """
-    lines = (
-        spark.read.option("lineSep", "\n").text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("mark"),
-            F.col("value").alias("text"),
-        )
-    )
-    splits = lines.groupBy("file", "start").agg(
-        F.min("mark").alias("first"), F.count(F.lit(1)).alias("size")
-    )
-    offsets = splits.select(
-        "file", "start", "first", rows_before("size", _path_order(), F.col("start")).alias("skip")
-    )
-    # bounded: one row per file split, which the driver holds anyway to plan the scan
-    return lines.join(F.broadcast(offsets), ["file", "start"]).select(
-        (F.col("skip") + F.col("mark") - F.col("first")).alias("seg_id"), "text"
-    )
+    return _numbered(spark, path)[0]
 
 
 def read_parallel_text(spark: SparkSession, prefix: str, src_lang: str, tgt_lang: str) -> DataFrame:
     """Two line-aligned texts ``prefix.<lang>`` as a pair frame; unequal lengths are an error."""
-    src, tgt = (numbered_lines(spark, f"{prefix}.{lang}") for lang in (src_lang, tgt_lang))
-    counts = src.count(), tgt.count()
-    if counts[0] != counts[1]:
-        raise ValueError(f"{prefix}: {counts[0]} {src_lang} lines, {counts[1]} {tgt_lang} lines")
+    (src, n), (tgt, m) = (_numbered(spark, f"{prefix}.{lang}") for lang in (src_lang, tgt_lang))
+    if n != m:
+        raise ValueError(f"{prefix}: {n} {src_lang} lines, {m} {tgt_lang} lines")
     return src.withColumnRenamed("text", "src").join(tgt.withColumnRenamed("text", "tgt"), "seg_id")

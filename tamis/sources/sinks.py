@@ -22,23 +22,38 @@ def write_lines(df: DataFrame, key: str, text: str, path: str, mode: str = "erro
     ordered.select("value").write.mode(mode).option("lineSep", "\n").text(path)
 
 
+def _by_rank(df: DataFrame, rows: int, parts: int) -> DataFrame:
+    # Ranks run from 1 without gaps, so equal parts follow from the rank itself; a range
+    # partitioning would run everything below it once more to sample it.
+    part = F.expr(f"(rank - 1) div {max(1, -(-rows // parts))}").cast("int")
+    return df.repartitionById(parts, part).sortWithinPartitions("rank")
+
+
 def write_ranked(
-    ranked: DataFrame, dest: str, src_lang: str, tgt_lang: str, mode: str = "error"
+    ranked: DataFrame,
+    dest: str,
+    src_lang: str,
+    tgt_lang: str,
+    mode: str = "error",
+    parts: int | None = None,
 ) -> None:
     """Write ``general_corpus_sorted.<lang>`` for both sides, and the ranked rows as Parquet.
 
-    Part files in name order are in rank order, and the two sides are aligned line by line.
+    Part files in name order are in rank order, and the two sides are aligned line by line,
+    part by part.
     """
-    name = f"{dest.rstrip('/')}/general_corpus_sorted"
     if src_lang == tgt_lang:
         raise ValueError("the two sides need different names")
-    table = f"{name}.parquet"
-    ordered = ranked.repartitionByRange("rank").sortWithinPartitions("rank")
-    ordered.write.mode(mode).parquet(table)
-    # each side shuffles its own column only
-    written = ranked.sparkSession.read.schema(ranked.schema).parquet(table)
-    write_lines(written, "rank", "src", f"{name}.{src_lang}", mode)
-    write_lines(written, "rank", "tgt", f"{name}.{tgt_lang}", mode)
+    spark = ranked.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{dest.rstrip('/')}/general_corpus_sorted"
+    rows = ranked.agg(F.max("rank")).first()[0] or 0
+    _by_rank(ranked, rows, parts).write.mode(mode).parquet(f"{name}.parquet")
+    written = spark.read.schema(ranked.schema).parquet(f"{name}.parquet")
+    for side, lang in (("src", src_lang), ("tgt", tgt_lang)):
+        # each side shuffles its own column only
+        lines = _by_rank(written.select("rank", _one_line(side).alias("value")), rows, parts)
+        lines.select("value").write.mode(mode).option("lineSep", "\n").text(f"{name}.{lang}")
 
 
 def write_filtered_text(

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 256 * 1024 * 1024
 # Size up to which a corpus counts as small, per core.
 SPLIT_BYTES = 32 * 1024 * 1024
+# Parts into which the rows of one key are divided in a shuffled lookup.
+SALTS = 16
 # What a hashed row costs beside its strings: key and value headers, pointers, doubles.
 ROW_BYTES = 120
 
@@ -76,8 +78,8 @@ def spread(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
+    files = df._jdf.inputFiles()
+    if not 0 < len(files) < cores:
         return df
     hadoop = spark._jsc.hadoopConfiguration()
     paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)) for f in files]
@@ -91,13 +93,28 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (total or 0) <= limit
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A written table, hinted for broadcast if and only if its counted size allows it.
-
-    Beyond the limit the join is left to Spark: a shuffled join whose hot keys adaptive
-    execution splits.
+def lookup(
+    rows: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    *,
+    broadcast: bool,
+    spread_by: str = "seg_id",
+) -> DataFrame:
+    """Join many rows to a table that has each key once.
+
+    ``broadcast`` says that the table's counted size allows a broadcast. Otherwise both
+    sides are shuffled, and since a single word or gram may hold a large part of all rows,
+    every key is divided over ``SALTS`` partitions: rows by ``spread_by``, the table, the
+    much smaller side, by copies.
     """
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+    if broadcast:
+        return rows.join(F.broadcast(table), list(on), how)
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    copies = table.withColumn("salt", F.explode(salts))
+    salted = rows.withColumn("salt", F.pmod(F.hash(spread_by), F.lit(SALTS)))
+    return salted.join(copies, [*on, "salt"], how).drop("salt")
 
 
 def rows_before(size: str, *order: str | Column) -> Column:
