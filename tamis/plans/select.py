@@ -13,7 +13,7 @@ from ..operators.ranking import TIE_ROWS, attach_ranks, rank_ids
 from ..operators.sampling import sample_first_n, sample_random_n
 from ..operators.scoring import rounded, score_diff, score_lm
 from ..operators.vocabulary import count_segments, token_counts, vocab
-from ..sources.staging import BROADCAST_BYTES, materialize
+from ..sources.staging import BROADCAST_BYTES
 
 
 @dataclass(frozen=True)
@@ -132,7 +132,7 @@ def select(
     """
     sides = rank_mode(rank_src, rank_tgt)
     models = train_models(general, specific, sides, sample, settings)
-    scores = materialize(score_pairs(general, models, sides, metric, settings), "scores")
+    scores = score_pairs(general, models, sides, metric, settings)
     ranks = rank_ids(
         general,
         scores,

@@ -36,7 +36,7 @@ def rows_of(table) -> tuple[list[str], list[tuple]]:
 def difference(df, sql: str, connection) -> str | None:
     """What differs, or None."""
     ours = df.toArrow()
-    theirs = connection.execute(sql).to_arrow_table()
+    theirs = connection.sql(sql).to_arrow_table()
     names, rows = rows_of(ours)
     other_names, other_rows = rows_of(theirs)
     if names != other_names:
