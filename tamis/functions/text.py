@@ -13,6 +13,14 @@ WHITESPACE = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
 
+# A run of any other characters: the gaps between those above. The ranges at the end are
+# tried first and hold nearly all text; a negated class would take several times as long.
+TOKEN = (
+    r"[\x00-\x08\x0e-\x1b\x{86}-\x{9f}\x{1681}-\x{1fff}\x{200b}-\x{2027}"
+    r"\x{202a}-\x{202e}\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}"
+    r"\x{a1}-\x{167f}!-\x{84}]+"
+)
+
 # Sentence start, sentence end, unknown word.
 BOS, EOS, UNK = "<s>", "</s>", "<unk>"
 SYMBOLS = (BOS, EOS, UNK)
@@ -21,8 +29,8 @@ ORDER = 5
 
 
 def tokenize(text: Column) -> Column:
-    """Split on runs of Unicode whitespace; no empty tokens; null has no tokens."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITESPACE, -1), "")
+    """The runs of characters that are not Unicode whitespace; null has none."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
 def empty_to_unk(words: Column) -> Column:
@@ -63,19 +71,23 @@ def endings(tokens: Column, order: int = ORDER) -> Column:
     return F.arrays_zip(*[column.alias(f"t{k}") for k, column in enumerate(shifted)])
 
 
-def grams_ending(token: Callable[[str], Column] = F.col, order: int = ORDER) -> Column:
-    """The grams of order 1..``order`` that end at one token, from its ``endings`` fields.
+def gram_ending(n: int, token: Callable[[str], Column] = F.col) -> Column:
+    """The gram of order ``n`` that ends at one token, from its ``endings`` fields; null
+    where the sentence is too short, because ``concat`` is null as soon as a part is."""
+    parts = [token(f"t{n - 1}")]
+    for k in range(n - 2, -1, -1):
+        parts += [F.lit(" "), token(f"t{k}")]
+    return F.concat(*parts)
 
-    An array of structs ``n, gram``; ``gram`` is null where the sentence is too short,
-    because ``concat`` is null as soon as one of its parts is.
-    """
-    grams = []
-    for n in range(1, order + 1):
-        parts = [token(f"t{n - 1}")]
-        for k in range(n - 2, -1, -1):
-            parts += [F.lit(" "), token(f"t{k}")]
-        grams.append(F.struct(F.lit(n).alias("n"), F.concat(*parts).alias("gram")))
-    return F.array(*grams)
+
+def grams_ending(token: Callable[[str], Column] = F.col, order: int = ORDER) -> Column:
+    """The grams of order 1..``order`` that end at one token: structs ``n, gram``."""
+    return F.array(
+        *[
+            F.struct(F.lit(n).alias("n"), gram_ending(n, token).alias("gram"))
+            for n in range(1, order + 1)
+        ]
+    )
 
 
 def ngrams(tokens: Column, order: int = ORDER) -> Column:

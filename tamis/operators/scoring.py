@@ -15,6 +15,7 @@ sum is combined before the shuffle, and only one narrow row per segment is shuff
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from ..functions.text import (
     UNK,
     empty_to_unk,
     endings,
+    gram_ending,
     grams_ending,
     hide_symbols,
     pad_sentence,
@@ -125,6 +127,34 @@ def model_lookup(
     )
 
 
+def position_weights(
+    segs: DataFrame, weights: DataFrame, order: int = ORDER, by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per known token with the summed weights of the model grams that end there.
+
+    For a weight table whose counted size allows a broadcast. The table is probed order by
+    order without any shuffle. Since the models are closed under suffixes, the gram of the
+    next order is built and looked up only where the one before was found.
+    """
+    rows = segment_endings(segs, order, by)
+    names = {"w_s": [], "w_g": []}
+    for n in range(1, order + 1):
+        columns = [F.col(w).alias(f"{w}_{n}") for w in names]
+        columns += ["known_s", "known_g"] if n == 1 else []
+        table = weights.filter(F.col("n") == n).select(*by, "gram", *columns)
+        gram = gram_ending(n)
+        if n > 1:
+            gram = F.when(F.col(f"w_s_{n - 1}").isNotNull(), gram)
+        rows = rows.withColumn("gram", gram).join(
+            F.broadcast(table), [*by, "gram"], "inner" if n == 1 else "left"
+        )
+        rows = rows.drop("gram")
+        for name, found in names.items():
+            found.append(F.coalesce(f"{name}_{n}", F.lit(0.0)))
+    sums = [reduce(lambda x, y: x + y, found).alias(name) for name, found in names.items()]
+    return rows.select(*by, "seg_id", "positions", *sums, "known_s", "known_g")
+
+
 def score_lm(
     segs: DataFrame,
     specific: DataFrame,
@@ -139,8 +169,11 @@ def score_lm(
     models know the end symbol.
     """
     unknown = {"s": _unknown_logp(specific, by), "g": _unknown_logp(general, by)}
-    weights = materialize(joint_weights(specific, general, by, unknown), "weights")
-    found = model_lookup(segs, weights, order, by, broadcast_bytes)
+    weights = materialize(joint_weights(specific, general, by, unknown), "weights", ["n"])
+    if fits_broadcast(weights, broadcast_bytes):
+        found = position_weights(segs, weights, order, by).withColumn("n", F.lit(1))
+    else:
+        found = model_lookup(segs, weights, order, by, broadcast_bytes)
     # positions depends on seg_id alone
     sums = found.groupBy(*by, "seg_id", "positions").agg(
         F.sum("w_s").alias("sum_s"),

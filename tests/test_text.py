@@ -21,6 +21,15 @@ def test_whitespace_is_that_of_python(spark):
     assert {r["i"]: r["w"] for r in rows} == {i: t.split() for i, t in enumerate(texts)}
 
 
+def test_token_class_has_every_other_character():
+    import regex
+
+    pattern = regex.sub(r"\\x\{(\w+)\}", lambda m: f"\\U{int(m[1], 16):08x}", X.TOKEN)
+    token = regex.compile(pattern)
+    for code in range(sys.maxunicode + 1):
+        assert bool(token.fullmatch(chr(code))) != chr(code).isspace(), hex(code)
+
+
 @pytest.mark.parametrize("text", [None, "", "   ", "\n\t", " a  b ", "　a ", "x"])
 def test_tokenize_edges(spark, text):
     assert one(spark, text, lambda w: w) == (text or "").split()
