@@ -75,15 +75,19 @@ def in_order(rows: DataFrame, by: Sequence[str | Column], name: str) -> DataFram
 
 
 def totals_before(placed: DataFrame, **sums: str | Column) -> DataFrame:
-    """One row per range: ``PART`` and, for each name, the total over all ranges before it.
+    """One row per range: ``PART`` and, for each name, the total over all ranges before it;
+    under ``all_`` and the name, the total over all ranges.
 
-    The window runs over one row per range, of which there are at most as many as shuffle
+    The windows run over one row per range, of which there are at most as many as shuffle
     partitions.
     """
     before = W.orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    every = W.orderBy(PART).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     totals = placed.groupBy(PART).agg(
         *[F.sum(F.lit(1) if of == "*" else of).cast("long").alias(name) for name, of in sums.items()]
     )
     return totals.select(
-        PART, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums]
+        PART,
+        *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums],
+        *[F.sum(name).over(every).alias(f"all_{name}") for name in sums],
     )

@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tamis.llm.decontamination import op2_decontamination
+from tamis.llm.mixing import op10_mixing
+from tamis.llm.secrets import op9_secrets
 from tamis.llm.sharding import op1_sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,4 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": lambda s, d: op1_sharding(table(s, d, "documents")),
+    "op2_decontamination": lambda s, d: op2_decontamination(
+        table(s, d, "documents"), table(s, d, "benchmark")
+    ),
+    "op9_secrets": lambda s, d: op9_secrets(table(s, d, "documents")),
+    "op10_mixing": lambda s, d: op10_mixing(table(s, d, "documents")),
 }

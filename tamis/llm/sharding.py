@@ -31,14 +31,12 @@ def shard_by_bytes(
     """
     placed = in_order(rows, list(order), "shard-order")
     before = totals_before(placed, __bytes=size, __rows="*")
-    total = placed.agg(F.coalesce(F.sum(size), F.lit(0)).alias("__total"))
     running = W.partitionBy(PART).orderBy(SEQ).rowsBetween(W.unboundedPreceding, -1)
     inside = F.coalesce(F.sum(size).over(running), F.lit(0))
-    middle = "(2 * (__bytes + __inside) + {0}) * {1} div (2 * __total)".format(f"`{size}`", shards)
+    middle = f"(2 * (__bytes + __inside) + `{size}`) * {shards} div (2 * all___bytes)"
     numbered = (
         placed.withColumn("__inside", inside)
         .join(before, PART)
-        .join(F.broadcast(total))  # one row
         .withColumn("shard", F.expr(f"least({middle}, {shards - 1})").cast("int"))
         .withColumn("__index", F.col("__rows") + F.col(SEQ))
         .select(*rows.columns, "shard", "__index")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Words after lower-casing A-Z: runs of digits, letters and anything beyond ASCII.
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 # The table of the reflected polynomial 0xEDB88320, and a fold over the bytes of a string.
 CRC_TABLE = """
 crc_steps AS (
@@ -43,4 +46,86 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM cut
 """
 
-SQL: dict[str, str] = {"op1_sharding": OP1}
+OP2 = f"""
+WITH item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{ALNUM}') AS w
+  FROM benchmark WHERE text IS NOT NULL
+),
+sized AS (SELECT *, least(10, len(w)) AS n FROM item_words WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)
+),
+words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS w
+  FROM documents
+),
+places AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM words, (SELECT DISTINCT n FROM sized) WHERE len(w) >= n)
+),
+found AS (SELECT r, i, n, item FROM places JOIN windows USING (n, win)),
+hit AS (
+  SELECT r, count(DISTINCT k) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + n)) AS k FROM found) GROUP BY r
+),
+items AS (
+  SELECT r, count(DISTINCT item) AS n_items,
+         array_to_string(list_sort(list(DISTINCT item)), ',') AS ids
+  FROM found GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
+def op9() -> str:
+    from tamis.llm.secrets import BASE_RULES, MORE_RULES
+
+    rules = []
+    for rank, rule in enumerate(BASE_RULES + MORE_RULES):
+        pattern = rule.pattern.replace("'", "''")
+        rules.append(f"""
+  SELECT r, {rank} AS rank, '{rule.kind}' AS kind, {rule.least} AS least,
+         regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS v,
+         string_split_regex(t, '{pattern}') AS p
+  FROM docs""")
+    every = " UNION ALL ".join(rules)
+    base = ", ".join(f"'{rule.kind}'" for rule in BASE_RULES)
+    counts = ", ".join(
+        f"coalesce(count(*) FILTER (kind = '{rule.kind}'), 0)::BIGINT AS n_{rule.kind}"
+        for rule in BASE_RULES
+    )
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+matched AS ({every}
+),
+listed AS (
+  SELECT r, rank, kind, least, i, length(m[i]) AS size, length(v[i]) AS tested, length(p[i]) AS gap
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM matched WHERE len(m) > 0)
+),
+placed AS (
+  SELECT *, sum(gap + size) OVER (PARTITION BY r, rank ORDER BY i) AS stop FROM listed
+),
+spans AS (
+  SELECT r, rank, kind, stop - size AS start, kind || ':' || (stop - size) || ':' || stop AS place
+  FROM placed WHERE tested >= least
+),
+summed AS (
+  SELECT r, {counts},
+         string_agg(place, ',' ORDER BY start, rank) FILTER (kind IN ({base})) AS base,
+         string_agg(place, ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM docs LEFT JOIN summed USING (r)
+"""
+
+
+SQL: dict[str, str] = {"op1_sharding": OP1, "op2_decontamination": OP2, "op9_secrets": op9()}
