@@ -37,7 +37,7 @@ def utf8_crc32(text: Column) -> Column:
 
 def fold_of(doc_id: Column, folds: int = 5) -> Column:
     """A fixed fold per document: CRC-32 of the id as text. A null id is in no fold (-1)."""
-    return F.coalesce(F.pmod(utf8_crc32(doc_id.cast("string")), F.lit(folds)), F.lit(-1))
+    return F.coalesce(F.pmod(utf8_crc32(doc_id.cast("string")), F.lit(folds)).cast("int"), F.lit(-1))
 
 
 def stored(docs: DataFrame, *columns: str) -> DataFrame:

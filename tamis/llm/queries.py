@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tamis.llm.decontamination import op2_decontamination
+from tamis.llm.jaccard_join import op5_jaccard_join
+from tamis.llm.licenses import op4_licenses
+from tamis.llm.lm_scoring import op8_lm
 from tamis.llm.mixing import op10_mixing
+from tamis.llm.quality import op6_quality
 from tamis.llm.secrets import op9_secrets
 from tamis.llm.sharding import op1_sharding
+from tamis.llm.urls import op7_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +28,11 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": lambda s, d: op2_decontamination(
         table(s, d, "documents"), table(s, d, "benchmark")
     ),
+    "op4_licenses": lambda s, d: op4_licenses(table(s, d, "documents")),
+    "op5_jaccard_join": lambda s, d: op5_jaccard_join(table(s, d, "documents")),
+    "op6_quality": lambda s, d: op6_quality(table(s, d, "documents"), table(s, d, "labels")),
+    "op7_urls": lambda s, d: op7_urls(table(s, d, "pages")),
+    "op8_lm": lambda s, d: op8_lm(table(s, d, "documents")),
     "op9_secrets": lambda s, d: op9_secrets(table(s, d, "documents")),
     "op10_mixing": lambda s, d: op10_mixing(table(s, d, "documents")),
 }

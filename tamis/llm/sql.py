@@ -128,4 +128,105 @@ FROM docs LEFT JOIN summed USING (r)
 """
 
 
-SQL: dict[str, str] = {"op1_sharding": OP1, "op2_decontamination": OP2, "op9_secrets": op9()}
+def op7() -> str:
+    from tamis.llm import urls as U
+
+    ordered = sorted(U.RULES, key=lambda r: (-len(r.name), r.name))
+
+    def rule(of: str) -> str:
+        cases = " ".join(
+            f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+            f" THEN '{getattr(r, of)}'"
+            for r in ordered
+        )
+        return f"CASE {cases} END"
+
+    m, letters = U.SMOOTHING, 1 / U.ALPHABET
+    fold = f"""(SELECT {crc32("CAST(page_id AS VARCHAR)", "t")} % 5 FROM crc_table)"""
+    levels = ""
+    for n in range(1, U.GRAM + 1):
+        shorter = (
+            f"(SELECT {letters} AS sa, {letters} AS sr)"
+            if n == 1
+            else f"(SELECT gram AS suffix, pa AS sa, pr AS sr FROM level{n - 1}) ON substring(gram, 2) = suffix"
+        )
+        levels += f""",
+level{n} AS MATERIALIZED (
+  SELECT gram, ca, cr, sa, sr, (a + {m} * sa) / (ca + {m}) AS pa, (r + {m} * sr) / (cr + {m}) AS pr
+  FROM counted JOIN contexts ON left(gram, length(gram) - 1) = context
+  {"CROSS JOIN" if n == 1 else "JOIN"} {shorter}
+  WHERE length(gram) = {n}
+)"""
+    every = " UNION ALL ".join(
+        f"""SELECT gram, ln(pa / ({m} / (ca + {m}) * sa)) - ln(pr / ({m} / (cr + {m}) * sr)) AS w
+  FROM level{n}"""
+        for n in range(1, U.GRAM + 1)
+    )
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+split AS (
+  SELECT row_number() OVER () AS uid, page_id,
+         CASE WHEN contains(url, '://') THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM (SELECT page_id, coalesce(url, '') AS url FROM pages)
+),
+parts AS (
+  SELECT uid, page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM split
+),
+rows AS MATERIALIZED (
+  SELECT *, {rule("name")} AS rule, {rule("verdict")} AS decided, {fold} AS fold,
+         chr(2) || host || path || chr(3) AS marked
+  FROM parts
+),
+ends AS (SELECT *, unnest(range(1, length(marked) + 1)) AS e FROM rows),
+grams AS MATERIALIZED (
+  SELECT uid, decided, fold, substring(marked, e - n + 1, n) AS gram
+  FROM ends, (SELECT unnest(range(1, {U.GRAM} + 1)) AS n) WHERE e >= n
+),
+counted AS MATERIALIZED (
+  SELECT gram, count(*) FILTER (decided = 'allow') AS a, count(*) FILTER (decided = 'block') AS r
+  FROM grams WHERE decided IS NOT NULL AND fold <> {U.CALIBRATION} GROUP BY gram
+),
+contexts AS MATERIALIZED (
+  SELECT left(gram, length(gram) - 1) AS context, sum(a) AS ca, sum(r) AS cr FROM counted GROUP BY 1
+){levels},
+weights AS MATERIALIZED (
+  SELECT gram, sum(round(w * {U.MILLION})::BIGINT) AS weight FROM (
+    {every}
+    UNION ALL
+    SELECT context, ln({m} / (ca + {m})) - ln({m} / (cr + {m})) FROM contexts
+  ) GROUP BY gram
+),
+scored AS MATERIALIZED (
+  SELECT uid, page_id, host, path, rule, decided, fold,
+         greatest(least(floor((coalesce(s, 0) + n * coalesce(base, 0)) / n / {U.BIN}), {U.WIDEST}), -{U.WIDEST})::INTEGER
+           AS bin
+  FROM (SELECT *, length(marked) AS n FROM rows)
+  LEFT JOIN (SELECT uid, sum(weight) AS s FROM grams JOIN weights USING (gram) GROUP BY uid) USING (uid)
+  CROSS JOIN (SELECT max(weight) AS base FROM weights WHERE gram = '')
+),
+bins AS (
+  SELECT bin, count(*) FILTER (decided = 'allow') AS good, count(*) FILTER (decided = 'block') AS bad
+  FROM scored WHERE decided IS NOT NULL AND fold = {U.CALIBRATION} GROUP BY bin
+),
+errors AS (
+  SELECT bin, (sum(good) OVER (ORDER BY bin) - good) * sum(bad) OVER ()
+            + (sum(bad) OVER () - sum(bad) OVER (ORDER BY bin) + bad) * sum(good) OVER () AS error,
+         sum(good) OVER () AS goods, sum(bad) OVER () AS bads
+  FROM bins
+),
+cut AS (SELECT first(bin ORDER BY error, bin) AS cut FROM errors WHERE goods > 0 AND bads > 0)
+SELECT page_id, host, path, rule,
+       coalesce(decided, CASE WHEN cut IS NULL OR bin >= cut THEN 'allow' ELSE 'block' END) AS verdict
+FROM scored CROSS JOIN cut
+"""
+
+
+SQL: dict[str, str] = {
+    "op1_sharding": OP1,
+    "op2_decontamination": OP2,
+    "op7_urls": op7(),
+    "op9_secrets": op9(),
+}
