@@ -51,8 +51,9 @@ BASE_RULES = (
         group=2,
         least=8,
     ),
-    Rule("access", "AKIA[A-Z0-9]+", least=16),
-    Rule("hex", "[0-9a-f]+", least=32),
+    # Both take up all that follows, so the least length can stand in the expression: 16 and 32.
+    Rule("access", "AKIA[A-Z0-9]{12,}"),
+    Rule("hex", "[0-9a-f]{32,}"),
 )
 MORE_RULES = (
     Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
