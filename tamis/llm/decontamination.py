@@ -168,14 +168,18 @@ def find_passages(
             names = batch.schema.names[: len(kept)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, kind)], [*names, "passages"])
 
-    out = inner.mapInArrow(scan, schema)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "passages")
+    return inner.mapInArrow(scan, schema).select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "passages"
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark passage, with their columns as they were."""
-    found = find_passages(docs, benchmark)
-    return found.where(F.col("passages.n_hit") == 0).select(*docs.columns)
+    names = docs.columns
+    inner = docs.select(*[F.col(c).alias(f"d{i}") for i, c in enumerate(names)])
+    found = find_passages(inner, benchmark, text=f"d{names.index('text')}")
+    clean = found.where(F.col("passages.n_hit") == 0)
+    return clean.select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(names)])
 
 
 def op2_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tamis.llm.decontamination import op2_decontamination
+from tamis.llm.fingerprints import op3_fingerprints
 from tamis.llm.jaccard_join import op5_jaccard_join
 from tamis.llm.licenses import op4_licenses
 from tamis.llm.lm_scoring import op8_lm
@@ -28,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": lambda s, d: op2_decontamination(
         table(s, d, "documents"), table(s, d, "benchmark")
     ),
+    "op3_fingerprints": lambda s, d: op3_fingerprints(table(s, d, "documents")),
     "op4_licenses": lambda s, d: op4_licenses(table(s, d, "documents")),
     "op5_jaccard_join": lambda s, d: op5_jaccard_join(table(s, d, "documents")),
     "op6_quality": lambda s, d: op6_quality(table(s, d, "documents"), table(s, d, "labels")),
@@ -35,4 +38,5 @@ QUERIES: dict[str, Query] = {
     "op8_lm": lambda s, d: op8_lm(table(s, d, "documents")),
     "op9_secrets": lambda s, d: op9_secrets(table(s, d, "documents")),
     "op10_mixing": lambda s, d: op10_mixing(table(s, d, "documents")),
+    "pipeline": corpus_pipeline.run,
 }

@@ -224,9 +224,103 @@ FROM scored CROSS JOIN cut
 """
 
 
+def op3() -> str:
+    from tamis.llm.fingerprints import ANCHORS, LEAST, SEPARATORS
+
+    anchors = ", ".join(f"'{a}'" for a in ANCHORS)
+    band = f"floor(ln(greatest(k, 1)) / ln(1 / {LEAST}))"
+    other = band.replace("greatest(k", "greatest(j")
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+docs AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         coalesce(lead(doc_id) OVER (ORDER BY doc_id), first(doc_id) OVER (ORDER BY doc_id)) AS next_id
+  FROM documents
+),
+edited AS (
+  SELECT d.doc_id, d.next_id, d.text,
+         substring(d.text, 1, length(d.text) - length(d.text) // 4)
+           || substring(coalesce(n.text, ''), 1, length(d.text) // 4) AS edited
+  FROM docs d JOIN docs n ON n.doc_id = d.next_id
+),
+variants AS (
+  SELECT doc_id, kind,
+         regexp_replace(' ' || translate(t, '{UPPER}', '{LOWER}') || ' ', '{SEPARATORS}', ' ', 'g') AS norm
+  FROM (SELECT doc_id, 'own' AS kind, text AS t FROM edited
+        UNION ALL SELECT doc_id, 'edited', edited FROM edited)
+),
+words AS (
+  SELECT doc_id, kind, unnest(string_split(trim(norm, ' '), ' ')) AS w,
+         generate_subscripts(string_split(trim(norm, ' '), ' '), 1) AS i
+  FROM variants WHERE norm <> ' '
+),
+marked AS (
+  SELECT *, w IN ({anchors}) AS anchor,
+         lag(w) OVER (PARTITION BY doc_id, kind ORDER BY i) AS before
+  FROM words
+),
+content AS (
+  SELECT *, lead(w) OVER (PARTITION BY doc_id, kind ORDER BY i) AS next FROM marked WHERE NOT anchor
+),
+pairs AS (
+  SELECT doc_id, kind, coalesce(before IN ({anchors}), false) AS anchored, before, w, next
+  FROM content WHERE next IS NOT NULL
+),
+chosen AS (
+  SELECT doc_id, kind, before || ' ' || w || ' ' || next || ' ' AS s FROM pairs WHERE anchored
+  UNION ALL
+  SELECT doc_id, kind, w || ' ' || next || ' ' FROM pairs
+  WHERE (doc_id, kind) NOT IN (SELECT (doc_id, kind) FROM pairs WHERE anchored)
+  UNION ALL
+  SELECT doc_id, kind, norm FROM variants
+  WHERE norm <> ' ' AND (doc_id, kind) NOT IN (SELECT (doc_id, kind) FROM pairs)
+),
+distinct_s AS (SELECT DISTINCT s FROM chosen),
+coded AS (SELECT s, {crc32("s", "t")} AS code FROM distinct_s, crc_table),
+codes AS MATERIALIZED (SELECT DISTINCT doc_id, kind, code FROM chosen JOIN coded USING (s)),
+prints AS (
+  SELECT doc_id, kind, count(code) AS k,
+         coalesce(string_agg(printf('%08x', code), '' ORDER BY code), '') AS print
+  FROM variants LEFT JOIN codes USING (doc_id, kind) GROUP BY doc_id, kind
+),
+compared AS (
+  SELECT doc_id, doc_id AS other, 'edited' AS kind FROM edited
+  UNION ALL SELECT doc_id, next_id, 'own' FROM edited
+),
+common AS (
+  SELECT c.doc_id, c.other, c.kind, count(*) AS shared
+  FROM compared c JOIN codes a ON a.doc_id = c.doc_id AND a.kind = 'own'
+  JOIN codes b ON b.doc_id = c.other AND b.kind = c.kind AND b.code = a.code
+  GROUP BY ALL
+),
+near AS (
+  SELECT c.doc_id, c.kind,
+         CASE WHEN greatest(a.k, b.k) = 0 THEN 1.0::DOUBLE
+              WHEN abs({band.replace("k, 1", "a.k, 1")} - {other.replace("j, 1", "b.k, 1")}) > 1
+                OR least(a.k, b.k) < greatest(a.k, b.k) * {LEAST}::DOUBLE THEN 0.0::DOUBLE
+              ELSE coalesce(shared, 0)::DOUBLE / (a.k + b.k - coalesce(shared, 0))::DOUBLE END AS likeness
+  FROM compared c
+  JOIN prints a ON a.doc_id = c.doc_id AND a.kind = 'own'
+  JOIN prints b ON b.doc_id = c.other AND b.kind = c.kind
+  LEFT JOIN common m ON m.doc_id = c.doc_id AND m.other = c.other AND m.kind = c.kind
+)
+SELECT e.doc_id, length(e.text)::BIGINT AS n_chars, sha256(e.edited) AS edited_sha256,
+       o.print AS fingerprint, x.print AS edited_fingerprint,
+       ne.likeness AS near_edited, nn.likeness AS near_next
+FROM edited e
+JOIN prints o ON o.doc_id = e.doc_id AND o.kind = 'own'
+JOIN prints x ON x.doc_id = e.doc_id AND x.kind = 'edited'
+JOIN near ne ON ne.doc_id = e.doc_id AND ne.kind = 'edited'
+JOIN near nn ON nn.doc_id = e.doc_id AND nn.kind = 'own'
+"""
+
+
+# op4, op5, op6, op8 and the pipeline have no SQL: an automaton, components, learned models. op10
+# has none either, as a schedule goes slot by slot. They are tested against brute force.
 SQL: dict[str, str] = {
     "op1_sharding": OP1,
     "op2_decontamination": OP2,
+    "op3_fingerprints": op3(),
     "op7_urls": op7(),
     "op9_secrets": op9(),
 }
