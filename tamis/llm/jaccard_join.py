@@ -19,9 +19,11 @@ of prefix filtering. Passages that many documents hold make frequent blocks and
 To be in one band with each partner, a document whose partners may be large enough for the next
 band is sketched there too.
 
-**Links.** Candidates are verified on their shingles. Only components are wanted, so members of
-a block are first compared with one of them and joined; then only pairs still in different
-components are compared, all of them, until none is left.
+**Links.** A pair of candidates must agree in size and in a second sketch of 512 bits, whose
+Hamming distance bounds the symmetric difference from below; the join tests that, so that only
+such pairs come out of it. They are verified on their shingles. Only components are wanted, so
+members of a block are first compared with one of them and what is linked is joined; then only
+pairs still in different components are compared, all of them.
 """
 
 from __future__ import annotations
@@ -35,35 +37,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tamis.llm.common import FILE, ROW, stored
-from tamis.llm.words import spaced_words, texts
+from tamis.llm.common import FILE, ROW, in_files, stored
+from tamis.llm.words import texts
 from tamis.sources.staging import fits_broadcast, materialize
 
 WORDS = 5
 PERCENT = 80  # similarity of a link, in hundredths
 SMALL = 64  # sets below this size are their own sketch: every shingle is a block
 PER_BLOCK = 3  # shingles per block, at the upper end of a band
-REMEMBERED = 1 << 20  # distinct words whose hashes a task remembers
 # Counted size up to which ids are broadcast to filter texts; beyond it they are shuffled.
 ID_BYTES = 64 * 1024 * 1024
-# Pairs per row of the candidate table beyond which another round of stars comes first.
-PAIRS_PER_ROW = 4
+# Comparisons of sketches per row of the candidate table beyond which another round of stars
+# comes first, as long as that helps. These only set the order of the work.
+PAIRS_PER_ROW = 1000
 STAR_ROUNDS = 6
+LINKS_PER_ROW = 0.01  # links found in a round beyond which the next is one of stars again
+LONGS = 8  # of the second sketch
 
-_WORD_FACTORS = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
-    np.uint64,
-)
-
-
-class WordHashes(dict):
-    """Hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
+FACTOR = np.uint64(0x9E3779B97F4A7C15)  # any odd number with its bits well spread
+PIECE = 1 << 22  # bytes of text whose words are hashed at once
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -73,19 +65,50 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, hashes: WordHashes, size: int = WORDS) -> np.ndarray:
-    """The distinct shingles of a text as sorted 64-bit hashes."""
-    words = spaced_words(text)
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < size:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(words) - size + 1
-    total = np.zeros(n, np.uint64)
-    for k in range(size):
-        total = mixed(total + h[k : k + n] * _WORD_FACTORS[k % len(_WORD_FACTORS)])
-    return np.unique(total)
+_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * FACTOR)  # of the 256 bytes
+_IN_WORD = np.array([b not in b" \t\n\x0b\x0c\r" for b in range(256)])
+_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+
+
+def _powers(n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.full(n, FACTOR))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of every word (A-Z lower-cased, cut at white space), in order: the sum of
+    its bytes' values, each times a power for its place."""
+    data = text.encode().translate(_LOWER)
+    out, at = [], 0
+    while at < len(data):
+        stop = at + PIECE
+        while stop < len(data) and _IN_WORD[data[stop]]:  # to the end of a word
+            stop += 1
+        octets = np.frombuffer(data, np.uint8, min(stop, len(data)) - at, at)
+        at = stop
+        inside = _IN_WORD[octets]
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        lengths = edges[1::2] - edges[::2]
+        if len(lengths):
+            first = np.cumsum(lengths) - lengths
+            place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+            values = _VALUES[octets[inside]] * _powers(int(lengths.max()))[place]
+            out.append(mixed(np.add.reduceat(values, first)))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
+    """The distinct shingles of a text as sorted 64-bit hashes; fewer words are one shingle."""
+    h = word_hashes(text or "")
+    if not len(h):
+        return h
+    size = min(size, len(h))
+    n = len(h) - size + 1
+    total = np.full(n, size, np.uint64)
+    for k in range(size):  # a polynomial of the words' hashes
+        total *= FACTOR
+        total += h[k : k + n]
+    total = np.sort(mixed(total))
+    return total[np.concatenate([[True], total[1:] != total[:-1]])]
 
 
 def links(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -115,20 +138,28 @@ def bands(n: int, percent: int = PERCENT) -> list[int]:
 
 
 def sketch(found: np.ndarray, band: int) -> np.ndarray:
-    """The keys of the blocks that are not empty. A key tells band, block and content."""
+    """The keys of the blocks that are not empty. A key tells band, block and content.
+
+    ``found`` is sorted."""
     salt = mixed(np.array([band], np.uint64))[0]
     if 1 << band <= SMALL:
         return mixed(found ^ salt)
+    # The upper half of a hash picks the block, so sorted shingles lie block by block.
     blocks = (1 << band) // PER_BLOCK + 1
-    at = (mixed(found) >> np.uint64(11)) % np.uint64(blocks)
-    order = np.argsort(at, kind="stable")
-    at, bits = at[order], mixed(found + salt)[order]
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    content = np.bitwise_xor.reduceat(bits, first)
+    at = ((found >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+    first = np.flatnonzero(np.diff(at, prepend=np.uint64(blocks)))
+    content = np.bitwise_xor.reduceat(found, first)
     filled = content != 0
     return mixed(content[filled] ^ mixed(at[first][filled] + salt))
 
 
+def parity_bits(found: np.ndarray) -> np.ndarray:
+    """The second sketch: every shingle flips one of ``64 * LONGS`` bits."""
+    at = (found & np.uint64(64 * LONGS - 1)).astype(np.int64)
+    odd = np.bincount(at, minlength=64 * LONGS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
@@ -139,11 +170,10 @@ def measured(rows: DataFrame, percent: int) -> DataFrame:
     keep = [c for c in rows.columns if c != "t"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             out = []
             for value in texts(batch, "t"):
-                found = shingles(value, hashes)
+                found = shingles(value)
                 n = len(found)
                 need: list[int | None] = [None, None]
                 for k, band in enumerate(bands(n, percent) if n else []):
@@ -165,11 +195,11 @@ def block_keys(rows: DataFrame, percent: int) -> DataFrame:
     the sketch is that of the next band. A task emits a set once, however often it meets it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
+        seen: set[int] = set()
         for batch in batches:
             keys, members = [], []
             for value in texts(batch, "t"):
-                found = shingles(value, hashes)
+                found = shingles(value)
                 if not len(found) or (node := node_of(found)) in seen:
                     continue
                 seen.add(node)
@@ -182,12 +212,13 @@ def block_keys(rows: DataFrame, percent: int) -> DataFrame:
                     ["key", "member"],
                 )
 
-    return rows.select("t").mapInArrow(run, "key long, member long")
+    return rows.select("t").mapInArrow(run, "key long not null, member long not null")
 
 
 def shared_blocks(keys: DataFrame) -> DataFrame:
     """``key``, ``member``, ``df`` of the blocks that several nodes have. The rows are shuffled by
-    key once; count and lookup both stream over that."""
+    key once; count and lookup both stream over that. (The columns are declared not null: else
+    a filter is inferred for one of the two uses, and the shuffle is not shared.)"""
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = keys.repartition(n, "key")
     counts = (
@@ -220,6 +251,35 @@ def searched_blocks(shared: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
+def candidate_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node``, ``n``, ``bits`` (second sketch) and ``t`` of the rows named by ``wanted``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(value) for value in texts(batch, "t")]
+            n = pa.array([len(found) for found in sets], pa.int64())
+            bits = pa.array([parity_bits(found) for found in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), n, bits, batch.column("t")], ["node", "n", "bits", "t"]
+            )
+
+    found = rows.join(wanted, [FILE, ROW]).select("node", "t")
+    return found.mapInArrow(run, "node long, n long, bits array<bigint>, t string")
+
+
+def may_link(percent: int) -> Column:
+    """Whether sizes ``n``, ``x_n`` and second sketches ``bits``, ``x_bits`` allow a link."""
+    apart = sum(
+        (F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("x_bits")[i])) for i in range(LONGS)), F.lit(0)
+    )
+    total = F.col("n") + F.col("x_n")
+    return (
+        (F.col("n") * 100 >= F.col("x_n") * percent)
+        & (F.col("x_n") * 100 >= F.col("n") * percent)
+        & (apart * (100 + percent) <= total * (100 - percent))
+    )
+
+
 def verified(pairs: DataFrame, texts_of: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose sets are linked. ``texts_of``: ``node``, ``t``, one per node."""
     a = texts_of.select(F.col("node").alias("a"), F.col("t").alias("ta"))
@@ -227,14 +287,13 @@ def verified(pairs: DataFrame, texts_of: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(b, "b").join(a, "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             last, left = None, None
             keep = []
             for node, ta, tb in zip(batch.column("a").to_pylist(), texts(batch, "ta"), texts(batch, "tb")):
                 if node != last:
-                    last, left = node, shingles(ta, hashes)
-                keep.append(links(left, shingles(tb, hashes), percent))
+                    last, left = node, shingles(ta)
+                keep.append(links(left, shingles(tb), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
@@ -273,11 +332,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _groups(searched: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key``, ``node``, ``comp`` of the blocks whose nodes are not all in one component, with
-    ``main``, the component that has most of them."""
-    placed = searched.select("key", "node").join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("comp")
-    )
+    """``key``, ``node``, ``n``, ``bits``, ``comp`` of the blocks whose nodes are not all in one
+    component, with ``main``, the component that has most of them, and how many there are."""
+    placed = searched.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node"))
     sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("k"))
     open_keys = (
         sizes.groupBy("key")
@@ -289,35 +346,39 @@ def _groups(searched: DataFrame, labels: DataFrame) -> DataFrame:
         )
         .where("comps > 1")
     )
-    return placed.join(open_keys, "key")
+    return placed.drop("label").join(open_keys, "key")
 
 
-def _ordered(x: Column, y: Column) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _paired(groups: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a block in different components that may link. ``others`` has ``key`` and, as
+    ``x``, ``x_comp``, ``x_n``, ``x_bits``, the second members."""
+    found = groups.join(
+        others.withColumnRenamed("key", "x_key"),
+        (F.col("key") == F.col("x_key")) & (F.col("comp") != F.col("x_comp")) & may_link(percent),
+    )
+    return found.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
 
 
-def _stars(groups: DataFrame, turn: int) -> DataFrame:
-    """Pairs of one member of each block, another in each turn, with those of other components."""
-    order = F.xxhash64("node", F.lit(turn))
-    pivot = groups.groupBy("key").agg(
-        F.min_by("node", order).alias("pivot"), F.min_by("comp", order).alias("pivot_comp")
-    )
-    return (
-        groups.join(pivot, "key").where("comp <> pivot_comp").select(*_ordered(F.col("node"), F.col("pivot")))
+def _as_x(members: DataFrame) -> DataFrame:
+    return members.select(
+        "key",
+        F.col("node").alias("x"),
+        F.col("comp").alias("x_comp"),
+        F.col("n").alias("x_n"),
+        F.col("bits").alias("x_bits"),
     )
 
 
-def _all_pairs(groups: DataFrame) -> DataFrame:
+def _stars(groups: DataFrame, turn: int, percent: int) -> DataFrame:
+    """One member of each block, another in each turn, with those of other components."""
+    order = F.xxhash64("node", F.lit(turn))
+    pivot = groups.groupBy("key").agg(F.min_by("node", order).alias("node"))
+    return _paired(groups, _as_x(groups.join(pivot, ["key", "node"])), percent)
+
+
+def _all_pairs(groups: DataFrame, percent: int) -> DataFrame:
     """All pairs of a block in different components: one side is outside the main one."""
-    few = groups.where("comp <> main").select(
-        "key", F.col("node").alias("x"), F.col("comp").alias("x_comp")
-    )
-    return (
-        groups.select("key", "node", "comp")
-        .join(few, "key")
-        .where("comp <> x_comp")
-        .select(*_ordered(F.col("node"), F.col("x")))
-    )
+    return _paired(groups, _as_x(groups.where("comp <> main")), percent)
 
 
 def linked_nodes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -331,53 +392,47 @@ def linked_nodes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     searched = materialize(
         searched_blocks(shared_blocks(block_keys(rows, percent)), nodes), "searched-blocks"
     )
-    # A block that one node alone searches by can link nothing.
-    common = searched.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-    searched = materialize(searched.join(common, "key"), "common-blocks")
-
     wanted = nodes.join(searched.select("node").distinct(), "node").select("node", "at.*")
     wanted = materialize(wanted, "candidates")
     if fits_broadcast(wanted, ID_BYTES):
         wanted = F.broadcast(wanted)
-    texts_of = materialize(rows.join(wanted, [FILE, ROW]).select("node", "t"), "candidate-texts")
+    texts_of = materialize(candidate_texts(rows, wanted), "candidate-texts")
+    searched = searched.join(texts_of.select("node", "n", "bits"), "node")
+    # A block that one node alone searches by can link nothing.
+    common = searched.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    searched = materialize(searched.join(common, "key"), "common-blocks")
 
-    none = spark.createDataFrame([], "node long, label long")
-    labels, found = none, None
+    labels = spark.createDataFrame([], "node long, label long")
+    found: DataFrame | None = None
     done: DataFrame | None = None
 
-    def joined(pairs: DataFrame, name: str) -> None:
+    def joined(pairs: DataFrame, name: str) -> int:
         nonlocal labels, found, done
-        pairs = pairs.distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = materialize(pairs, f"pairs-{name}")
         done = pairs if done is None else done.union(pairs)
         new = materialize(verified(pairs, texts_of, percent), f"links-{name}")
         found = new if found is None else found.union(new)
-        if new.limit(1).count():
+        if linked := new.count():
             labels = components(found)
-
-    # First every node with the first one of its most frequent block, where large groups of
-    # copies come together; then stars, while too many pairs are open; then the rest.
-    widest = searched.groupBy("node").agg(F.max_by("key", F.struct("df", "key")).alias("key"))
-    heads = searched.groupBy("key").agg(F.min("node").alias("head"))
-    joined(
-        widest.join(heads, "key").where("node <> head").select(*_ordered(F.col("node"), F.col("head"))), "first"
-    )
-    size = searched.count()
-    before = None
-    for turn in range(STAR_ROUNDS):
+        return linked
+
+    # Rounds of stars: one member of each block with the others. The first brings most of what is
+    # linked together; more follow while too many pairs would be open. Then those, all of them.
+    size, before = searched.count(), None
+    groups = searched.withColumn("comp", F.col("node"))
+    for turn in range(STAR_ROUNDS + 1):
+        linked = joined(_stars(groups, turn, percent), f"star-{turn}")
         groups = materialize(_groups(searched, labels), f"open-{turn}")
-        left = groups.groupBy("key").agg(F.first("all").alias("k"), F.first("most").alias("m"))
-        pairs = left.agg(F.sum((F.col("k") - F.col("m")) * F.col("k").cast("double"))).first()[0] or 0
-        if pairs <= PAIRS_PER_ROW * size or (before is not None and pairs > 0.9 * before):
+        each = groups.groupBy("key").agg(F.first("all").alias("k"), F.first("most").alias("m"))
+        left = each.agg(F.sum((F.col("k") - F.col("m")) * F.col("k").cast("double"))).first()[0] or 0
+        few = left <= PAIRS_PER_ROW * size and linked <= LINKS_PER_ROW * size
+        if few or (before is not None and left > 0.9 * before):
             break
-        before = pairs
-        joined(_stars(groups, turn), f"star-{turn}")
-    else:
-        groups = materialize(_groups(searched, labels), "open")
-    if pairs:
-        joined(_all_pairs(groups), "rest")
+        before = left
+    if left:
+        joined(_all_pairs(groups, percent), "rest")
     return counted, labels
 
 
@@ -421,6 +476,7 @@ def op5_jaccard_join(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document of every component, that with the smallest ``doc_id`` (of several rows with
     it the first in storage; null ids come last), and all without words; columns as they were."""
+    docs = in_files(docs)
     found = materialize(near_duplicates(docs), "components")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", FILE, ROW)
     grouped = found.where(F.col("component").isNotNull())
