@@ -5,20 +5,17 @@ A pair frame has ``seg_id, src, tgt``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .staging import materialize, rows_before
-
-
-def project_text(df: DataFrame, src_col: str, tgt_col: str) -> DataFrame:
-    """The two text columns as ``src`` and ``tgt``, null as the empty string.
+from .staging import fits_broadcast, lookup, materialize, rows_before
 
-    Strings are taken as they are; arrays of strings are token lists and are joined by one
-    space. Other types are rejected.
-    """
 
+def _texts(df: DataFrame, src_col: str, tgt_col: str) -> list[Column]:
     def text(column: str) -> Column:
         if column not in df.columns:
             raise ValueError(f"no column {column!r}; the corpus has {df.columns}")
@@ -30,73 +27,121 @@ def project_text(df: DataFrame, src_col: str, tgt_col: str) -> DataFrame:
             raise TypeError(f"column {column!r} is {kind.simpleString()}, not string or array<string>")
         return F.coalesce(quoted, F.lit(""))
 
+    return [text(src_col), text(tgt_col)]
+
+
+def project_text(df: DataFrame, src_col: str, tgt_col: str) -> DataFrame:
+    """The two text columns as ``src`` and ``tgt``, null as the empty string; ``seg_id`` stays.
+
+    Strings are taken as they are; arrays of strings are token lists and are joined by one
+    space. Other types are rejected.
+    """
+    src, tgt = _texts(df, src_col, tgt_col)
     others = [c for c in df.columns if c == "seg_id"]
-    return df.select(*others, text(src_col).alias("src"), text(tgt_col).alias("tgt"))
+    return df.select(*others, src.alias("src"), tgt.alias("tgt"))
 
 
-def _path_order() -> Column:
+FILE, ROW, ORDER, SKIP = "__file", "__row", "__order", "__skip"
+
+
+def _place(df: DataFrame) -> list[Column]:
+    """File and row of a scan, under names of our own, whatever the columns are called."""
+    meta = df.metadataColumn("_metadata")
+    return [meta["file_path"].alias(FILE), meta["row_index"].alias(ROW)]
+
+
+def _path_order(file: str) -> Column:
     # _metadata has the path as a URI; files are ordered by their plain names
-    return F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
+    return F.url_decode(F.replace(F.col(file), F.lit("+"), F.lit("%2B")))
 
 
-def _located(df: DataFrame) -> DataFrame:
-    return df.select(
-        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+def _file_offsets(df: DataFrame) -> DataFrame:
+    """The rows in files that come before each file, from one count per file; written."""
+    sizes = df.select(*_place(df)).groupBy(FILE).agg(F.count(F.lit(1)).alias("size"))
+    ordered = sizes.select(FILE, "size", _path_order(FILE).alias(ORDER))
+    return materialize(
+        ordered.select(FILE, ORDER, rows_before("size", ORDER).alias(SKIP)), "files"
     )
 
 
-def _file_offsets(df: DataFrame) -> DataFrame:
-    """``file, skip``: the rows in files that come before, from one count per file."""
-    sizes = _located(df).groupBy("file").agg(F.count(F.lit(1)).alias("size"))
-    return sizes.select("file", rows_before("size", _path_order()).alias("skip"))
+def _with_ids(located: DataFrame, offsets: DataFrame, columns: list[str]) -> DataFrame:
+    # One row per file. The rows themselves are neither sorted nor shuffled while that fits.
+    found = lookup(located, offsets.select(FILE, SKIP), [FILE], broadcast=fits_broadcast(offsets))
+    number = (F.col(SKIP) + F.col(ROW)).alias("seg_id")
+    return found.select(number, *[F.col(f"`{c}`") for c in columns])
 
 
 def seg_ids(df: DataFrame) -> DataFrame:
-    """Add ``seg_id``, the row number from 0 over the files in path order.
+    """Add ``seg_id``, the row number from 0 over the files in path order; a column of that name
+    is replaced.
 
-    ``df`` must come straight from a Parquet read. The rows are neither sorted nor shuffled.
+    ``df`` must come straight from a Parquet read.
     """
-    # bounded: one row per file, a list the driver holds anyway to plan the scan
-    offsets = F.broadcast(_file_offsets(df))
-    number = (F.col("skip") + F.col("row")).alias("seg_id")
-    return _located(df).join(offsets, "file").select(number, *df.columns)
+    columns = [c for c in df.columns if c != "seg_id"]
+    located = df.select(*[F.col(f"`{c}`") for c in columns], *_place(df))
+    return _with_ids(located, _file_offsets(df), columns)
 
 
-def _has(spark: SparkSession, path: str) -> tuple[bool, bool]:
-    """Whether a path is a folder, and whether a glob of that name matches anything."""
+def _matches(spark: SparkSession, path: str) -> tuple[bool, list[str]]:
+    """Whether a path is a folder, and the names that a glob of it matches."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    matches = files.globStatus(target)
-    folder = matches is not None and len(matches) == 1 and matches[0].isDirectory()
-    return folder, matches is not None and len(matches) > 0
+    found = list(files.globStatus(target) or [])
+    folder = len(found) == 1 and found[0].isDirectory()
+    return folder, [status.getPath().getName() for status in found]
 
 
 def _pattern(spark: SparkSession, prefix: str) -> str:
     if prefix.startswith("s3://"):
         prefix = "s3a://" + prefix.removeprefix("s3://")
-    is_folder, _ = _has(spark, prefix)
+    is_folder, _ = _matches(spark, prefix)
     pattern = f"{prefix.rstrip('/')}/*.parquet" if is_folder else f"{prefix}*.parquet"
-    if not _has(spark, pattern)[1]:
+    names = _matches(spark, pattern)[1]
+    if not names:
         raise FileNotFoundError(f"no Parquet files at {prefix}")
+    # Spark's readers pass over such names in silence, and the corpus would lack their rows.
+    skipped = [n for n in names if n.startswith(".") or (n.startswith("_") and "=" not in n)]
+    if skipped:
+        raise ValueError(f"{prefix}: Spark does not read files named {', '.join(sorted(skipped))}; rename them")
     return pattern
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """A corpus in files: all ``pairs``, and ``first(n)``, the first n of them, for which only the
+    files that hold them are read."""
+
+    pairs: DataFrame
+    first: Callable[[int], DataFrame]
+
+
+def open_corpus(spark: SparkSession, prefix: str, src_col: str, tgt_col: str) -> Corpus:
+    """Parquet files as pair frames: those directly in the folder ``prefix``, or else those whose
+    path starts with ``prefix``. No match is an error, and so is a file that Spark would skip."""
+    files = spark.read.parquet(_pattern(spark, prefix))
+    offsets = _file_offsets(files)
+    texts = [c.alias(name) for c, name in zip(_texts(files, src_col, tgt_col), ("src", "tgt"))]
+    located = files.select(*texts, *_place(files))
+
+    def first(n: int) -> DataFrame:
+        last = offsets.filter(F.col(SKIP) < n).agg(F.max(ORDER)).first()[0]
+        # The files up to one in path order; their rows keep their numbers.
+        head = located.filter(_path_order(FILE) <= F.lit(last or ""))
+        return _with_ids(head, offsets, ["src", "tgt"]).filter(F.col("seg_id") < n)
+
+    return Corpus(_with_ids(located, offsets, ["src", "tgt"]), first)
+
+
 def read_corpus(spark: SparkSession, prefix: str, src_col: str, tgt_col: str) -> DataFrame:
-    """Parquet files as a pair frame: those directly in the folder ``prefix``, or else those
-    whose path starts with ``prefix``. No match is an error."""
-    return project_text(seg_ids(spark.read.parquet(_pattern(spark, prefix))), src_col, tgt_col)
+    """All pairs of ``open_corpus``."""
+    return open_corpus(spark, prefix, src_col, tgt_col).pairs
 
 
 def read_corpus_head(
     spark: SparkSession, prefix: str, src_col: str, tgt_col: str, n: int
 ) -> DataFrame:
-    """The first ``n`` rows of a corpus, as ``sample_first_n`` of ``read_corpus`` gives them,
-    but reading only the files that hold them."""
-    corpus = spark.read.parquet(_pattern(spark, prefix))
-    files = _file_offsets(corpus).filter(F.col("skip") < n).select("file").collect()
-    # the first files in path order, so row numbers stay the same
-    head = corpus.filter(F.col("_metadata.file_path").isin([row["file"] for row in files]))
-    return project_text(seg_ids(head), src_col, tgt_col).filter(F.col("seg_id") < n)
+    """The first ``n`` pairs of ``open_corpus``."""
+    return open_corpus(spark, prefix, src_col, tgt_col).first(n)
 
 
 def _numbered(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
@@ -106,21 +151,20 @@ def _numbered(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
         F.monotonically_increasing_id().alias("mark"),
         F.col("value").alias("text"),
     )
-    splits = lines.groupBy("file", "start").agg(
-        F.min("mark").alias("first"), F.count(F.lit(1)).alias("size")
+    # Written once: sizes and numbers then come from the same cut of the files into splits.
+    lines = materialize(lines, "lines")
+    splits = materialize(
+        lines.groupBy("file", "start").agg(
+            F.min("mark").alias("first"), F.count(F.lit(1)).alias("size")
+        ),
+        "splits",
     )
-    splits = materialize(splits, "splits")
     total = splits.agg(F.sum("size")).first()[0] or 0
-    skip = rows_before("size", _path_order(), F.col("start")).alias("skip")
-    offsets = splits.select("file", "start", "first", "size", skip)
-    # The two reads must cut the files alike; a change of cores in between can alter that.
-    place = F.col("mark") - F.col("first")
-    alike = (place >= 0) & (place < F.col("size"))
-    changed = F.raise_error(F.lit("the file splits changed between two reads")).cast("long")
-    number = F.when(alike, F.col("skip") + place).otherwise(changed).alias("seg_id")
-    # bounded: one row per file split, which the driver holds anyway to plan the scan
-    numbered = lines.join(F.broadcast(offsets), ["file", "start"], "left").select(number, "text")
-    return numbered, total
+    skip = rows_before("size", _path_order("file"), F.col("start")).alias("skip")
+    offsets = splits.select("file", "start", "first", skip)
+    number = (F.col("skip") + F.col("mark") - F.col("first")).alias("seg_id")
+    numbered = lookup(lines, offsets, ["file", "start"], broadcast=fits_broadcast(splits))
+    return numbered.select(number, "text"), total
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -128,7 +172,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
     A line's number is the count of lines in earlier splits of the files plus its place in
     its own split. Within a split the generated ids are consecutive, and splits are told
-    apart by file and start offset.
+    apart by file and start offset. The files are read once, however they are split.
     """
     return _numbered(spark, path)[0]
 

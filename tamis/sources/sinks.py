@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.vocabulary import mask_oov
 from ..operators.sampling import sample_first_n
+from ..operators.vocabulary import mask_oov
+from .staging import materialize
+
+PART_BYTES = 128 * 1024 * 1024  # of text in a part file
 
 
 def _one_line(text: str) -> Column:
@@ -16,17 +21,21 @@ def _one_line(text: str) -> Column:
 
 def write_lines(df: DataFrame, key: str, text: str, path: str, mode: str = "error") -> None:
     """Write one text column, one row per line, so that part files in name order are in the
-    order of ``key``."""
+    order of ``key``. The frame is read twice, for the ranges and for the rows: it should be a
+    written one."""
     ordered = df.select(key, _one_line(text).alias("value"))
     ordered = ordered.repartitionByRange(key).sortWithinPartitions(key)
     ordered.select("value").write.mode(mode).option("lineSep", "\n").text(path)
 
 
-def _by_rank(df: DataFrame, rows: int, parts: int) -> DataFrame:
-    # Ranks run from 1 without gaps, so equal parts follow from the rank itself; a range
-    # partitioning would run everything below it once more to sample it.
-    part = F.expr(f"(rank - 1) div {max(1, -(-rows // parts))}").cast("int")
-    return df.repartitionById(parts, part).sortWithinPartitions("rank")
+def _moved(spark: SparkSession, source: str, target: str, mode: str) -> None:
+    """Rename a written folder to its final name."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    if mode == "overwrite":
+        files.delete(new, True)
+    if not files.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def write_ranked(
@@ -36,24 +45,52 @@ def write_ranked(
     tgt_lang: str,
     mode: str = "error",
     parts: int | None = None,
+    parquet: bool = False,
 ) -> None:
-    """Write ``general_corpus_sorted.<lang>`` for both sides, and the ranked rows as Parquet.
+    """Write ``general_corpus_sorted.<lang>`` for both sides, and the ranked rows as Parquet if
+    asked.
 
     Part files in name order are in rank order, and the two sides are aligned line by line,
-    part by part.
+    part by part. The rows are written as they come, which also tells their number and size;
+    then both sides are dealt into parts by rank, in one shuffle and one job. Without ``parts``
+    there are as many as make files of ``PART_BYTES``.
     """
     if src_lang == tgt_lang:
         raise ValueError("the two sides need different names")
+    if mode not in ("error", "overwrite"):
+        raise ValueError(f"unknown mode: {mode!r}")
     spark = ranked.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"{dest.rstrip('/')}/general_corpus_sorted"
-    rows = ranked.agg(F.max("rank")).first()[0] or 0
-    _by_rank(ranked, rows, parts).write.mode(mode).parquet(f"{name}.parquet")
-    written = spark.read.schema(ranked.schema).parquet(f"{name}.parquet")
+    for lang in (src_lang, tgt_lang):
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{name}.{lang}")
+        exists = target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+        if exists and mode == "error":
+            raise FileExistsError(f"{name}.{lang} exists")
+    lines = [F.struct(F.lit(c).alias("side"), _one_line(c).alias("value")) for c in ("src", "tgt")]
+    if parquet:
+        ranked.write.mode(mode).parquet(f"{name}.parquet")
+        kept = spark.read.schema(ranked.schema).parquet(f"{name}.parquet")
+    else:
+        kept = materialize(ranked.select("rank", "src", "tgt"), "ranked")
+    size = F.octet_length(F.coalesce("src", F.lit(""))) + F.octet_length(F.coalesce("tgt", F.lit("")))
+    found = kept.agg(F.max("rank").alias("rows"), F.sum(size.cast("long")).alias("bytes")).first()
+    rows = found["rows"] or 0
+    parts = parts or max(1, -(-(found["bytes"] or 0) // (2 * PART_BYTES)))
+    # Ranks run from 1 without gaps, so equal parts follow from the rank itself.
+    part = F.expr(f"(rank - 1) div {max(1, -(-rows // parts))}").cast("int")
+    dealt = kept.repartitionById(parts, part).select("rank", F.inline(F.array(*lines)))
+    # Sorted as the writer wants it, side by side, so that it does not sort again.
+    written = f"{name}.writing-{uuid.uuid4().hex}"
+    dealt.sortWithinPartitions("side", "rank").select("side", "value").write.partitionBy("side").option(
+        "lineSep", "\n"
+    ).text(written)
     for side, lang in (("src", src_lang), ("tgt", tgt_lang)):
-        # each side shuffles its own column only
-        lines = _by_rank(written.select("rank", _one_line(side).alias("value")), rows, parts)
-        lines.select("value").write.mode(mode).option("lineSep", "\n").text(f"{name}.{lang}")
+        if rows:
+            _moved(spark, f"{written}/side={side}", f"{name}.{lang}", mode)
+        else:
+            kept.select(F.lit("").alias("value")).write.mode(mode).text(f"{name}.{lang}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(written)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_filtered_text(
@@ -63,8 +100,10 @@ def write_filtered_text(
     corpus order, the first ``n`` only if given. Returns the number of lines."""
     if n is not None:
         segs = sample_first_n(segs, n)
-    write_lines(mask_oov(segs, vocabulary), "seg_id", "text", dest, mode)
-    return segs.count()
+    # Worked out once; ordering and counting read what was written.
+    masked = materialize(mask_oov(segs, vocabulary), "masked")
+    write_lines(masked, "seg_id", "text", dest, mode)
+    return masked.count()
 
 
 def save_model(model: DataFrame, path: str, mode: str = "error") -> None:

@@ -2,14 +2,16 @@
 
 A step whose result several later steps read is written once, as Parquet, below the
 shared folder the cluster names in ``spark.checkpoint.dir``. That cuts the lineage and
-survives the loss of any executor.
+survives the loss of any executor. Tables written inside ``scratch`` are removed at its end.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -17,10 +19,8 @@ from pyspark.sql import functions as F
 
 # In-memory size up to which the smaller side of a join is broadcast.
 BROADCAST_BYTES = 256 * 1024 * 1024
-# Size up to which a corpus counts as small, per core.
+# Size up to which a corpus is dealt out to all cores, per core.
 SPLIT_BYTES = 32 * 1024 * 1024
-# Parts into which the rows of one key are divided in a shuffled lookup.
-SALTS = 16
 # What a hashed row costs beside its strings: key and value headers, pointers, doubles.
 ROW_BYTES = 120
 
@@ -42,8 +42,25 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_RUN.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own, below the shared one, for all tables written inside the block. It is
+    deleted at the end, so results must have been written elsewhere by then."""
+    folder = new_path(spark, "run")
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -72,18 +89,12 @@ def row_bytes(df: DataFrame) -> Column:
 def spread(df: DataFrame) -> DataFrame:
     """Deal out the rows of a small corpus to all cores.
 
-    A file of one row group is read by one task however many cores there are. Only a corpus
-    in fewer files than cores, small enough for one split each, is dealt out; any other is
-    left as the scan partitions it.
+    A file of one row group is read by one task however many cores there are. The size is what
+    the scans below expect to read; it decides on the plan only, never on a result.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df._jdf.inputFiles()
-    if not 0 < len(files) < cores:
-        return df
-    hadoop = spark._jsc.hadoopConfiguration()
-    paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)) for f in files]
-    size = sum(p.getFileSystem(hadoop).getFileStatus(p).getLen() for p in paths)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return df.repartition(cores) if size <= cores * SPLIT_BYTES else df
 
 
@@ -94,27 +105,21 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 
 def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    *,
-    broadcast: bool,
-    spread_by: str = "seg_id",
+    rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", *, broadcast: bool
 ) -> DataFrame:
     """Join many rows to a table that has each key once.
 
-    ``broadcast`` says that the table's counted size allows a broadcast. Otherwise both
-    sides are shuffled, and since a single word or gram may hold a large part of all rows,
-    every key is divided over ``SALTS`` partitions: rows by ``spread_by``, the table, the
-    much smaller side, by copies.
+    ``broadcast`` says that the table's counted size allows a broadcast. Otherwise both sides
+    are shuffled. A single word or gram may hold a large part of all rows; adaptive execution
+    sees the size of its partition and has it read by several tasks, each with the part of the
+    table it needs. No key is copied that is not frequent.
     """
-    if broadcast:
-        return rows.join(F.broadcast(table), list(on), how)
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    copies = table.withColumn("salt", F.explode(salts))
-    salted = rows.withColumn("salt", F.pmod(F.hash(spread_by), F.lit(SALTS)))
-    return salted.join(copies, [*on, "salt"], how).drop("salt")
+    return rows.join(F.broadcast(table) if broadcast else table, list(on), how)
+
+
+def bounded(spark: SparkSession, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a table of a row per shuffle partition may be broadcast."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions")) * ROW_BYTES <= limit
 
 
 def rows_before(size: str, *order: str | Column) -> Column:

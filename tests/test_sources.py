@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tamis.operators import ranking as R
 from tamis.operators import sampling as N
 from tamis.sources import corpus, sinks
-from tamis.sources.staging import new_path, shared_dir
+from tamis.sources.staging import materialize, new_path, scratch, shared_dir
 
 
 @pytest.fixture
@@ -65,6 +65,67 @@ def test_token_columns_and_errors(spark, folder):
             corpus.read_corpus(spark, nowhere, "en", "de")
 
 
+def test_columns_of_any_name(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    names = ("file", "row", "seg_id", "size", "skip", "_metadata", "a.b")
+    for k, start in enumerate((0, 4)):
+        columns = {name: [f"{name} {i}" for i in range(start, start + 4)] for name in names}
+        pq.write_table(pa.table(columns), f"{tmp_path}/{k}.parquet")
+    for name in names:
+        rows = corpus.read_corpus(spark, str(tmp_path), name, "row").collect()
+        assert sorted(map(tuple, rows)) == [(i, f"{name} {i}", f"row {i}") for i in range(8)]
+    numbered = corpus.seg_ids(spark.read.parquet(str(tmp_path)))
+    assert sorted((r["seg_id"], r["file"], r["row"]) for r in numbered.collect()) == [
+        (i, f"file {i}", f"row {i}") for i in range(8)
+    ]
+
+
+def test_files_that_spark_would_skip_are_an_error(spark, folder):
+    for hidden in ("_b.parquet", ".c.parquet"):
+        os.link(f"{folder}/b.parquet", f"{folder}/{hidden}")
+    with pytest.raises(ValueError, match=r"\.c\.parquet, _b\.parquet"):
+        corpus.read_corpus(spark, folder, "en", "de")
+    for hidden in ("_b.parquet", ".c.parquet"):
+        os.unlink(f"{folder}/{hidden}")
+    assert corpus.read_corpus(spark, folder, "en", "de").count() == 60
+
+
+def test_the_first_rows_are_read_from_their_files_alone(spark, folder):
+    opened = corpus.open_corpus(spark, folder, "en", "de")
+
+    def files_read(df):
+        plan = df._jdf.queryExecution().executedPlan()
+        df.collect()
+        scans = plan.collectLeaves()
+        found = [scans.apply(i).metrics().get("numFiles") for i in range(scans.size())]
+        return max(m.get().value() for m in found if m.isDefined())
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert files_read(opened.first(3)) == 2  # 10 and 9 hold the first two and three rows
+        assert files_read(opened.pairs) == 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_parallel_text_whatever_the_splits(spark, tmp_path):
+    lines = [f"line {i}" for i in range(20000)]
+    for lang in ("en", "de"):
+        (tmp_path / f"c.{lang}").write_text("".join(f"{lang} {x}\n" for x in lines))
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "9000")
+    try:
+        pairs = corpus.read_parallel_text(spark, f"{tmp_path}/c", "en", "de")
+        spark.conf.set(key, "31000")  # other splits when the frame is run
+        rows = pairs.orderBy("seg_id").collect()
+    finally:
+        spark.conf.set(key, old)
+    assert [tuple(r) for r in rows] == [(i, f"en {x}", f"de {x}") for i, x in enumerate(lines)]
+
+
 def test_parallel_text(spark, tmp_path):
     lines = [f"line {i}\r" if i % 3 else "" for i in range(20000)]
     (tmp_path / "c.en").write_text("\n".join(lines) + "\n")
@@ -91,7 +152,7 @@ def test_write_ranked(spark):
     frame = spark.createDataFrame(rows, "seg_id long, score double, src string, tgt string")
     ranked = R.rank(frame)
     dest = new_path(spark, "sorted")
-    sinks.write_ranked(ranked, dest, "en", "de", parts=7)
+    sinks.write_ranked(ranked, dest, "en", "de", parts=7, parquet=True)
     expected = [(r["src"].replace("\r\n", " "), r["tgt"]) for r in ranked.orderBy("rank").collect()]
     texts = []
     for lang in ("en", "de"):
@@ -104,6 +165,16 @@ def test_write_ranked(spark):
     with pytest.raises(Exception, match="(?i)exists"):
         sinks.write_ranked(ranked, dest, "en", "de")
     sinks.write_ranked(ranked, dest, "en", "de", mode="overwrite")
+    assert sorted(os.listdir(dest)) == [
+        "general_corpus_sorted.de", "general_corpus_sorted.en", "general_corpus_sorted.parquet"
+    ]
+    whole = "".join(
+        open(f"{dest}/general_corpus_sorted.en/{p}", newline="").read()
+        for p in sorted(os.listdir(f"{dest}/general_corpus_sorted.en")) if p.startswith("part-")
+    )
+    assert whole.split("\n")[:-1] == [r[0] for r in expected]
+    sinks.write_ranked(ranked.filter("false"), dest, "en", "de", mode="overwrite")
+    assert corpus.numbered_lines(spark, f"{dest}/general_corpus_sorted.en").count() == 0
     with pytest.raises(ValueError):
         sinks.write_ranked(ranked, dest, "en", "en")
 
@@ -112,6 +183,18 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+def test_scratch_tables_are_removed(spark, tmp_path):
+    with scratch(spark) as folder:
+        kept = materialize(spark.range(10), "numbers")
+        with scratch(spark):
+            materialize(spark.range(10), "numbers")
+        kept.write.parquet(f"{tmp_path}/kept")
+        assert os.path.isdir(folder) and len(os.listdir(folder)) == 1
+    assert not os.path.exists(folder)
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 10
+    assert not new_path(spark, "x").startswith(folder)
+
+
 def test_project_text_keeps_ids(spark):
     frame = spark.createDataFrame([(1, "a", None)], "seg_id long, x string, y string")
     assert tuple(corpus.project_text(frame, "x", "y").first()) == (1, "a", "")
