@@ -70,24 +70,34 @@ def adjusted_counts(counts: DataFrame, order: int = ORDER, by: Sequence[str] = (
     return counts.select(*by, F.inline(parts)).groupBy(*by, "n", "gram").agg(F.sum("a").alias("a"))
 
 
+def tallies(adjusted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``n, t1, t2, t3, t4, size``: grams with adjusted count 1, 2, 3 and 4, and bytes."""
+    return adjusted.groupBy(*by, "n").agg(
+        *[F.count_if(F.col("a") == k).alias(f"t{k}") for k in (1, 2, 3, 4)],
+        F.sum(row_bytes(adjusted)).alias("size"),
+    )
+
+
 def discounts(
     adjusted: DataFrame, fallback: Sequence[float] = FALLBACK, by: Sequence[str] = ()
 ) -> DataFrame:
     """``n, d1, d2, d3`` from the numbers of grams with adjusted count 1, 2, 3 and 4.
 
     An order where one of the first three numbers is zero, or where a discount is not
-    within (0, k], takes all three values of ``fallback``.
+    within (0, k], takes all three values of ``fallback``. (A discount of zero would leave a
+    context no mass to back off with, and that mass has no logarithm.)
     """
+    return _discounts(tallies(adjusted, by), fallback, by)
+
+
+def _discounts(tallied: DataFrame, fallback: Sequence[float], by: Sequence[str]) -> DataFrame:
     t = {k: F.col(f"t{k}") for k in (1, 2, 3, 4)}
     d = {k: F.col(f"e{k}") for k in (1, 2, 3)}
     valid = reduce(
         lambda x, y: x & y,
         [t[k] > 0 for k in (1, 2, 3)] + [(d[k] > 0) & (d[k] <= k) for k in (1, 2, 3)],
     )
-    tallies = adjusted.groupBy(*by, "n").agg(
-        *[F.count_if(F.col("a") == k).alias(f"t{k}") for k in (1, 2, 3, 4)]
-    )
-    y = tallies.withColumn("y", F.try_divide(t[1].cast("double"), t[1] + 2 * t[2]))
+    y = tallied.withColumn("y", F.try_divide(t[1].cast("double"), t[1] + 2 * t[2]))
     estimated = y.select(
         *by,
         "n",
@@ -172,18 +182,12 @@ def _level(
 
 
 def lm_probs(
-    adjusted: DataFrame,
-    disc: DataFrame,
-    contexts: DataFrame,
-    order: int = ORDER,
-    by: Sequence[str] = (),
+    adjusted: DataFrame, order: int = ORDER, by: Sequence[str] = (), fallback: Sequence[float] = FALLBACK
 ) -> DataFrame:
-    """Interpolated probabilities ``n, gram, p`` of all orders, ``<unk>`` included."""
-    terms, level, levels = _terms(adjusted, disc, by), _root(adjusted, contexts, by), []
-    for n in range(1, order + 1):
-        level = _level(n, terms, contexts.filter(F.col("n") == n), level, by)
-        levels.append(level.select(*by, "n", "gram", "p"))
-    return reduce(DataFrame.unionByName, levels)
+    """Interpolated probabilities ``n, gram, p`` of all orders, ``<unk>`` included, from
+    adjusted counts (written, as they are read several times)."""
+    levels = _written_levels(adjusted, order, fallback, by, BROADCAST_BYTES)
+    return levels.filter(F.col("p").isNotNull()).select(*by, "n", "gram", "p")
 
 
 def training_sentences(
@@ -215,28 +219,43 @@ def train_lm(
     sentences = training_sentences(segs, vocabulary, by, broadcast_bytes)
     counts = ngram_counts(sentences, order, by)
     adjusted = materialize(adjusted_counts(counts, order, by), "adjusted", ["n"])
-    disc = localize(discounts(adjusted, fallback, by))
-    contexts = materialize(context_stats(adjusted, disc, by), "contexts", ["n"])
+    model = _written_levels(adjusted, order, fallback, by, broadcast_bytes)
+    return model.select(*by, "n", "gram", "logp", "bow", "weight")
+
+
+def _written_levels(
+    adjusted: DataFrame, order: int, fallback: Sequence[float], by: Sequence[str], broadcast_bytes: int
+) -> DataFrame:
+    """The model of written adjusted counts, order by order, each written before the next one
+    reads it, so that no plan holds more than one step of the recursion.
+
+    Where an order's counted size allows, its contexts and its level are broadcast. Otherwise
+    they are shuffled by context and by suffix; a key has no more rows than the vocabulary has
+    words, and adaptive execution splits the partitions of the most frequent ones.
+    """
+    spark = adjusted.sparkSession
+    tallied = localize(tallies(adjusted, by))  # one row per order and model
+    disc = _discounts(tallied, fallback, by)
+    sizes: dict[int, int] = {}
+    for row in tallied.collect():
+        sizes[row["n"]] = sizes.get(row["n"], 0) + row["size"]
     # An order has no more contexts than grams, and as many rows in its level.
-    tally = adjusted.groupBy("n").agg(F.sum(row_bytes(adjusted)).alias("size")).collect()
-    small = {row["n"] for row in tally if row["size"] <= broadcast_bytes}
+    small = {n for n, size in sizes.items() if size <= broadcast_bytes}
+    contexts = materialize(context_stats(adjusted, disc, by), "contexts", ["n"])
 
     def contexts_of(n: int) -> DataFrame:
         found = contexts.filter(F.col("n") == n)
         return F.broadcast(found) if n in small else found
 
     terms, level = _terms(adjusted, disc, by), _root(adjusted, contexts, by)
-    path = new_path(segs.sparkSession, "model")
+    path = new_path(spark, "model")
     for n in range(1, order + 1):
-        # Each order is written before the next one reads it, so that no plan holds more
-        # than one step of the recursion.
         level = _level(n, terms, contexts_of(n), level, by)
         rows = _with_backoff(n, level, contexts_of(n + 1), order, by)
         rows.write.parquet(f"{path}/level={n}")
-        level = segs.sparkSession.read.schema(rows.schema).parquet(f"{path}/level={n}")
+        level = spark.read.schema(rows.schema).parquet(f"{path}/level={n}")
         level = F.broadcast(level) if n in small else level
-    model = segs.sparkSession.read.schema(rows.schema).parquet(path)
-    return model.select(*by, "n", "gram", "logp", "bow", "weight")
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _with_backoff(

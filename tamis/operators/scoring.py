@@ -10,6 +10,9 @@ and the model closed under suffixes, a segment's total is the sum of ``weight``
 occurrences of model grams in it, plus log10 p(<unk>) per unknown word. So scoring needs no
 per-position search, no window and no self-join: grams are looked up once and summed, the
 sum is combined before the shuffle, and only one narrow row per segment is shuffled.
+
+Weights are whole numbers of 2^-40, so a sum is exact and the same in any order: a score does
+not depend on how the work was cut or on whether the models were broadcast.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ from ..functions.text import (
 from ..sources.staging import BROADCAST_BYTES, fits_broadcast, lookup, materialize, spread
 
 SCALE = 6
+UNIT = float(1 << 40)  # units of a weight
 
 
 def _unknown_logp(model: DataFrame, by: Sequence[str]) -> Column:
@@ -60,7 +64,7 @@ def joint_weights(
 ) -> DataFrame:
     """Both models side by side: ``n, gram, w_s, w_g, known_s, known_g``.
 
-    A word only one model knows counts as ``<unk>`` in the other one.
+    A word only one model knows counts as ``<unk>`` in the other one. Weights are in units.
     """
     on = [*by, "n", "gram"]
     models = {"s": specific, "g": general}
@@ -77,21 +81,25 @@ def joint_weights(
     columns = []
     for tag in models:
         missing = F.when(word, unknown[tag]).otherwise(F.lit(0.0))
-        columns.append(F.coalesce(F.col(f"m_{tag}"), missing).alias(f"w_{tag}"))
+        weight = F.coalesce(F.col(f"m_{tag}"), missing)
+        columns.append(F.round(weight * F.lit(UNIT)).cast("long").alias(f"w_{tag}"))
     for tag in models:
         columns.append((word & F.col(f"m_{tag}").isNotNull()).cast("int").alias(f"known_{tag}"))
     return both.select(*on, *columns)
 
 
-def segment_endings(segs: DataFrame, order: int = ORDER, by: Sequence[str] = ()) -> DataFrame:
+def segment_endings(
+    segs: DataFrame, order: int = ORDER, by: Sequence[str] = (), carried: Sequence[str] = ()
+) -> DataFrame:
     """One row per token of the padded segment: ``positions`` of the segment, the token
     ``t0`` and the tokens before it. Scored positions are the words and the end symbol."""
-    steps = spread(segs).select(*by, "seg_id", tokenize(F.col("text")).alias("words"))
+    keys = [*by, "seg_id", *carried]
+    steps = spread(segs).select(*keys, tokenize(F.col("text")).alias("words"))
     for step in (hide_symbols, empty_to_unk, pad_sentence):
         steps = steps.withColumn("words", step(F.col("words")))
     # counted before the tokens are spread out, so that no row carries the whole array
-    steps = steps.select(*by, "seg_id", (F.size("words") - 1).cast("long").alias("positions"), "words")
-    ends = steps.select(*by, "seg_id", "positions", F.inline(endings(F.col("words"), order)))
+    steps = steps.select(*keys, (F.size("words") - 1).cast("long").alias("positions"), "words")
+    ends = steps.select(*keys, "positions", F.inline(endings(F.col("words"), order)))
     return ends.filter(F.col("t0").isNotNull())
 
 
@@ -128,7 +136,11 @@ def model_lookup(
 
 
 def position_weights(
-    segs: DataFrame, weights: DataFrame, order: int = ORDER, by: Sequence[str] = ()
+    segs: DataFrame,
+    weights: DataFrame,
+    order: int = ORDER,
+    by: Sequence[str] = (),
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """One row per known token with the summed weights of the model grams that end there.
 
@@ -136,7 +148,7 @@ def position_weights(
     order without any shuffle. Since the models are closed under suffixes, the gram of the
     next order is built and looked up only where the one before was found.
     """
-    rows = segment_endings(segs, order, by)
+    rows = segment_endings(segs, order, by, carried)
     names = {"w_s": [], "w_g": []}
     for n in range(1, order + 1):
         columns = [F.col(w).alias(f"{w}_{n}") for w in names]
@@ -150,9 +162,9 @@ def position_weights(
         )
         rows = rows.drop("gram")
         for name, found in names.items():
-            found.append(F.coalesce(f"{name}_{n}", F.lit(0.0)))
+            found.append(F.coalesce(f"{name}_{n}", F.lit(0).cast("long")))
     sums = [reduce(lambda x, y: x + y, found).alias(name) for name, found in names.items()]
-    return rows.select(*by, "seg_id", "positions", *sums, "known_s", "known_g")
+    return rows.select(*by, "seg_id", *carried, "positions", *sums, "known_s", "known_g")
 
 
 def score_lm(
@@ -162,33 +174,41 @@ def score_lm(
     order: int = ORDER,
     by: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Total log10 probability of every segment under both models.
 
     ``seg_id, positions, logp_s, logp_g, oov_s, oov_g``. Every segment has a row, since the
-    models know the end symbol.
+    models know the end symbol. ``carried`` names narrow columns of the segments that the
+    result keeps, so that nothing has to be read again for them.
     """
     unknown = {"s": _unknown_logp(specific, by), "g": _unknown_logp(general, by)}
     weights = materialize(joint_weights(specific, general, by, unknown), "weights", ["n"])
-    if fits_broadcast(weights, broadcast_bytes):
-        found = position_weights(segs, weights, order, by).withColumn("n", F.lit(1))
+    whole = fits_broadcast(weights, broadcast_bytes)
+    if whole:
+        found = position_weights(segs, weights, order, by, carried).withColumn("n", F.lit(1))
     else:
         found = model_lookup(segs, weights, order, by, broadcast_bytes)
-    # positions depends on seg_id alone
-    sums = found.groupBy(*by, "seg_id", "positions").agg(
+    # positions and what is carried depend on seg_id alone
+    keys = [*by, "seg_id", *(carried if whole else ()), "positions"]
+    sums = found.groupBy(*keys).agg(
         F.sum("w_s").alias("sum_s"),
         F.sum("w_g").alias("sum_g"),
         F.count_if(F.col("n") == 1).alias("unigrams"),
         F.sum("known_s").alias("known_s"),
         F.sum("known_g").alias("known_g"),
     )
+    if carried and not whole:
+        # there the tokens are shuffled, and should not take it along
+        sums = sums.join(segs.select(*by, "seg_id", *carried), [*by, "seg_id"])
     # one unigram is the start symbol, which is no position
     unseen = F.col("positions") - (F.col("unigrams") - 1)
     totals = [
-        (F.col(f"sum_{tag}") + unseen * unk).alias(f"logp_{tag}") for tag, unk in unknown.items()
+        (F.col(f"sum_{tag}") / F.lit(UNIT) + unseen * unk).alias(f"logp_{tag}")
+        for tag, unk in unknown.items()
     ]
     oov = [(F.col("positions") - F.col(f"known_{tag}")).alias(f"oov_{tag}") for tag in unknown]
-    return sums.select(*by, "seg_id", "positions", *totals, *oov)
+    return sums.select(*by, "seg_id", *carried, "positions", *totals, *oov)
 
 
 def oov_rate(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -201,7 +221,9 @@ def rounded(value: Column) -> Column:
     return F.round(value, SCALE) + F.lit(0.0)
 
 
-def score_diff(scores: DataFrame, metric: str = "logprob", by: Sequence[str] = ()) -> DataFrame:
+def score_diff(
+    scores: DataFrame, metric: str = "logprob", by: Sequence[str] = (), carried: Sequence[str] = ()
+) -> DataFrame:
     """``seg_id, diff``: specific minus general, six decimals.
 
     ``logprob`` takes total log10 probabilities, ``perplexity`` per-word perplexities.
@@ -213,7 +235,7 @@ def score_diff(scores: DataFrame, metric: str = "logprob", by: Sequence[str] = (
         diff = of["s"] - of["g"]
     else:
         raise ValueError(f"unknown metric: {metric!r}")
-    return scores.select(*by, "seg_id", rounded(diff).alias("diff"))
+    return scores.select(*by, "seg_id", *carried, rounded(diff).alias("diff"))
 
 
 def align_scores(specific: DataFrame, general: DataFrame) -> DataFrame:

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ORDER
 from ..operators.ngram_model import FALLBACK, train_lm
-from ..operators.ranking import TIE_ROWS, attach_ranks, rank_ids
+from ..operators.ranking import PRINTS, TIE_ROWS, attach_ranks, fingerprints, rank_keys
 from ..operators.sampling import sample_first_n, sample_random_n
 from ..operators.scoring import rounded, score_diff, score_lm
 from ..operators.vocabulary import count_segments, token_counts, vocab
+from ..sources.corpus import Corpus
 from ..sources.staging import BROADCAST_BYTES
 
 
@@ -36,15 +39,26 @@ def rank_mode(rank_src: bool, rank_tgt: bool) -> tuple[str, ...]:
     return sides
 
 
-def by_side(pairs: DataFrame, sides: tuple[str, ...]) -> DataFrame:
+def by_side(pairs: DataFrame, sides: tuple[str, ...], carried: Sequence[str] = ()) -> DataFrame:
     """``side, seg_id, text``: one row per pair and side, from a single scan."""
     texts = [F.struct(F.lit(s).alias("side"), F.col(s).alias("text")) for s in sides]
-    return pairs.select("seg_id", F.inline(F.array(*texts))).select("side", "seg_id", "text")
+    return pairs.select("seg_id", *carried, F.inline(F.array(*texts))).select(
+        "side", "seg_id", *carried, "text"
+    )
+
+
+def first_rows(general: DataFrame | Corpus) -> Callable[[int], DataFrame]:
+    """How to get the first segments of a corpus: from a ``Corpus`` without reading the rest."""
+    return general.first if isinstance(general, Corpus) else partial(sample_first_n, general)
+
+
+def pairs_of(corpus: DataFrame | Corpus) -> DataFrame:
+    return corpus.pairs if isinstance(corpus, Corpus) else corpus
 
 
 def train_models(
-    general: DataFrame,
-    specific: DataFrame,
+    general: DataFrame | Corpus,
+    specific: DataFrame | Corpus,
     sides: tuple[str, ...],
     sample: str | DataFrame = "first",
     settings: Settings = Settings(),
@@ -54,13 +68,14 @@ def train_models(
     The general model learns from as many segments as the specific corpus has; both see
     only the words that occur more than once in the specific corpus.
     """
+    specific = pairs_of(specific)
     if isinstance(sample, DataFrame):
         drawn = sample
     elif sample == "first":
-        drawn = sample_first_n(general, count_segments(specific).first()["n"])
+        drawn = first_rows(general)(count_segments(specific).first()["n"])
     elif sample == "random":
         n = count_segments(specific).first()["n"]
-        drawn = sample_random_n(general, n, settings.seed)
+        drawn = sample_random_n(pairs_of(general), n, settings.seed)
     else:
         raise ValueError(f"unknown sample: {sample!r}")
     wanted = by_side(specific, sides)
@@ -84,20 +99,36 @@ def side_diffs(
     sides: tuple[str, ...],
     metric: str = "logprob",
     settings: Settings = Settings(),
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """``side, seg_id, diff``: the rounded score difference of every general segment."""
     specific, of_general = (
         models.filter(F.col("model") == name).drop("model") for name in ("specific", "general")
     )
     scores = score_lm(
-        by_side(general, sides),
+        by_side(general, sides, carried),
         specific,
         of_general,
         settings.order,
         by=["side"],
         broadcast_bytes=settings.broadcast_bytes,
+        carried=carried,
     )
-    return score_diff(scores, metric, by=["side"])
+    return score_diff(scores, metric, by=["side"], carried=carried)
+
+
+def _complete(sides: tuple[str, ...], value: Column) -> Column:
+    """A pair's value, or an error if not all sides have a score."""
+    missing = F.raise_error(F.concat(F.lit("a side has no score in segment "), F.col("seg_id")))
+    all_there = F.count("diff") == len(sides)
+    return F.when(all_there, value).otherwise(missing.cast("double"))
+
+
+def sum_sides(diffs: DataFrame, sides: tuple[str, ...], carried: Sequence[str] = ()) -> DataFrame:
+    """``seg_id, score``: the differences of all sides of a pair added up, in one narrow
+    aggregation. A pair that lacks a side is an error."""
+    total = _complete(sides, rounded(F.sum("diff")))
+    return diffs.groupBy("seg_id", *carried).agg(total.alias("score")).select("seg_id", "score", *carried)
 
 
 def score_pairs(
@@ -106,18 +137,15 @@ def score_pairs(
     sides: tuple[str, ...],
     metric: str = "logprob",
     settings: Settings = Settings(),
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """``seg_id, score``: the differences of the sides added up."""
-    diffs = side_diffs(general, models, sides, metric, settings)
-    if len(sides) == 1:
-        return diffs.select("seg_id", F.col("diff").alias("score"))
-    # both sides of a pair in one narrow aggregation
-    return diffs.groupBy("seg_id").agg(rounded(F.sum("diff")).alias("score"))
+    """``seg_id, score`` of every pair, and the columns ``carried``."""
+    return sum_sides(side_diffs(general, models, sides, metric, settings, carried), sides, carried)
 
 
 def select(
-    general: DataFrame,
-    specific: DataFrame,
+    general: DataFrame | Corpus,
+    specific: DataFrame | Corpus,
     rank_src: bool = True,
     rank_tgt: bool = True,
     metric: str = "logprob",
@@ -127,17 +155,24 @@ def select(
 ) -> DataFrame:
     """Rank the general pairs, most in-domain first, without repeats.
 
-    Takes and returns pair frames; the result has ``rank, score, seg_id, src, tgt``, for the
-    ``top`` pairs only if given. ``sample`` is ``first``, ``random``, or the drawn pairs.
+    Takes pair frames or opened corpora and returns a pair frame with ``rank, score, seg_id,
+    src, tgt``, for the ``top`` pairs only if given. ``sample`` is ``first``, ``random``, or the
+    drawn pairs.
+
+    The general texts are read once for scores, digests and the order of ties, and once to put
+    them to their ranks; a third time only where whole texts have to break ties. The sample
+    reads the files it needs if the corpus was opened by ``open_corpus``.
     """
     sides = rank_mode(rank_src, rank_tgt)
     models = train_models(general, specific, sides, sample, settings)
-    scores = score_pairs(general, models, sides, metric, settings)
-    ranks = rank_ids(
-        general,
-        scores,
+    pairs = pairs_of(general)
+    keyed = score_pairs(fingerprints(pairs), models, sides, metric, settings, PRINTS)
+    ranks = rank_keys(
+        keyed,
+        pairs,
         ascending=metric == "perplexity",
+        top=top,
         tie_rows=settings.tie_rows,
         broadcast_bytes=settings.broadcast_bytes,
     )
-    return attach_ranks(general, ranks, top, settings.broadcast_bytes)
+    return attach_ranks(pairs, ranks, top, settings.broadcast_bytes)

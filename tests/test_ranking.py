@@ -61,6 +61,35 @@ def test_hot_ties_are_split(spark, tie_rows):
     check(spark, hot_rows(), tie_rows=tie_rows)
 
 
+def test_ties_are_split_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(R, "TIE_BYTES", 5000)
+    check(spark, hot_rows())
+
+
+def test_the_same_text_with_other_scores_stays(spark):
+    check(spark, [(1, 1.0, "a", "x"), (2, 2.0, "a", "x"), (3, 2.0, "a", "x")])
+
+
+@pytest.mark.parametrize("top", [0, 1, 5, 60, 10_000])
+@pytest.mark.parametrize("ascending", [False, True])
+def test_top_orders_the_best_only(spark, monkeypatch, top, ascending):
+    frame = spark.createDataFrame(hot_rows(), SCHEMA)
+    whole = brute.rank(hot_rows(), ascending)
+    seen = []
+    index = R.dense_index
+    monkeypatch.setattr(R, "dense_index", lambda df, *rest: seen.append(df.count()) or index(df, *rest))
+    ranks = R.rank_ids(
+        frame.drop("score"), frame.select("seg_id", "score"), ascending, top=top
+    )
+    found = [r["seg_id"] for r in ranks.orderBy("rank").collect()]
+    assert found == whole[:top]
+    # no more rows are ordered than share the best scores
+    scores = {r[0]: r[1] for r in hot_rows()}
+    worst = scores[whole[min(top, len(whole)) - 1]] if top else None
+    bound = sum((scores[i] <= worst) if ascending else (scores[i] >= worst) for i in whole) if top else 0
+    assert seen == [bound]
+
+
 def test_ties_without_broadcast(spark):
     check(spark, hot_rows(), broadcast_bytes=0)
 

@@ -1,10 +1,20 @@
+import os
+import re
+
 import brute
 import pytest
+from pyspark.sql import functions as F
 from test_model import GENERAL, SPECIFIC, made_up
 
-from tamis.catalog.corpora import dialogues, documents
+from tamis.catalog.corpora import dialogues, documents, segments
+from tamis.operators import ngram_model as M
+from tamis.operators import ranking as R
+from tamis.operators import sampling as N
 from tamis.operators import scoring as S
+from tamis.operators import vocabulary as V
 from tamis.plans import select as P
+from tamis.sources.corpus import open_corpus
+from tamis.sources.staging import materialize
 
 OTHER = [f"v{i}" for i in range(30)]
 
@@ -92,20 +102,119 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_plans(spark, smallest):
+def executions(spark):
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = store.executionsList()
+    return [found.apply(i) for i in range(found.size())]
+
+
+def text_scans(spark, since, folder, column):
+    """How many scans of the folder in the plans executed since read the column."""
+    total = 0
+    for run in executions(spark):
+        if run.executionId() <= since:
+            continue
+        text = run.physicalPlanDescription()
+        tree, _, details = text.partition("\n\n(")
+        tree = tree.split("== Initial Plan ==")[0]
+        for number in re.findall(r"Scan parquet\s+\((\d+)\)", tree):
+            node = re.search(rf"\({number}\) Scan parquet.*?(?=\n\n|\Z)", "(" + details, re.S)
+            if node and folder in node[0] and f"{column}:string" in node[0].split("ReadSchema")[1]:
+                total += 1
+    return total
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_general_text_is_read_twice(spark, tmp_path, ties):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    os.makedirs(f"{tmp_path}/general")
+    rows = [(f"{i} {src}" if not ties else src + " same" * 20 + f" {i}", t) for i, (_, src, t) in enumerate(GENERAL_ROWS)]
+    if ties:
+        rows += [("same " * 20 + f"unseen{i}", "") for i in range(3)]
+    for k in range(8):
+        part = rows[k::8]
+        pq.write_table(pa.table({"en": [r[0] for r in part], "de": [r[1] for r in part]}), f"{tmp_path}/general/{k}.parquet")
+    general = open_corpus(spark, f"{tmp_path}/general", "en", "de")
+    schema = "seg_id long, src string, tgt string"
+    specific = spark.createDataFrame(SPECIFIC_ROWS[:3], schema)
+    before = max(run.executionId() for run in executions(spark))
+    models = P.train_models(general, specific, ("src",))
+    trained = max(run.executionId() for run in executions(spark))
+    ranked = P.select(general, specific, rank_tgt=False)
+    assert ranked.count() == len(set(rows))
+    ranked.write.parquet(f"{tmp_path}/out")
+    assert models.count()
+    training = text_scans(spark, before, "general", "en") - text_scans(spark, trained, "general", "en")
+    # Without training: once for scores, once for the output, and again for ties only.
+    whole = text_scans(spark, trained, "general", "en") - training
+    assert whole == (3 if ties else 2)
+
+
+def test_a_side_without_a_score_is_an_error(spark, corpora):
+    general, specific = corpora
+    models = P.train_models(general, specific, ("src", "tgt"))
+    diffs = materialize(P.side_diffs(general, models, ("src", "tgt")), "diffs")
+    assert P.sum_sides(diffs, ("src", "tgt")).count() == general.count()
+    broken = diffs.filter("NOT (seg_id = 13 AND side = 'tgt')")
+    with pytest.raises(Exception, match="a side has no score in segment 13"):
+        P.sum_sides(broken, ("src", "tgt")).collect()
+    scores = P.sum_sides(diffs, ("src", "tgt")).filter("seg_id <> 13")
+    with pytest.raises(Exception, match="no score for segment 13"):
+        R.rank_ids(general, scores)
+
+
+def test_scores_are_the_same_on_both_ways(spark, smallest):
+    docs = documents(spark, smallest)
+    models = P.train_models(*docs, ("src",)).drop("side")
+    pair = [models.filter(f"model = '{m}'").drop("model") for m in ("specific", "general")]
+    ways = [
+        sorted(map(tuple, S.score_lm(segments(docs.general), *pair, broadcast_bytes=limit).collect()))
+        for limit in (1 << 28, 0)
+    ]
+    assert ways[0] == ways[1]
+
+
+BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SinglePartition", "collect_list")
+
+
+def test_plan_of_scores(spark, smallest):
     pairs = dialogues(spark, smallest)
     sides = ("src", "tgt")
     models = P.train_models(*pairs, sides)
-    scores = P.side_diffs(pairs.general, models, sides)
-    plan = plan_of(scores)
+    plan = plan_of(P.side_diffs(pairs.general, models, sides))
     # grams meet the model by broadcast, and are summed before the one exchange of scores
     assert plan.count("BroadcastHashJoin") >= 2
     assert "partial_sum" in plan
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SinglePartition", "collect_list"):
+    for bad in BAD:
         assert bad not in plan, bad
     weights = S.joint_weights(
         *[models.filter(f"model = '{m}'").drop("model") for m in ("specific", "general")], ["side"]
     )
     assert "Python" not in plan_of(weights)
-    few = plan_of(P.select(*pairs, top=5))
-    assert "Window" not in few.split("BroadcastExchange")[0]
+
+
+def test_plan_of_training_samples_and_ranks(spark, smallest):
+    docs = documents(spark, smallest)
+    counts = V.token_counts(segments(docs.specific))
+    assert "partial_count" in plan_of(counts)
+    sentences = M.training_sentences(segments(docs.specific), V.vocab(counts))
+    adjusted = M.adjusted_counts(M.ngram_counts(sentences))
+    assert plan_of(adjusted).count("partial_") >= 2
+    for df in (M.ngram_counts(sentences), adjusted, M.lm_probs(materialize(adjusted, "adjusted"))):
+        for bad in BAD[:4]:
+            assert bad not in plan_of(df), bad
+    # a sample is a filter: nothing is sorted or shuffled
+    flat = materialize(docs.general, "general")
+    for sample in (N.sample_first_n(flat, 7), N.sample_random_n(flat, 7)):
+        assert "Exchange" not in plan_of(sample) and "Sort" not in plan_of(sample)
+    scores = flat.select("seg_id", F.lit(0.5).alias("score"))
+    ranks = R.rank_ids(flat, scores)
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert bad not in plan_of(R.attach_ranks(flat, ranks))
+    # the best few are sent to the texts, which are not shuffled
+    best = R.attach_ranks(flat, R.rank_ids(flat, scores, top=5), 5)
+    final = plan_of(best)
+    assert "SortMergeJoin" not in final and "BroadcastHashJoin" in final
