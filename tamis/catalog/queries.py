@@ -56,9 +56,17 @@ def read_corpus(spark, sf_dir):
     return corpus.read_corpus(spark, f"{sf_dir}/documents", "text", "lang")
 
 
-@register("project_text", "SELECT coalesce(text, '') AS src, coalesce(source, '') AS tgt FROM documents")
+@register(
+    "project_text",
+    "SELECT CASE WHEN quality = 1 THEN text ELSE '' END AS src, coalesce(nullif(lang, 'en'), '') AS tgt"
+    " FROM documents LEFT JOIN labels USING (doc_id)",
+)
 def project_text(spark, sf_dir):
-    return corpus.project_text(table(spark, sf_dir, "documents"), "text", "source")
+    # texts of documents that are not known to be good are null, and so is the main language
+    good = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    docs = table(spark, sf_dir, "documents").join(good, "doc_id", "left")
+    some = docs.select(F.expr("CASE WHEN quality = 1 THEN text END AS text"), F.expr("nullif(lang, 'en') AS lang"))
+    return corpus.project_text(some, "text", "lang")
 
 
 @register(
@@ -79,7 +87,7 @@ def seg_ids(spark, sf_dir):
     ),
 )
 def read_parallel_text(spark, sf_dir):
-    pairs = dialogues(spark, sf_dir).general
+    pairs = materialize(dialogues(spark, sf_dir).general, "pairs")
     prefix = f"{new_path(spark, 'parallel')}/corpus"
     sinks.write_lines(pairs, "seg_id", "src", f"{prefix}.asked")
     sinks.write_lines(pairs, "seg_id", "tgt", f"{prefix}.answered")
@@ -144,31 +152,34 @@ def save_model(spark, sf_dir):
     return kept.select("model", "side", "n", "gram", *six("logp", "bow"))
 
 
-@register(
-    "load_model",
-    O.query(
-        f"SELECT n::INTEGER AS n, gram, {sql_six('logp', 'bow')} FROM models"
-        " WHERE model = 'specific' AND side = 'tgt'",
-        *O.trained(O.DIALOGUES),
-    ),
-)
+@register("load_model", O.query(MODELS, *O.trained(O.DIALOGUES)))
 def load_model(spark, sf_dir):
     path = new_path(spark, "saved")
     sinks.save_model(models_of(dialogues(spark, sf_dir)), path)
-    kept = sinks.load_model(spark, path).filter("model = 'specific' AND side = 'tgt'")
-    return kept.select("n", "gram", *six("logp", "bow"))
+    return sinks.load_model(spark, path).select("model", "side", "n", "gram", *six("logp", "bow"))
 
 
 # --- text functions ------------------------------------------------------------------
 
 
-def per_token(spark: SparkSession, sf_dir: str, *steps) -> DataFrame:
-    words = table(spark, sf_dir, "documents").select("doc_id", X.tokenize(F.col("text")).alias("w"))
+def per_token(words: DataFrame, *steps) -> DataFrame:
     for step in steps:
         words = words.withColumn("w", step(F.col("w")))
     return words.select("doc_id", F.posexplode("w").alias("pos", "tok"))
 
 
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", X.tokenize(F.col("text")).alias("w"))
+
+
+def masked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """General documents with words unknown to the specific ones masked: with reserved symbols,
+    and some without any other word."""
+    general = segments(documents(spark, sf_dir).general)
+    masked = V.masked_words(general, specific_words(spark, sf_dir))
+    return masked.select(F.col("seg_id").alias("doc_id"), F.col("words").alias("w"))
+
+
 def sql_per_token(words: str) -> str:
     return (
         "SELECT doc_id, (generate_subscripts(w, 1) - 1)::INTEGER AS pos, unnest(w) AS tok FROM"
@@ -178,25 +189,40 @@ def sql_per_token(words: str) -> str:
 
 @register("tokenize", sql_per_token("w"))
 def tokenize(spark, sf_dir):
-    return per_token(spark, sf_dir)
+    return per_token(document_words(spark, sf_dir))
+
 
+SKIPPED = f"""
+skipped AS (
+  SELECT t.seg_id AS doc_id, t.tok,
+         (row_number() OVER (PARTITION BY t.seg_id ORDER BY t.pos) - 1)::INTEGER AS pos
+  FROM ({O.split('gen')}) t JOIN vocab v ON t.tok = v.tok
+  WHERE t.tok NOT IN ('<s>', '</s>', '<unk>'))"""
 
-@register("empty_to_unk", sql_per_token("CASE WHEN len(w) = 0 THEN ['<unk>'] ELSE w END"))
+
+@register(
+    "empty_to_unk",
+    O.query(
+        "SELECT doc_id, pos, tok FROM skipped UNION ALL SELECT seg_id, 0, '<unk>' FROM gen"
+        " WHERE seg_id NOT IN (SELECT doc_id FROM skipped)",
+        O.DOCUMENTS, O.COUNTS, SKIPPED,
+    ),
+)
 def empty_to_unk(spark, sf_dir):
-    return per_token(spark, sf_dir, X.empty_to_unk)
+    return per_token(masked_documents(spark, sf_dir), X.skip_symbols, X.empty_to_unk)
 
 
 @register(
     "skip_symbols",
-    sql_per_token("list_filter(w, lambda x: x NOT IN ('<s>', '</s>', '<unk>'))"),
+    O.query("SELECT doc_id, pos, tok FROM skipped", O.DOCUMENTS, O.COUNTS, SKIPPED),
 )
 def skip_symbols(spark, sf_dir):
-    return per_token(spark, sf_dir, X.skip_symbols)
+    return per_token(masked_documents(spark, sf_dir), X.skip_symbols)
 
 
 @register("pad_sentence", sql_per_token("['<s>'] || w || ['</s>']"))
 def pad_sentence(spark, sf_dir):
-    return per_token(spark, sf_dir, X.pad_sentence)
+    return per_token(document_words(spark, sf_dir), X.pad_sentence)
 
 
 @register(
@@ -252,7 +278,7 @@ def sample_random_n(spark, sf_dir):
     ),
 )
 def top_n(spark, sf_dir):
-    return N.top_n(P.select(*documents(spark, sf_dir), rank_tgt=False), 100)
+    return N.top_n(P.select(*documents(spark, sf_dir), rank_tgt=False, top=200), 100)
 
 
 # --- counts and models ---------------------------------------------------------------
@@ -339,10 +365,7 @@ def context_stats(spark, sf_dir):
 
 @register("lm_probs", of_specific(f"n::INTEGER AS n, gram, {sql_six('p')}", "probs"))
 def lm_probs(spark, sf_dir):
-    adjusted = specific_adjusted(spark, sf_dir)
-    disc = M.discounts(adjusted)
-    probs = M.lm_probs(adjusted, disc, M.context_stats(adjusted, disc))
-    return probs.select("n", "gram", *six("p"))
+    return M.lm_probs(specific_adjusted(spark, sf_dir)).select("n", "gram", *six("p"))
 
 
 @register("train_lm", of_specific(f"n::INTEGER AS n, gram, {sql_six('logp', 'bow')}", "models"))
@@ -503,9 +526,17 @@ def align_text(spark, sf_dir):
     return scored_documents(spark, sf_dir)
 
 
-@register("sort_ranked", O.query(SCORED, *O.scored(O.DIALOGUES), O.diffs(O.LOGPROB)))
+@register(
+    "sort_ranked",
+    O.query(
+        "SELECT row_number() OVER (ORDER BY score DESC, src DESC, tgt DESC) AS index, seg_id, score,"
+        " src, tgt FROM scored",
+        *O.scored(O.DIALOGUES), O.diffs(O.LOGPROB),
+    ),
+)
 def sort_ranked(spark, sf_dir):
-    return R.sort_ranked(scored_dialogues(spark, sf_dir))
+    # the place of a row in the sorted frame, so that the order is compared too
+    return R.numbered(R.sort_ranked(scored_dialogues(spark, sf_dir)), "sorted")
 
 
 @register(
