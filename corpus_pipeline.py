@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm.common import FILE, ROW, stored
+from tamis.llm.common import FILE, ROW, stored, with_places
 from tamis.llm.decontamination import drop_contaminated
 from tamis.llm.jaccard_join import one_of_each
 from tamis.llm.mixing import mixed_documents
@@ -58,7 +58,7 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     narrow = materialize(rows.select(FILE, ROW, size.alias("__size")), "sizes")
     placed = materialize(shard_by_bytes(narrow, "__size", [FILE, ROW], SHARDS), "shards")
     kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    return rows.select(FILE, ROW, *kept).join(placed, [FILE, ROW]).select(*kept, "shard", "slot")
+    return with_places(rows.select(FILE, ROW, *kept), placed).select(*kept, "shard", "slot")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -10,13 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tamis.sources.staging import materialize
+from tamis.sources.staging import fits_broadcast, materialize
 
 # Internal columns. Every operator first selects what it needs under names of this form, so
 # that columns of the caller, whatever their names, cannot clash.
 FILE, ROW = "__file", "__row"
 PART, SEQ = "__part", "__seq"
 
+# Counted size up to which a narrow table of rows is broadcast to the documents; beyond it, the
+# documents are shuffled to it.
+NARROW_BYTES = 64 * 1024 * 1024
+
 PARTITION_BITS = 33  # monotonically_increasing_id(): partition above, row below
 
 
@@ -40,18 +44,33 @@ def fold_of(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.pmod(utf8_crc32(doc_id.cast("string")), F.lit(folds)).cast("int"), F.lit(-1))
 
 
+def in_files(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns as a plain read of files; a frame that is none is written first. What joins
+    several ``stored`` frames of the same documents starts from here."""
+    wanted = docs.select(*columns) if columns else docs
+    try:
+        wanted.select("_metadata.file_path", "_metadata.row_index")
+        return wanted
+    except AnalysisException:
+        return materialize(wanted, "stored")
+
+
 def stored(docs: DataFrame, *columns: str) -> DataFrame:
     """The columns with the place of each row in storage: ``FILE`` and ``ROW``.
 
     The place identifies a row, repeated ones included, and is the same in every scan,
-    however the files are split. A frame that is not a plain read of files is written first.
+    however the files are split.
     """
-    wanted = list(columns) or docs.columns
-    place = (F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
-    try:
-        return docs.select(*wanted, *place)
-    except AnalysisException:
-        return materialize(docs.select(*wanted), "stored").select(*wanted, *place)
+    rows = in_files(docs, *columns)
+    return rows.select(
+        "*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)
+    )
+
+
+def with_places(rows: DataFrame, narrow: DataFrame) -> DataFrame:
+    """The rows of ``stored`` joined to a written narrow table with a row for each of them."""
+    small = fits_broadcast(narrow, NARROW_BYTES)
+    return rows.join(F.broadcast(narrow) if small else narrow, [FILE, ROW])
 
 
 def in_order(rows: DataFrame, by: Sequence[str | Column], name: str) -> DataFrame:

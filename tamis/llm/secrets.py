@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tamis.llm.common import FILE, ROW, stored, text_of
+from tamis.llm.common import FILE, ROW, in_files, stored, text_of
 from tamis.sources.staging import fits_broadcast, materialize
 
 # Counted size up to which the table of candidates is broadcast; beyond it, it is shuffled.
@@ -264,6 +264,7 @@ def op9_secrets(docs: DataFrame) -> DataFrame:
 
     Documents without any have zeros, the digest of the empty string and an empty ``spans``.
     """
+    docs = in_files(docs, "doc_id", "text")
     base = [rule.kind for rule in BASE_RULES]
     place = F.concat_ws(":", "kind", F.col("start").cast("string"), F.col("stop").cast("string"))
     by_row = (
