@@ -87,8 +87,7 @@ class Vocabulary:
         if END_WORD not in words:  # no training document
             words, counts = [*words, END_WORD], np.append(counts, 0.0)
         self.place = {w: i for i, w in enumerate(words)}
-        self.logs = np.log10(counts + 0.5)
-        self.total, self.types = tokens, types
+        self.logs, self.seen = np.log10(counts + 0.5), counts > 0
         self.base = np.log10(tokens + 0.5 * (types + 1))
         # Tokens of the model: END, UNKNOWN, then words by frequency.
         model = [i for i, w in enumerate(words) if w != END_WORD][: R.SIZE - 2]
@@ -183,7 +182,7 @@ def score_texts(
                 out.append(
                     {
                         "n_tokens": len(tokens),
-                        "n_head": int(in_head.sum()),
+                        "n_head": int(known.seen[places[in_head]].sum()),
                         "head_log": float(logs.sum()),
                         "n_unknown": int((tokens == R.UNKNOWN).sum()),
                         "unknown_log": float(logs[tokens[in_head] == R.UNKNOWN].sum()),
