@@ -53,6 +53,7 @@ PAIRS_PER_ROW = 1000
 STAR_ROUNDS = 6
 LINKS_PER_ROW = 0.01  # links found in a round beyond which the next is one of stars again
 LONGS = 8  # of the second sketch
+HELD_KEYS = 100_000  # keys a task holds before it hands them on
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # any odd number with its bits well spread
 PIECE = 1 << 22  # bytes of text whose words are hashed at once
@@ -196,8 +197,16 @@ def block_keys(rows: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        keys: list[np.ndarray] = []
+        members: list[np.ndarray] = []
+        held = 0
+
+        def handed_on() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(_signed(np.concatenate(keys))), pa.array(np.concatenate(members))], ["key", "member"]
+            )
+
         for batch in batches:
-            keys, members = [], []
             for value in texts(batch, "t"):
                 found = shingles(value)
                 if not len(found) or (node := node_of(found)) in seen:
@@ -206,11 +215,12 @@ def block_keys(rows: DataFrame, percent: int) -> DataFrame:
                 for k, band in enumerate(bands(len(found), percent)):
                     keys.append(sketch(found, band))
                     members.append(np.full(len(keys[-1]), node + k, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(np.concatenate(keys))), pa.array(np.concatenate(members))],
-                    ["key", "member"],
-                )
+                    held += len(keys[-1])
+                if held > HELD_KEYS:
+                    yield handed_on()
+                    keys, members, held = [], [], 0
+        if held:
+            yield handed_on()
 
     return rows.select("t").mapInArrow(run, "key long not null, member long not null")
 
@@ -256,11 +266,14 @@ def candidate_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(value) for value in texts(batch, "t")]
-            n = pa.array([len(found) for found in sets], pa.int64())
-            bits = pa.array([parity_bits(found) for found in sets], pa.list_(pa.int64()))
+            n, bits = [], []
+            for value in texts(batch, "t"):
+                found = shingles(value)
+                n.append(len(found))
+                bits.append(parity_bits(found))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), n, bits, batch.column("t")], ["node", "n", "bits", "t"]
+                [batch.column("node"), pa.array(n, pa.int64()), pa.array(bits, pa.list_(pa.int64())), batch.column("t")],
+                ["node", "n", "bits", "t"],
             )
 
     found = rows.join(wanted, [FILE, ROW]).select("node", "t")
@@ -331,6 +344,21 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame | None, new: DataFrame) -> DataFrame:
+    """``node``, ``label`` after new links ``a``, ``b``: the components so far are single nodes of
+    a smaller graph, whose components take their place."""
+    if labels is None:
+        return components(new)
+    for end in ("a", "b"):
+        own = labels.select(F.col("node").alias(end), F.col("label").alias(f"of_{end}"))
+        new = new.join(own, end, "left")
+    ends = new.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    over = components(ends.where("a <> b").distinct())
+    step = over.select(F.col("node").alias("label"), F.col("label").alias("next"))
+    known = labels.join(step, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+    return materialize(known.union(over).groupBy("node").agg(F.min("label").alias("label")), "merged")
+
+
 def _groups(searched: DataFrame, labels: DataFrame) -> DataFrame:
     """``key``, ``node``, ``n``, ``bits``, ``comp`` of the blocks whose nodes are not all in one
     component, with ``main``, the component that has most of them, and how many there are."""
@@ -402,20 +430,19 @@ def linked_nodes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     common = searched.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
     searched = materialize(searched.join(common, "key"), "common-blocks")
 
-    labels = spark.createDataFrame([], "node long, label long")
-    found: DataFrame | None = None
+    nothing = spark.createDataFrame([], "node long, label long")
+    labels: DataFrame | None = None
     done: DataFrame | None = None
 
     def joined(pairs: DataFrame, name: str) -> int:
-        nonlocal labels, found, done
+        nonlocal labels, done
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = materialize(pairs, f"pairs-{name}")
         done = pairs if done is None else done.union(pairs)
         new = materialize(verified(pairs, texts_of, percent), f"links-{name}")
-        found = new if found is None else found.union(new)
         if linked := new.count():
-            labels = components(found)
+            labels = merged(labels, new)
         return linked
 
     # Rounds of stars: one member of each block with the others. The first brings most of what is
@@ -424,7 +451,7 @@ def linked_nodes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     groups = searched.withColumn("comp", F.col("node"))
     for turn in range(STAR_ROUNDS + 1):
         linked = joined(_stars(groups, turn, percent), f"star-{turn}")
-        groups = materialize(_groups(searched, labels), f"open-{turn}")
+        groups = materialize(_groups(searched, labels or nothing), f"open-{turn}")
         each = groups.groupBy("key").agg(F.first("all").alias("k"), F.first("most").alias("m"))
         left = each.agg(F.sum((F.col("k") - F.col("m")) * F.col("k").cast("double"))).first()[0] or 0
         few = left <= PAIRS_PER_ROW * size and linked <= LINKS_PER_ROW * size
@@ -433,7 +460,7 @@ def linked_nodes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         before = left
     if left:
         joined(_all_pairs(groups, percent), "rest")
-    return counted, labels
+    return counted, labels or nothing
 
 
 def near_duplicates(
