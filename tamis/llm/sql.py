@@ -315,12 +315,65 @@ JOIN near nn ON nn.doc_id = e.doc_id AND nn.kind = 'own'
 """
 
 
-# op4, op5, op6, op8 and the pipeline have no SQL: an automaton, components, learned models. op10
-# has none either, as a schedule goes slot by slot. They are tested against brute force.
+def op10() -> str:
+    """Slot by slot: the released block with the earliest deadline, and weights anew when a group
+    has run out. Groups are numbered from 1, the sources without a weight first."""
+    from tamis.llm.mixing import BLOCK_ROWS, OTHERS_WEIGHT, WEIGHTS
+
+    names = list(WEIGHTS)
+    group = " ".join(f"WHEN source = '{name}' THEN {i + 2}" for i, name in enumerate(names))
+    weights = [OTHERS_WEIGHT, *WEIGHTS.values()]
+    each = f"range(1, {len(weights) + 1})"
+    named = ", ".join(["NULL", *[f"'{name}'" for name in names]])
+    return f"""
+WITH RECURSIVE placed AS (
+  SELECT doc_id, source, CASE {group} ELSE 1 END AS g FROM documents
+),
+blocked AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, source) - 1 AS i FROM placed
+),
+sizes AS (SELECT g, count(*) AS c FROM blocked GROUP BY g),
+counts AS (
+  SELECT list(coalesce((c + {BLOCK_ROWS} - 1) // {BLOCK_ROWS}, 0) ORDER BY k) AS n
+  FROM (SELECT unnest({each}) AS k) LEFT JOIN sizes ON g = k
+),
+run AS (
+  SELECT 0::BIGINT AS next, 0::BIGINT AS start, list_transform({each}, lambda k: 0::BIGINT) AS had, n AS rest, n,
+         NULL::BIGINT AS slot, NULL::BIGINT AS g, NULL::BIGINT AS block, NULL::BIGINT AS release, NULL::BIGINT AS deadline
+  FROM counts
+  UNION ALL
+  SELECT next + 1, CASE WHEN rest[p] = 1 THEN next + 1 ELSE start END,
+         CASE WHEN rest[p] = 1 THEN list_transform({each}, lambda k: 0::BIGINT)
+              ELSE list_transform({each}, lambda k: had[k] + (k = p)::BIGINT) END,
+         list_transform({each}, lambda k: rest[k] - (k = p)::BIGINT), n,
+         next, p, n[p] - rest[p], start + had[p] * total // w[p], start + best // 100
+  FROM (
+    SELECT *, best % 100 AS p FROM (
+      SELECT *, list_min(list_transform({each}, lambda k: CASE
+        WHEN rest[k] > 0 AND had[k] * total // w[k] <= next - start
+        THEN ((had[k] + 1) * total + w[k] - 1) // w[k] * 100 + k END)) AS best
+      FROM (
+        SELECT run.*, {weights}::BIGINT[] AS w,
+               list_sum(list_transform({each}, lambda k: CASE WHEN rest[k] > 0 THEN {weights}[k] ELSE 0 END))::BIGINT
+                 AS total
+        FROM run
+      ) WHERE total > 0
+    )
+  )
+)
+SELECT doc_id, source, [{named}][b.g] AS mix_group, block, release, deadline, slot,
+       row_number() OVER (ORDER BY slot, i) - 1 AS position
+FROM blocked b JOIN run ON run.g = b.g AND run.block = i // {BLOCK_ROWS}
+"""
+
+
+# op4, op5, op6, op8 and the pipeline have no SQL: an automaton, components, learned models. They
+# are tested against brute force.
 SQL: dict[str, str] = {
     "op1_sharding": OP1,
     "op2_decontamination": OP2,
     "op3_fingerprints": op3(),
     "op7_urls": op7(),
     "op9_secrets": op9(),
+    "op10_mixing": op10(),
 }
