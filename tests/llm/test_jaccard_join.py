@@ -15,7 +15,8 @@ def grams(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def brute(rows):
+def components(rows):
+    """The component of every row, as the index of one of its rows."""
     sets = [grams(t) for _, t, *_ in rows]
     root = list(range(len(rows)))
 
@@ -29,10 +30,15 @@ def brute(rows):
             both = len(sets[i] & sets[j])
             if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
                 root[find(i)] = find(j)
-    out = []
-    for i, (doc_id, *_) in enumerate(rows):
-        own = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
-        out.append((doc_id, len(sets[i]), min(own, default=None) if sets[i] else doc_id))
+    return [find(i) for i in range(len(rows))]
+
+
+def brute(rows):
+    of, out = components(rows), []
+    for i, (doc_id, text, *_) in enumerate(rows):
+        own = [rows[j][0] for j in range(len(rows)) if of[j] == of[i] and rows[j][0] is not None]
+        n = len(grams(text))
+        out.append((doc_id, n, min(own, default=None) if n else doc_id))
     return sorted(out, key=repr)
 
 
@@ -88,12 +94,16 @@ def test_one_of_each(spark):
     docs = documents(spark, given)
     kept = M.one_of_each(docs)
     assert kept.columns == docs.columns
-    groups = {name for _, n, name in brute(given) if n}
-    without = sum(1 for _, n, _ in brute(given) if not n)
+    of = components(given)
+    names = []  # one for each component with words
+    for root in set(of):
+        own = [given[i][0] for i in range(len(given)) if of[i] == root]
+        if grams(given[root][1]):
+            names.append(min((d for d in own if d is not None), default=None))
     found = kept.collect()
     with_words = [r.doc_id for r in found if grams(r.text)]
-    assert sorted(with_words, key=repr) == sorted(groups, key=repr)
-    assert len(found) - len(with_words) == without
+    assert sorted(with_words, key=repr) == sorted(names, key=repr)
+    assert len(found) - len(with_words) == sum(not grams(t) for _, t, *_ in given)
 
 
 def test_sketches_differ_in_at_most_the_symmetric_difference():
