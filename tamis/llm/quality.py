@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.llm.common import fold_of
@@ -252,10 +252,6 @@ def score(measured: DataFrame, model: Classifier) -> DataFrame:
     return measured.select(*keep, "x").mapInArrow(run, schema)
 
 
-def accepted(score_column: str | Column = "score") -> Column:
-    return F.col(score_column) >= THRESHOLD if isinstance(score_column, str) else score_column >= THRESHOLD
-
-
 def op6_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The score of every document, empty and null texts (equal to empty) included.
 
@@ -267,7 +263,7 @@ def op6_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id",
         (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
         "score",
-        accepted().cast("int").alias("predicted"),
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
 
 
@@ -281,5 +277,13 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(measured, labels)
     names = docs.columns
     inner = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
-    scored = score(with_statistics(inner, f"c{names.index('text')}", inner.columns), model)
-    return scored.where(accepted()).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    text = f"c{names.index('text')}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([statistics(t) for t in texts(batch, text)]).reshape(-1, len(STATISTICS))
+            good = model.scores(x) >= THRESHOLD if len(x) else np.zeros(0, bool)
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    kept = inner.mapInArrow(run, inner.schema)
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
