@@ -1,12 +1,12 @@
 """Log-likelihoods of whole texts under word counts and under a gated recurrent model.
 
-Word counts come from all training documents. The recurrent model knows the most frequent
-words; any other word is its unknown token, times the word's share of all such words by the
-counts. It is trained on every training document once, in as many rounds as there are training
+Word counts come from all training documents. The recurrent model knows every word whose share
+of the counts is at least ``LEAST_SHARE``, so its vocabulary follows the corpus; any other word
+is its unknown token, times the word's share of all such words by the counts. It is trained on every training document once, in as many rounds as there are training
 folds: in a round each task trains on its documents of that fold from the same weights, and the
 weights are averaged over tasks, by tokens.
 
-A dictionary of the ``HEAD`` most frequent words is broadcast. The counts of other words are
+A dictionary of the ``HEAD`` most frequent words, or of all that the model knows, is broadcast. The counts of other words are
 found by a join on the words that each document has left over.
 """
 
@@ -28,7 +28,12 @@ from tamis.sources.staging import materialize
 
 FOLDS = 5
 HELD_OUT = 1
-HEAD = 60_000  # words in the broadcast dictionary
+HEAD = 60_000  # words in the broadcast dictionary, if the model does not know more
+# Share of all training tokens from which on the model knows a word. No corpus has more words of
+# that share than its inverse, which bounds the model.
+LEAST_SHARE = 1e-6
+LEAST_COUNT = 5  # in small corpora: words seen less often are what the unknown token learns from
+BLOCK = 8192  # weights in a row when the weights of tasks are averaged
 END_WORD = b""  # no word is empty; the end of a text is counted under it
 HELD_WORDS = 400_000  # distinct words a counting task holds before it hands them on
 GIVEN_LOG = np.log(10.0)
@@ -59,18 +64,27 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def least_count(tokens: int) -> float:
+    """From which on the model knows a word."""
+    return max(LEAST_COUNT, LEAST_SHARE * tokens)
+
+
 def head_of(counts: DataFrame, size: int = HEAD) -> tuple[list[bytes], np.ndarray]:
-    """At most ``size`` of the most frequent words, by falling count, and their counts.
+    """At most ``size`` of the most frequent words, or all from ``least_count`` on if those are
+    more, by falling count, and their counts.
 
     Words are cut at a step of a sixteenth power of two in the count, found by counting words
     per step; nothing is sorted, and only the head reaches the driver.
     """
     step = F.floor(F.log2("c") * 16).cast("int")
-    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
+    steps = counts.groupBy(step.alias("step")).agg(
+        F.count("*").alias("n"), F.sum("c").alias("tokens"), F.max("c").alias("most")
+    ).collect()
+    least = least_count(sum(row["tokens"] for row in steps))
     cut, held = None, 0
     for row in sorted(steps, key=lambda r: -r["step"]):
         held += row["n"]
-        if held > size:
+        if held > size and row["most"] < least:
             break
         cut = row["step"]
     if cut is None:
@@ -89,9 +103,13 @@ class Vocabulary:
         self.place = {w: i for i, w in enumerate(words)}
         self.logs, self.seen = np.log10(counts + 0.5), counts > 0
         self.base = np.log10(tokens + 0.5 * (types + 1))
-        # Tokens of the model: END, UNKNOWN, then words by frequency.
-        model = [i for i, w in enumerate(words) if w != END_WORD][: R.SIZE - 2]
-        self.token = np.full(len(words) + 1, R.UNKNOWN, np.int16)  # the last is for place -1
+        # Tokens of the model: END, UNKNOWN, then words by frequency; as many as the smallest
+        # model has room for, or as are frequent enough.
+        least = least_count(tokens)
+        ranked = [i for i, w in enumerate(words) if w != END_WORD]
+        model = [i for at, i in enumerate(ranked) if at < R.SIZE - 2 or counts[i] >= least]
+        self.classes = R.classes_for(len(model) + 2)
+        self.token = np.full(len(words) + 1, R.UNKNOWN, np.int32)  # the last is for place -1
         self.token[model] = np.arange(2, 2 + len(model))
         self.token[self.place[END_WORD]] = R.END
         known = counts[model].sum() + 0.5 * len(model)
@@ -99,7 +117,7 @@ class Vocabulary:
         # What the counts leave for all words without a token, the unseen one included.
         rest = max(tokens + 0.5 * (types + 1) - known - end, 0.5)
         self.rest = np.log10(rest)
-        shares = np.zeros(R.SIZE)
+        shares = np.zeros(self.classes * self.classes)
         shares[2 : 2 + len(model)] = counts[model] + 0.5
         shares[R.END], shares[R.UNKNOWN] = end, rest
         self.shares = shares / shares.sum()
@@ -113,35 +131,42 @@ class Vocabulary:
 def trained(docs: DataFrame, text: str, fold: str, vocabulary, start: R.Parameters, folds: list[int]) -> R.Parameters:
     """The model after one round per fold in ``folds``."""
     spark = docs.sparkSession
-    values = R.flat(start).astype(np.float64)
+    values, classes = R.flat(start), len(start["class_bias"])
+
+    def mean_of(tasks: pa.Table) -> pa.Table:
+        """Of one block of weights: one row for each task."""
+        n = tasks.column("n").to_numpy()
+        v = sum(np.frombuffer(x.as_py(), np.float32) * m for x, m in zip(tasks.column("v"), n)) / n.sum()
+        return pa.table({"i": tasks.column("i")[:1], "v": pa.array([v.astype(np.float32).tobytes()], pa.binary())})
+
     for k in folds:
         weights = spark.sparkContext.broadcast(values)
 
         def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = vocabulary.value
-            trainer = R.Trainer(R.shaped(weights.value))
+            trainer = R.Trainer(R.shaped(weights.value, classes))
             for batch in batches:
                 trainer.learn([known.token[known.places(spaced_words(t))] for t in texts(batch, "t")])
             if trainer.seen:
-                out = R.flat(trainer.p).astype(np.float64)
+                out = R.flat(trainer.p)
+                blocks = [out[at : at + BLOCK].tobytes() for at in range(0, len(out), BLOCK)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(len(out), dtype=np.int32)),
-                        pa.array(out * trainer.seen),
-                        pa.array(np.full(len(out), float(trainer.seen))),
+                        pa.array(np.arange(len(blocks), dtype=np.int32)),
+                        pa.array(blocks, pa.binary()),
+                        pa.array(np.full(len(blocks), float(trainer.seen))),
                     ],
                     ["i", "v", "n"],
                 )
 
         of_fold = docs.where(F.col(fold) == k).select(F.col(text).alias("t"))
-        parts = of_fold.mapInArrow(train, "i int, v double, n double")
-        # One row per weight of the model, however many tasks there were.
-        mean = parts.groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toArrow()
+        parts = of_fold.mapInArrow(train, "i int, v binary, n double")
+        # One row per block of weights of the model, however many tasks there were.
+        mean = parts.groupBy("i").applyInArrow(mean_of, "i int, v binary").toArrow().sort_by("i")
         if mean.num_rows:
-            values = np.empty(mean.num_rows)
-            values[mean.column("i").to_numpy()] = mean.column("v").to_numpy()
+            values = np.frombuffer(b"".join(mean.column("v").to_pylist()), np.float32)
         weights.unpersist()
-    return R.shaped(values)
+    return R.shaped(values, classes)
 
 
 def score_texts(
@@ -168,7 +193,7 @@ def score_texts(
     weights = spark.sparkContext.broadcast(R.flat(model))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, p = shared.value, R.shaped(weights.value)
+        known, p = shared.value, R.shaped(weights.value, shared.value.classes)
         for batch in batches:
             sequences, out = [], []
             for value in texts(batch, "t"):

@@ -9,15 +9,17 @@ gradient stops at the window's edge.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
 HIDDEN = 16
+# Of the smallest model; a larger vocabulary has as many classes as words of a class.
 CLASSES = 32
 PER_CLASS = 32
-SIZE = CLASSES * PER_CLASS  # tokens of the model
+SIZE = CLASSES * PER_CLASS  # tokens of the smallest model
 END, UNKNOWN = 0, 1  # END also stands before the first token of a text
 WINDOW = 32  # steps of one window
 STREAMS = 256  # at most so many streams side by side
@@ -25,27 +27,42 @@ LEAST_WINDOWS = 40  # fewer streams for short input, so that there are so many w
 PIECE = 1024  # tokens after which a training text goes on as another
 RATE = 0.01
 LEAST = 1e-30
+SAFE = 60.0  # size of an exponent that needs no shift
+CELLS = 24_576  # of a softmax held at a time, so that it stays in the caches
 
 Parameters = dict[str, np.ndarray]
 
-SHAPES = {
-    "embed": (SIZE, HIDDEN),
-    "input": (HIDDEN, 3 * HIDDEN),
-    "state": (HIDDEN, 3 * HIDDEN),
-    "gate_bias": (3 * HIDDEN,),
-    "class_out": (HIDDEN, CLASSES),
-    "class_bias": (CLASSES,),
-    "word_out": (CLASSES, HIDDEN, PER_CLASS),
-    "word_bias": (CLASSES, PER_CLASS),
-}
+
+def classes_for(tokens: int) -> int:
+    """Classes, and words of a class, of a model with room for so many tokens."""
+    return max(CLASSES, math.isqrt(max(tokens - 1, 0)) + 1)
+
+
+def shapes(classes: int) -> dict[str, tuple[int, ...]]:
+    """Of a model with so many classes of as many words."""
+    return {
+        "embed": (classes * classes, HIDDEN),
+        "input": (HIDDEN, 3 * HIDDEN),
+        "state": (HIDDEN, 3 * HIDDEN),
+        "gate_bias": (3 * HIDDEN,),
+        "class_out": (HIDDEN, classes),
+        "class_bias": (classes,),
+        "word_out": (classes, HIDDEN, classes),
+        "word_bias": (classes, classes),
+    }
+
+
+SHAPES = shapes(CLASSES)
 
 
 def initial(shares: np.ndarray, seed: int = 8) -> Parameters:
-    """Small random weights; the biases give every token its share (an array of ``SIZE``)."""
+    """Small random weights; the biases give every token its share (an array of ``classes`` times
+    ``classes``)."""
     rng = np.random.default_rng(seed)
-    p = {k: rng.normal(0, 0.15, shape).astype(np.float32) for k, shape in SHAPES.items()}
+    classes = classes_for(len(shares))
+    p = {k: rng.normal(0, 0.15, shape).astype(np.float32) for k, shape in shapes(classes).items()}
     p["gate_bias"][:] = 0
-    by_class = np.maximum(shares, 1e-9).reshape(CLASSES, PER_CLASS)
+    by_class = np.maximum(shares, 1e-9).reshape(classes, classes)
     p["class_bias"] = np.log(by_class.sum(1)).astype(np.float32)
     p["word_bias"] = np.log(by_class / by_class.sum(1, keepdims=True)).astype(np.float32)
     return p
@@ -55,9 +72,9 @@ def flat(p: Parameters) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in SHAPES])
 
 
-def shaped(values: np.ndarray) -> Parameters:
+def shaped(values: np.ndarray, classes: int = CLASSES) -> Parameters:
     out, at = {}, 0
-    for k, shape in SHAPES.items():
+    for k, shape in shapes(classes).items():
         n = int(np.prod(shape))
         out[k] = values[at : at + n].reshape(shape).astype(np.float32)
         at += n
@@ -96,8 +113,8 @@ def laid_out(sequences: list[np.ndarray]) -> Streams:
     column = np.empty(width, np.int64)
     column[[s for _, s in sorted(loads, reverse=True)]] = np.arange(width)
     steps = max(load for load, _ in loads)
-    given = np.zeros((steps, width), np.int16)
-    wanted = np.zeros((steps, width), np.int16)
+    given = np.zeros((steps, width), np.int32)
+    wanted = np.zeros((steps, width), np.int32)
     first = np.zeros((steps, width), bool)
     text = np.full((steps, width), -1, np.int32)
     for i, words in enumerate(sequences):
@@ -115,9 +132,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _driven(p: Parameters) -> np.ndarray:
-    """What every token adds to the gates."""
-    return p["embed"] @ p["input"] + p["gate_bias"]
+def _driven(p: Parameters, tokens: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """What every one of the tokens adds to the gates."""
+    return p["embed"][tokens] @ p["input"] + p["gate_bias"]
 
 
 def _forward(p: Parameters, driven: np.ndarray, first: np.ndarray, h: np.ndarray, trace: list | None):
@@ -140,18 +157,59 @@ def _forward(p: Parameters, driven: np.ndarray, first: np.ndarray, h: np.ndarray
     return out, h
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    """Over the rows: one column per step, which numpy sums fast."""
-    e = np.exp(logits - logits.max(0))
-    return e / e.sum(0)
-
-
-def _by_class(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(groups, kind="stable")
-    edges = np.searchsorted(groups[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c] : edges[c + 1]]
+def _with_one(states: np.ndarray) -> np.ndarray:
+    """A one after every state, which the bias is multiplied by."""
+    return np.concatenate([states, np.ones((len(states), 1), states.dtype)], 1)
+
+
+def _outputs(p: Parameters) -> tuple[np.ndarray, np.ndarray]:
+    """Output weights of the classes, as one group, and of the words, a group per class; the bias
+    is the last row."""
+    of_class = np.concatenate([p["class_out"], p["class_bias"][None]])[None]
+    return of_class, np.concatenate([p["word_out"], p["word_bias"][:, None]], 1)
+
+
+def _softmax(
+    out: np.ndarray, used: np.ndarray, group: np.ndarray, goal: np.ndarray, n: int = 0
+) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
+    """Of every step the chance of its goal by the softmax of its group. With ``n``, also the
+    gradients of the summed loss divided by ``n``, by ``out`` and by ``used``.
+
+    Steps are put in the order of their groups once, so that a group, of which there are many,
+    costs few calls.
+    """
+    order = np.argsort(group, kind="stable")
+    edges = np.searchsorted(group[order], np.arange(len(out) + 1))
+    used, goal = used[order], goal[order]
+    # States are at most one in size, so small weights need no shift.
+    shift = not np.abs(out).sum(1).max() < SAFE
+    chunk = max(16, CELLS // out.shape[2])
+    steps = np.arange(chunk)
+    kind = np.result_type(out, used)
+    chance = np.empty(len(goal), kind)
+    d_out, d_used = (np.zeros_like(out), np.empty(used.shape, kind)) if n else (None, None)
+    for c in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+        own, stop = out[c], int(edges[c + 1])
+        for at in range(int(edges[c]), stop, chunk):
+            cut = slice(at, min(at + chunk, stop))
+            held, wanted = used[cut], goal[cut]
+            k = steps[: len(wanted)]
+            e = own.T @ held.T  # one column per step, which numpy sums fast
+            if shift:
+                e -= e.max(0)
+            np.exp(e, out=e)
+            sums = e.sum(0)
+            right = e[wanted, k] / sums
+            chance[cut] = right
+            if n:
+                sums *= n
+                e /= sums
+                e[wanted, k] = (right - 1) / n
+                d_out[c] += (e @ held).T
+                d_used[cut] = e.T @ own.T
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return chance[back], d_out, d_used[back] if n else None
 
 
 def log_likelihoods(p: Parameters, sequences: list[np.ndarray]) -> np.ndarray:
@@ -161,17 +219,15 @@ def log_likelihoods(p: Parameters, sequences: list[np.ndarray]) -> np.ndarray:
         return total
     streams = laid_out(sequences)
     h = np.zeros((streams.given.shape[1], HIDDEN), np.float32)
-    driven = _driven(p)
+    driven, classes = _driven(p), len(p["class_bias"])
+    of_class, of_word = _outputs(p)
     for given, wanted, first, text in streams.windows():
         states, h = _forward(p, driven[given], first, h[: given.shape[1]], None)
         real = np.flatnonzero(text.ravel() >= 0)
-        used, goal = states.reshape(-1, HIDDEN)[real], wanted.ravel()[real].astype(np.int64)
-        group, word = goal // PER_CLASS, goal % PER_CLASS
-        soft = _softmax(p["class_out"].T @ used.T + p["class_bias"][:, None])
-        chance = soft[group, np.arange(len(goal))]
-        for c, at in _by_class(group):
-            inner = _softmax(p["word_out"][c].T @ used[at].T + p["word_bias"][c][:, None])
-            chance[at] *= inner[word[at], np.arange(len(at))]
+        used, goal = _with_one(states.reshape(-1, HIDDEN)[real]), wanted.ravel()[real].astype(np.int64)
+        group, word = np.divmod(goal, classes)
+        chance = _softmax(of_class, used, np.zeros_like(group), group)[0]
+        chance *= _softmax(of_word, used, group, word)[0]
         logs = np.log(np.maximum(chance, LEAST))
         total += np.bincount(text.ravel()[real], weights=logs, minlength=len(sequences))
     return total
@@ -183,36 +239,28 @@ def gradients(
     """Gradients of the mean loss over the real steps of one window, by backpropagation through
     its steps; the state after it; the summed loss."""
     trace: list = []
-    states, last = _forward(p, _driven(p)[given], first, h, trace)
+    # Only the tokens of the window are looked at, however many the model has.
+    tokens, place = np.unique(given.ravel(), return_inverse=True)
     steps, width = given.shape
+    states, last = _forward(p, _driven(p, tokens)[place].reshape(steps, width, -1), first, h, trace)
     flat_states = states.reshape(-1, HIDDEN)
     at_real = np.flatnonzero(real.ravel())
-    used = flat_states[at_real]
+    used = _with_one(flat_states[at_real])
     goal = wanted.ravel()[at_real].astype(np.int64)
-    group, word = goal // PER_CLASS, goal % PER_CLASS
+    classes = len(p["class_bias"])
+    group, word = np.divmod(goal, classes)
     n = max(len(goal), 1)
-    row = np.arange(len(goal))
     g = {k: np.zeros_like(v) for k, v in p.items()}
 
-    soft = _softmax(p["class_out"].T @ used.T + p["class_bias"][:, None])
-    loss = -float(np.log(np.maximum(soft[group, row], LEAST)).sum())
-    soft[group, row] -= 1
-    soft /= n
-    g["class_out"] = (soft @ used).T
-    g["class_bias"] = soft.sum(1)
-    d_used = soft.T @ p["class_out"].T
-    for c, at in _by_class(group):
-        own = used[at]
-        inner = _softmax(p["word_out"][c].T @ own.T + p["word_bias"][c][:, None])
-        k = np.arange(len(at))
-        loss -= float(np.log(np.maximum(inner[word[at], k], LEAST)).sum())
-        inner[word[at], k] -= 1
-        inner /= n
-        g["word_out"][c] = (inner @ own).T
-        g["word_bias"][c] = inner.sum(1)
-        d_used[at] += inner.T @ p["word_out"][c].T
+    of_class, of_word = _outputs(p)
+    chance, d_class, d_used = _softmax(of_class, used, np.zeros_like(group), group, n)
+    inner, d_word, d_inner = _softmax(of_word, used, group, word, n)
+    loss = -float(np.log(np.maximum(chance, LEAST)).sum() + np.log(np.maximum(inner, LEAST)).sum())
+    g["class_out"], g["class_bias"] = d_class[0, :-1], d_class[0, -1]
+    g["word_out"], g["word_bias"] = d_word[:, :-1], d_word[:, -1]
+    d_used += d_inner
     d_states = np.zeros_like(flat_states)
-    d_states[at_real] = d_used
+    d_states[at_real] = d_used[:, :-1]
     d_states = d_states.reshape(states.shape)
 
     two = 2 * HIDDEN
@@ -241,13 +289,10 @@ def gradients(
     g["state"] = before.reshape(-1, HIDDEN).T @ d_fed.reshape(-1, 3 * HIDDEN)
     g["gate_bias"] = d_driven.sum(0)
     # Per token first: the same token was given many times.
-    order = np.argsort(given.ravel(), kind="stable")
-    sorted_tokens = given.ravel()[order]
-    starts = np.flatnonzero(np.concatenate([[True], sorted_tokens[1:] != sorted_tokens[:-1]]))
-    by_token = np.zeros((SIZE, 3 * HIDDEN), states.dtype)
-    by_token[sorted_tokens[starts]] = np.add.reduceat(d_driven[order], starts)
-    g["input"] = p["embed"].T @ by_token
-    g["embed"] = by_token @ p["input"].T
+    order = np.argsort(place, kind="stable")
+    by_token = np.add.reduceat(d_driven[order], np.searchsorted(place[order], np.arange(len(tokens))))
+    g["input"] = p["embed"][tokens].T @ by_token
+    g["embed"][tokens] = by_token @ p["input"].T
     return g, last, loss
 
 
@@ -283,7 +328,16 @@ class Trainer:
         scale = min(1.0, 1.0 / max(norm, 1e-9))
         ahead = self.rate * share * np.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
         for k, x in g.items():
-            x = x * scale
-            self.m[k] += 0.1 * (x - self.m[k])
-            self.v[k] += 0.01 * (x * x - self.v[k])
-            self.p[k] -= (ahead * self.m[k] / (np.sqrt(self.v[k]) + 1e-6)).astype(np.float32)
+            # In place: with a large vocabulary, the arrays are larger than the caches.
+            m, v = self.m[k], self.v[k]
+            m *= 0.9
+            m += x * np.float32(0.1 * scale)
+            x *= np.float32(0.1 * scale)
+            x *= x
+            v *= 0.99
+            v += x
+            np.sqrt(v, out=x)
+            x += 1e-6
+            np.divide(m, x, out=x)
+            x *= np.float32(ahead)
+            self.p[k] -= x

@@ -110,3 +110,27 @@ def test_better_than_counts_on_held_out_texts(spark):
     held = [r for r in found if r.held_out]
     assert sum(r.score for r in held) > 0.98 * sum(r.base_score for r in held)
     assert np.mean([r.score > r.base_score for r in held]) > 0.9
+
+
+def test_every_frequent_word_has_a_token_of_its_own():
+    words = [b"", *(b"w%d" % i for i in range(5000))]
+    counts = np.array([900.0] + [50.0] * 4000 + [1.0] * 1000)
+    vocabulary = M.Vocabulary(words, counts, int(counts.sum()), len(words))
+    own = vocabulary.token[1:4001]
+    assert len(set(own)) == 4000 and R.UNKNOWN not in own
+    assert set(vocabulary.token[4001:]) == {R.UNKNOWN}
+    assert R.initial(vocabulary.shares)["embed"].shape[0] > own.max()
+
+
+def test_order_of_words_beyond_the_smallest_model_counts(spark):
+    rng = np.random.default_rng(5)
+    # The frequent words fill the smallest model; each of the others stands before its partner.
+    frequent = " ".join(f"f{i}" for i in range(1100))
+    pairs = [[f"a{i} b{i}" for i in rng.permutation(60)] for _ in range(40)]
+    train = [d for d in range(200) if not in_fold(d, 1)][:40]
+    alone = [d for d in range(200, 300) if in_fold(d, 1)][:2]
+    rows = [(d, f"{frequent} {frequent} {' '.join(own)}") for d, own in zip(train, pairs)]
+    text = pairs[0]
+    rows += [(alone[0], " ".join(text)), (alone[1], " ".join(" ".join(reversed(p.split())) for p in text))]
+    score = {r.doc_id: r.score for r in M.op8_lm(documents(spark, rows)).collect()}
+    assert abs(score[alone[0]] - score[alone[1]]) > 0.01
