@@ -2,9 +2,10 @@
 
 All templates, as word sequences, go into one generalised suffix automaton. A text is streamed
 through it: after every word the automaton knows the longest run ending there that occurs in
-some template. Long maximal runs are segments that lie in a template and in the text; segments
-of one template that go forward in both are chained across small gaps, and a chain that covers
-enough of its template is a license span.
+some template. Where there are long runs, each template's own automaton finds the maximal runs of
+that template, so that none is hidden by a longer run of another. Those are segments that lie in
+a template and in the text; segments of one template that go forward in both are chained across
+small gaps, and a chain that covers enough of its template is a license span.
 """
 
 from __future__ import annotations
@@ -179,65 +180,95 @@ class Chain:
 class Matcher:
     templates: list[tuple[str, list[bytes]]]
     automaton: SuffixAutomaton = field(init=False)
+    own: list[SuffixAutomaton] = field(init=False)
     vocabulary: dict[bytes, int] = field(init=False)
 
     def __post_init__(self) -> None:
         self.automaton = SuffixAutomaton([words for _, words in self.templates])
+        self.own = [SuffixAutomaton([words]) for _, words in self.templates]
         self.vocabulary = {w: 1 for _, words in self.templates for w in words}
 
-    def segments(self, words: list[bytes]) -> Iterator[tuple[int, int, int]]:
-        """Maximal runs as in ``SuffixAutomaton.runs``. No run crosses a word that is in no
-        template, so only stretches of template words are streamed."""
+    def stretches(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
+        """First word and word after the last of what runs of any template cover, overlapping
+        ones as one. No run crosses a word that is in no template, so only stretches of template
+        words are streamed."""
         known = bytes(map(self.vocabulary.get, words, repeat(0)))
         for stretch in re.finditer(rb"\x01{%d,}" % SHORTEST, known):
-            first = stretch.start()
-            for end, length, state in self.automaton.runs(words[first : stretch.end()], SHORTEST):
-                yield first + end, length, state
+            first, start, stop = stretch.start(), -1, -1
+            for end, length, _ in self.automaton.runs(words[first : stretch.end()], SHORTEST):
+                if end - length >= stop:
+                    if start >= 0:
+                        yield first + start, first + stop
+                    start = end - length
+                stop = end
+            if start >= 0:
+                yield first + start, first + stop
+
+    def segments(self, words: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
+        """Template, end in ``words``, length, end in the template of the maximal runs of every
+        template by itself; those of one template by their ends."""
+        for first, last in self.stretches(words):
+            inside = words[first:last]
+            for t, automaton in enumerate(self.own):
+                for end, length, state in automaton.runs(inside, SHORTEST):
+                    for _, template_stop in automaton.ends[state]:
+                        yield t, first + end, length, template_stop
 
     def spans(self, words: list[bytes]) -> list[tuple[str, int, int, float]]:
         """Label, first word, word after the last, and coverage of every license span: of the
-        chains that cover enough, those not inside a better one of their label."""
-        found: list[tuple[str, int, int, float]] = []
+        chains that cover enough, those not inside a better one."""
+        found: list[tuple[str, int, int, float, int]] = []
         recent: dict[int, deque[Chain]] = {}
 
         def close(t: int, chain: Chain) -> None:
             label, words_of = self.templates[t]
             share = min(chain.covered / len(words_of), 1.0)
             if share >= COVERAGE:
-                found.append((label, chain.start, chain.stop, share))
-
-        for stop, length, state in self.segments(words):
-            for t, template_stop in self.automaton.ends[state]:
-                open_chains = recent.setdefault(t, deque())
-                while open_chains and open_chains[0].stop < stop - length - GAP:
-                    close(t, open_chains.popleft())
-                new = Chain(stop - length, stop, template_stop, length)
-                for chain in open_chains:
-                    if chain.template_stop < template_stop and chain.stop < stop:
-                        # Words that the earlier segment covers already do not count again.
-                        fresh = min(length, template_stop - chain.template_stop, stop - chain.stop)
-                        if chain.covered + fresh > new.covered:
-                            new = Chain(chain.start, stop, template_stop, chain.covered + fresh)
-                open_chains.append(new)
+                found.append((label, chain.start, chain.stop, share, chain.covered))
+
+        for t, stop, length, template_stop in self.segments(words):
+            open_chains = recent.setdefault(t, deque())
+            while open_chains and open_chains[0].stop < stop - length - GAP:
+                close(t, open_chains.popleft())
+            new = Chain(stop - length, stop, template_stop, length)
+            for chain in open_chains:
+                if chain.template_stop < template_stop and chain.stop < stop:
+                    # Words that the earlier segment covers already do not count again.
+                    fresh = min(length, template_stop - chain.template_stop, stop - chain.stop)
+                    if chain.covered + fresh > new.covered:
+                        new = Chain(chain.start, stop, template_stop, chain.covered + fresh)
+            open_chains.append(new)
         for t, open_chains in recent.items():
             for chain in open_chains:
                 close(t, chain)
         return self._best(found)
 
     @staticmethod
-    def _best(found: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
-        """Of spans of one label that overlap, the best covered; of equal ones the first."""
-        kept: list[tuple[str, int, int, float]] = []
+    def _best(found: list[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float]]:
+        """Of spans of one label that overlap, that of most words covered, of equal ones the
+        first, with the best coverage of any template there. Then of those without a whole
+        template none that lies inside a better covered one of another label: it is what the two
+        notices have in common."""
+        kept: list[tuple[str, int, int, float, int]] = []
         label, reach = None, 0
-        for span in sorted(found, key=lambda s: (s[0], s[1], -s[3], -s[2])):
+        for span in sorted(found, key=lambda s: (s[0], s[1], -s[4], -s[2])):
             if span[0] == label and span[1] < reach:
-                if span[3] > kept[-1][3]:
-                    kept[-1] = span
+                best = max(span[3], kept[-1][3])
+                widest = span if span[4] > kept[-1][4] else kept[-1]
+                kept[-1] = (*widest[:3], best, widest[4])
             else:
                 label, reach = span[0], span[2]
                 kept.append(span)
             reach = max(reach, span[2])
-        return sorted(kept, key=lambda s: (s[1], s[2], s[0]))
+        kept.sort(key=lambda s: (s[1], -s[2], -s[3]))
+        out: list[tuple[str, int, int, float]] = []
+        around: list[tuple[str, int, int, float, int]] = []
+        for span in kept:
+            around = [s for s in around if s[2] > span[1]]
+            if not any(s[2] >= span[2] and s[3] > span[3] and s[0] != span[0] for s in around):
+                out.append(span[:4])
+            around.append(span)
+        return sorted(out, key=lambda s: (s[1], s[2], s[0]))
 
 
 def phrase_places(words: list[bytes], phrases: list[tuple[bytes, str]]) -> list[tuple[int, str]]:

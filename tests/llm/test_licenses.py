@@ -81,3 +81,24 @@ def test_many_notices_in_one_text():
 
 def test_empty_table(none):
     assert op4_licenses(none).collect() == []
+
+
+def test_a_template_inside_a_longer_run_of_another(spark):
+    short = 'Licensed under the Apache License, Version 2.0'
+    whole = next(t for label, t in TEMPLATES if label == "apache-2.0" and len(t) > 100)
+    gapped = whole.replace("Unless required by applicable law", "Except where forbidden")
+    docs = [
+        (1, f'{short} (the "License"); see LICENSE file'),
+        (2, f"Before. {whole} After."),
+        (3, f"Before. {gapped} After."),
+        (4, 'under the Apache License, Version 2.0 (the "License")'),
+    ]
+    found = {r.doc_id: (r.text, r.license) for r in find_licenses(documents(spark, docs)).collect()}
+    assert all(lic.labels == ["apache", "apache-2.0"] and len(lic.spans) == 1 for _, lic in found.values())
+    spans = {d: (text[lic.spans[0].start : lic.spans[0].stop], lic.score) for d, (text, lic) in found.items()}
+    assert spans[1] == (short, 1.0)
+    assert spans[2][1] == 1.0 and spans[2][0] == whole.rstrip(".")
+    assert spans[3][1] == 1.0 and spans[3][0] == gapped.rstrip(".")
+    assert spans[4] == ("under the Apache License, Version 2.0", 7 / 8)
+    matcher = Matcher([("outer", alnum_words("a b c d e f g h i j k l m n o p")), ("inner", alnum_words("d e f g h"))])
+    assert matcher.spans(alnum_words("x b c d e f g h i x")) == [("inner", 3, 8, 1.0)]
