@@ -5,9 +5,9 @@ next two content words form a chain, and anchor and chain a signature. The finge
 of signatures, each as a 32-bit checksum. Running text has an anchor every few words, while
 navigation and lists have few, so the set stands for the prose of a page.
 
-Fingerprints are partitioned by set size. Sets whose partitions are not next to each other, or
-whose sizes alone bound their Jaccard similarity below ``LEAST``, are unlike without a look at
-their elements; others are intersected.
+Sets whose sizes alone bound their Jaccard similarity below ``LEAST`` are unlike without a look at
+their elements; others are intersected. The partition by set size is a label: sets more than one
+partition apart are always below that bound.
 """
 
 from __future__ import annotations
