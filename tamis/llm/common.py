@@ -24,6 +24,16 @@ NARROW_BYTES = 64 * 1024 * 1024
 PARTITION_BITS = 33  # monotonically_increasing_id(): partition above, row below
 
 
+def quoted(name: str) -> str:
+    """A column name as it stands, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def named_columns(df: DataFrame, **columns: str) -> DataFrame:
+    """The given columns only, under the names of the keywords."""
+    return df.select(*[df[quoted(column)].alias(name) for name, column in columns.items()])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

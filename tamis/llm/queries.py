@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from tamis.llm.centroids import op13_centroids
 from tamis.llm.decontamination import op2_decontamination
 from tamis.llm.fingerprints import op3_fingerprints
+from tamis.llm.hard_negatives import op11_hard_negatives
 from tamis.llm.jaccard_join import op5_jaccard_join
 from tamis.llm.licenses import op4_licenses
 from tamis.llm.lm_scoring import op8_lm
@@ -17,6 +19,7 @@ from tamis.llm.quality import op6_quality
 from tamis.llm.secrets import op9_secrets
 from tamis.llm.sharding import op1_sharding
 from tamis.llm.urls import op7_urls
+from tamis.llm.warc import op12_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,5 +41,8 @@ QUERIES: dict[str, Query] = {
     "op8_lm": lambda s, d: op8_lm(table(s, d, "documents")),
     "op9_secrets": lambda s, d: op9_secrets(table(s, d, "documents")),
     "op10_mixing": lambda s, d: op10_mixing(table(s, d, "documents")),
+    "op11_hard_negatives": lambda s, d: op11_hard_negatives(table(s, d, "embeddings")),
+    "op12_warc": lambda s, d: op12_warc(table(s, d, "pages")),
+    "op13_centroids": lambda s, d: op13_centroids(table(s, d, "embeddings")),
     "pipeline": corpus_pipeline.run,
 }

@@ -367,6 +367,70 @@ FROM blocked b JOIN run ON run.g = b.g AND run.block = i // {BLOCK_ROWS}
 """
 
 
+OP11 = """
+WITH r AS MATERIALIZED (
+  SELECT row_number() OVER () AS u, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS MATERIALIZED (
+  SELECT a.u AS a, a.vec_id AS anchor_id, r.u, r.vec_id, a.label = r.label AS same,
+         list_sum(list_transform(list_zip(a.v, r.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM r a JOIN r ON a.u <> r.u WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, u) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+             s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.a, p.u ORDER BY s.score DESC, s.vec_id, s.u) AS rank
+      FROM p JOIN s ON p.a = s.a AND NOT s.same
+       AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+"""
+
+OP12 = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM payloads)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to
+FROM firsts
+"""
+
+
+def op13(clusters: int = 8, rounds: int = 10, width: int = 64) -> str:
+    """Every round written out: every vector against every centroid."""
+    x = "CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)"
+    steps = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, lambda x: {x}) AS c FROM embeddings
+  WHERE len(embedding) = {width}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = {width})""",
+    f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, c) - 1 AS cluster, c FROM (
+    SELECT sha256('3:' || vec_id) AS h, c FROM v WHERE vec_id IS NOT NULL) ORDER BY h, c LIMIT {clusters})""",
+    f"long AS MATERIALIZED (SELECT u, unnest(c) AS x, unnest(range({width})) AS i FROM v)"]
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+  SELECT u, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (
+    SELECT v.u, m.cluster,
+           list_sum(list_transform(list_zip(v.c, m.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM v, c{k} m) GROUP BY u)""")
+        if k < rounds:
+            steps.append(f"""c{k + 1} AS MATERIALIZED (
+  SELECT o.cluster, coalesce(n.c, o.c) AS c FROM c{k} o LEFT JOIN (
+    SELECT cluster, list(m ORDER BY i) AS c FROM (
+      SELECT cluster, i, (sum(x)::BIGINT - ((sum(x)::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS m
+      FROM long JOIN a{k} USING (u) GROUP BY cluster, i) GROUP BY cluster) n USING (cluster))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT v.vec_id, a.cluster::INTEGER AS cluster, a.d AS distance,
+       (sum(a.d) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia, (sum(a.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (u) JOIN c{rounds} c ON c.cluster = a.cluster"""
+
+
 # op4, op5, op6, op8 and the pipeline have no SQL: an automaton, components, learned models. They
 # are tested against brute force.
 SQL: dict[str, str] = {
@@ -376,4 +440,7 @@ SQL: dict[str, str] = {
     "op7_urls": op7(),
     "op9_secrets": op9(),
     "op10_mixing": op10(),
+    "op11_hard_negatives": OP11,
+    "op12_warc": OP12,
+    "op13_centroids": op13(),
 }

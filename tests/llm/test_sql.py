@@ -10,7 +10,7 @@ from tamis.llm.sql import SQL
 
 def test_registered():
     assert QUERIES.keys() <= contract.queries().keys() and SQL.keys() <= QUERIES.keys()
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
