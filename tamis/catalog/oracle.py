@@ -144,6 +144,18 @@ models AS MATERIALIZED (
   UNION ALL
   SELECT model, side, 1, '<s>', NULL, log10(b) FROM contexts WHERE n = 2 AND ctx = '<s>')"""
 
+# The vocabulary is told to the estimator: the lowest probability is spread over all of its words.
+_SEEN = "(SELECT model, side, count(*) + 1 AS v FROM adjusted WHERE n = 1 GROUP BY ALL)\n    USING (model, side)"
+_GIVEN = """(SELECT side, count(*) + 2 AS v FROM vocab WHERE tok NOT IN ('<s>', '</s>', '<unk>') GROUP BY side)
+    USING (side)"""
+_UNSEEN = f"""
+  UNION ALL
+  SELECT model, side, 1, tok, b / v FROM contexts JOIN vocab USING (side) JOIN {_GIVEN}
+  WHERE n = 1 AND tok NOT IN ('<s>', '</s>', '<unk>') AND (model, side, tok) NOT IN (
+    SELECT (model, side, gram) FROM adjusted WHERE n = 1)"""
+_LAST = f"{_GIVEN} WHERE n = 1"
+CLOSED = TRAINING.replace(_SEEN, _GIVEN).replace(f"{_LAST}),\np2 ", f"{_LAST}{_UNSEEN}),\np2 ")
+
 SCORING = f"""
 gen_words AS (
   SELECT side, seg_id,
@@ -225,18 +237,22 @@ def query(final: str, *parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n" + final if parts else final
 
 
-def trained(corpora: str, sample: str = FIRST) -> tuple[str, ...]:
-    return corpora, COUNTS, sample, TRAINING
+def trained(corpora: str, sample: str = FIRST, training: str = TRAINING) -> tuple[str, ...]:
+    return corpora, COUNTS, sample, training
 
 
-def scored(corpora: str, sample: str = FIRST) -> tuple[str, ...]:
-    return *trained(corpora, sample), SCORING
+def scored(corpora: str, sample: str = FIRST, training: str = TRAINING) -> tuple[str, ...]:
+    return *trained(corpora, sample, training), SCORING
 
 
 RANKED = "SELECT rank, score, seg_id, src, tgt FROM ranked"
 
 
 def selected(
-    corpora: str, metric: str = LOGPROB, sample: str = FIRST, direction: str = "DESC"
+    corpora: str,
+    metric: str = LOGPROB,
+    sample: str = FIRST,
+    direction: str = "DESC",
+    training: str = TRAINING,
 ) -> str:
-    return query(RANKED, *scored(corpora, sample), diffs(metric), ranking(direction))
+    return query(RANKED, *scored(corpora, sample, training), diffs(metric), ranking(direction))

@@ -375,6 +375,19 @@ def train_lm(spark, sf_dir):
     return model.select("n", "gram", *six("logp", "bow"))
 
 
+@register(
+    "train_lm_closed",
+    O.query(
+        f"SELECT n::INTEGER AS n, gram, {sql_six('logp', 'bow')} FROM models WHERE model = 'general'",
+        *O.trained(O.DOCUMENTS, training=O.CLOSED),
+    ),
+)
+def train_lm_closed(spark, sf_dir):
+    # the model that lacks words of the vocabulary
+    models = P.train_models(*documents(spark, sf_dir), ("src",), settings=P.Settings(closed=True))
+    return models.filter("model = 'general'").select("n", "gram", *six("logp", "bow"))
+
+
 # --- scores --------------------------------------------------------------------------
 
 
@@ -570,6 +583,18 @@ def select_perplexity(spark, sf_dir):
     return P.select(*dialogues(spark, sf_dir), metric="perplexity")
 
 
+@register("select_closed", O.selected(O.DIALOGUES, O.PERPLEXITY, direction="ASC", training=O.CLOSED))
+def select_closed(spark, sf_dir):
+    return P.select(*dialogues(spark, sf_dir), metric="perplexity", settings=P.Settings(closed=True))
+
+
+@register("select_kept_models", O.selected(O.DIALOGUES))
+def select_kept_models(spark, sf_dir):
+    pairs, path = dialogues(spark, sf_dir), new_path(spark, "kept")
+    sinks.save_models(P.fit(*pairs), path)
+    return P.select(pairs.general, models=sinks.load_models(spark, path))
+
+
 @register("select_random_sample", O.selected(O.DIALOGUES, sample=O.RANDOM))
 def select_random_sample(spark, sf_dir):
     return P.select(*dialogues(spark, sf_dir), sample="random")

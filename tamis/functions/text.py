@@ -33,6 +33,46 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
+# A text beyond this size is cut into pieces of so many tokens.
+LONG_BYTES = 1 << 20
+PIECE = 4096
+
+
+def cuts(
+    text: Column, order: int = ORDER, long_bytes: int = LONG_BYTES, tokens: int = PIECE
+) -> list[Column]:
+    """``cut``, pieces of ``tokens`` tokens each of a text longer than ``long_bytes``, and ``ends``,
+    the last ``order - 1`` tokens of each; null for other texts."""
+    token = f"{TOKEN}+(?:{WHITESPACE}+)?+"  # possessive: a piece is matched without going back
+    pattern = F.lit(f"(?:{token}){{1,{tokens - order + 1}}}+((?:{token}){{0,{order - 1}}}+)")
+    long = F.octet_length(text) > long_bytes
+    found = (F.regexp_extract_all(text, pattern, F.lit(group)) for group in (0, 1))
+    return [F.when(long, column).alias(name) for name, column in zip(("cut", "ends"), found)]
+
+
+def pieces(text: Column, tokens: int = PIECE) -> Column:
+    """An array of structs ``text``, ``before``, ``first``, ``last``, ``rest``: the text itself, or what
+    ``cuts`` made of it, taken from columns ``cut`` and ``ends``.
+
+    ``before`` are the tokens in front of a piece that its first grams reach back to, ``rest`` is
+    the number of tokens in front of it. No array of all tokens of a long text is built.
+    """
+    yes, no, n = F.lit(True), F.lit(False), F.size("cut")
+    names = ("text", "before", "first", "last", "rest")
+
+    def piece(*parts: Column) -> Column:
+        return F.struct(*[part.alias(name) for part, name in zip(parts, names)])
+
+    last = F.concat(F.array_repeat(no, n - 1), F.array(yes))
+    before = F.slice(F.concat(F.array(F.lit("")), "ends"), 1, n)
+    every = F.transform(
+        F.arrays_zip(F.col("cut").alias("part"), before.alias("before"), last.alias("last")),
+        lambda x, i: piece(x["part"], x["before"], i == 0, x["last"], i.cast("long") * F.lit(tokens)),
+    )
+    whole = F.array(piece(text, F.lit(""), yes, yes, F.lit(0).cast("long")))
+    return F.when(n > 0, every).otherwise(whole)
+
+
 def empty_to_unk(words: Column) -> Column:
     """A segment without tokens is scored as one unknown word."""
     return F.when(F.size(words) == 0, F.array(F.lit(UNK))).otherwise(words)

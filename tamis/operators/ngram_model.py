@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.text import (
     BOS,
     ORDER,
+    SYMBOLS,
     UNK,
     context_of,
     endings,
@@ -150,12 +151,39 @@ def _terms(adjusted: DataFrame, disc: DataFrame, by: Sequence[str]) -> DataFrame
     )
 
 
-def _root(adjusted: DataFrame, contexts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """``s, b, low`` of the empty context: ``low`` is uniform over the types and <unk>."""
-    types = adjusted.filter(F.col("n") == 1).groupBy(*by, "n").agg(F.count(F.lit(1)).alias("types"))
-    low = types.select(*by, "n", (1 / (F.col("types") + 1)).alias("low"))
+def _root(
+    adjusted: DataFrame, contexts: DataFrame, by: Sequence[str], words: DataFrame | None = None
+) -> DataFrame:
+    """``s, b, low`` of the empty context: ``low`` is uniform over the types and <unk>, or over
+    the given ``words``, the end symbol and <unk>."""
+    root = contexts.filter(F.col("n") == 1).drop("ctx")
+    if words is None:
+        of_order = adjusted.filter(F.col("n") == 1)
+        types = of_order.groupBy(*by, "n").agg(F.count(F.lit(1)).alias("types"))
+        on, rest = [*by, "n"], 1
+    else:
+        types = words.groupBy(*words.drop("gram").columns).agg(F.count(F.lit(1)).alias("types"))
+        on, rest = types.drop("types").columns, 2
+    low = 1 / (F.coalesce("types", F.lit(0)) + rest)
     # bounded: one row per model
-    return contexts.filter(F.col("n") == 1).drop("ctx").join(F.broadcast(low), [*by, "n"])
+    joined = root.withColumn("n", F.lit(1)).join(F.broadcast(types), on, "left")
+    return joined.select(*root.columns, low.alias("low"))
+
+
+def _given_words(vocabulary: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``n, gram``: the distinct words of a vocabulary, reserved symbols left out; written."""
+    own = [c for c in by if c in vocabulary.columns]
+    words = vocabulary.filter(~F.col("tok").isin(*SYMBOLS))
+    return materialize(words.select(*own, F.lit(1).alias("n"), F.col("tok").alias("gram")).distinct(), "words")
+
+
+def _unseen(words: DataFrame, adjusted: DataFrame, root: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The given words that a model has not learned from: each has what <unk> has."""
+    # bounded: one row per model
+    every = words.join(F.broadcast(root), words.drop("gram").columns)
+    seen = adjusted.filter(F.col("n") == 1).select(*by, "gram")
+    mass = (F.col("b") * F.col("low")).alias("p")
+    return every.join(seen, [*by, "gram"], "left_anti").select(*by, "n", "gram", mass, "low", "b")
 
 
 def _level(
@@ -212,19 +240,31 @@ def train_lm(
     fallback: Sequence[float] = FALLBACK,
     by: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
+    closed: bool = False,
 ) -> DataFrame:
-    """Train one model per combination of ``by`` and return the written model frame."""
+    """Train one model per combination of ``by`` and return the written model frame.
+
+    The lowest probabilities range over the words a model has learned from and <unk>. ``closed``
+    tells the estimator the vocabulary: they range over all of its words then, so that a word of
+    the vocabulary that a corpus lacks is a word of its model, too, and not <unk>.
+    """
     if order < 2:
         raise ValueError("order must be at least 2")
     sentences = training_sentences(segs, vocabulary, by, broadcast_bytes)
     counts = ngram_counts(sentences, order, by)
     adjusted = materialize(adjusted_counts(counts, order, by), "adjusted", ["n"])
-    model = _written_levels(adjusted, order, fallback, by, broadcast_bytes)
+    words = _given_words(vocabulary, by) if closed else None
+    model = _written_levels(adjusted, order, fallback, by, broadcast_bytes, words)
     return model.select(*by, "n", "gram", "logp", "bow", "weight")
 
 
 def _written_levels(
-    adjusted: DataFrame, order: int, fallback: Sequence[float], by: Sequence[str], broadcast_bytes: int
+    adjusted: DataFrame,
+    order: int,
+    fallback: Sequence[float],
+    by: Sequence[str],
+    broadcast_bytes: int,
+    words: DataFrame | None = None,
 ) -> DataFrame:
     """The model of written adjusted counts, order by order, each written before the next one
     reads it, so that no plan holds more than one step of the recursion.
@@ -247,10 +287,13 @@ def _written_levels(
         found = contexts.filter(F.col("n") == n)
         return F.broadcast(found) if n in small else found
 
-    terms, level = _terms(adjusted, disc, by), _root(adjusted, contexts, by)
+    terms, root = _terms(adjusted, disc, by), _root(adjusted, contexts, by, words)
+    level = root
     path = new_path(spark, "model")
     for n in range(1, order + 1):
         level = _level(n, terms, contexts_of(n), level, by)
+        if n == 1 and words is not None:
+            level = level.unionByName(_unseen(words, adjusted, root, by))
         rows = _with_backoff(n, level, contexts_of(n + 1), order, by)
         rows.write.parquet(f"{path}/level={n}")
         level = spark.read.schema(rows.schema).parquet(f"{path}/level={n}")

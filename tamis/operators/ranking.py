@@ -17,6 +17,7 @@ from ..sources.staging import (
     BROADCAST_BYTES,
     ROW_BYTES,
     bounded,
+    checksums,
     fits_broadcast,
     lookup,
     materialize,
@@ -32,6 +33,7 @@ TIE_ROWS = 100_000
 TIE_BYTES = 64 * 1024 * 1024
 # Columns that identify and order a pair without its text, from ``fingerprints``.
 PRINTS = ("print", "path", "size")
+CHECKS = ("check_low", "check_high")
 
 
 def build_scored_pairs(pairs: DataFrame, scores: DataFrame) -> DataFrame:
@@ -189,22 +191,27 @@ def rank_keys(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``seg_id, score, rank`` of what remains of ``keyed`` (``seg_id, score`` and ``PRINTS``,
-    one row per pair) when repeats are dropped; the first ``top`` only if given.
+    one row per pair) when repeats are dropped; the first ``top`` only if given. Scores of other
+    ids than those of the pairs are an error.
 
     With ``top``, the score that holds that place is found by counting; rows beyond it are
     dropped before anything is ordered.
     """
+    tally = {"copies": F.count(F.lit(1)), **dict(zip(CHECKS, checksums("seg_id")))}
     kept = keyed.groupBy("score", *PRINTS).agg(
-        F.min("seg_id").alias("seg_id"), F.count(F.lit(1)).alias("copies")
+        F.min("seg_id").alias("seg_id"), *[of.alias(name) for name, of in tally.items()]
     )
     keys = materialize(
-        kept.select("seg_id", "score", F.array("path").alias("path"), "size", "copies"), "keys"
+        kept.select("seg_id", "score", F.array("path").alias("path"), "size", *tally), "keys"
     )
-    rows = keys.agg(F.sum("copies")).first()[0] or 0
-    expected = pairs.select("seg_id").count()
-    if rows != expected:
-        raise ValueError(f"{expected} pairs, {rows} scores")
-    keys = keys.drop("copies")
+    rows = keys.agg(*[F.sum(name).alias(name) for name in tally]).first()
+    expected = pairs.agg(*[of.alias(name) for name, of in tally.items()]).first()
+    if [n or 0 for n in rows] != [n or 0 for n in expected]:
+        same = rows["copies"] == expected["copies"]
+        raise ValueError(
+            f"{expected['copies']} pairs, {rows['copies'] or 0} scores" + ", but not of the same ids" * same
+        )
+    keys = keys.drop(*tally)
     if top is not None:
         # A millionth of a score as a whole number: equal or neighbouring scores share one.
         worse = F.floor(F.col("score") * (1_000_000 if ascending else -1_000_000)).cast("long")

@@ -12,7 +12,9 @@ per-position search, no window and no self-join: grams are looked up once and su
 sum is combined before the shuffle, and only one narrow row per segment is shuffled.
 
 Weights are whole numbers of 2^-40, so a sum is exact and the same in any order: a score does
-not depend on how the work was cut or on whether the models were broadcast.
+not depend on how the work was cut or on whether the models were broadcast. Sums are kept in two
+parts, so that a segment may have any length, and a long segment is cut into pieces that overlap
+by what the longest gram reaches back; its sums are added up like those of any other.
 """
 
 from __future__ import annotations
@@ -25,35 +27,47 @@ from pyspark.sql import functions as F
 
 from ..functions.text import (
     BOS,
+    EOS,
+    LONG_BYTES,
     ORDER,
+    PIECE,
     UNK,
+    cuts,
     empty_to_unk,
     endings,
     gram_ending,
     grams_ending,
     hide_symbols,
-    pad_sentence,
     perplexity,
+    pieces,
     tokenize,
 )
 from ..sources.staging import BROADCAST_BYTES, fits_broadcast, lookup, materialize, spread
 
 SCALE = 6
 UNIT = float(1 << 40)  # units of a weight
+LIMB = 30  # bits of the lower part of a sum of weights
 
 
-def _unknown_logp(model: DataFrame, by: Sequence[str]) -> Column:
-    """log10 p(<unk>) as a column expression; collects one number per model."""
-    rows = model.filter((F.col("n") == 1) & (F.col("gram") == UNK)).select(*by, "logp").collect()
-    if not rows:
-        raise ValueError("the model has no <unk> row: it was trained on an empty corpus")
-    value = F.lit(None).cast("double")
-    for row in rows:
-        same = F.lit(True)
-        for c in by:
-            same = same & (F.col(c) == F.lit(row[c]))
-        value = F.when(same, F.lit(row["logp"])).otherwise(value)
-    return value
+def unknown_logps(models: dict[str, DataFrame], by: Sequence[str]) -> dict[str, Column]:
+    """log10 p(<unk>) of the tagged models as column expressions; collects one number per model."""
+    tagged = [
+        model.filter((F.col("n") == 1) & (F.col("gram") == UNK)).select(*by, "logp", F.lit(tag).alias("tag"))
+        for tag, model in models.items()
+    ]
+    rows = reduce(DataFrame.unionByName, tagged).collect()
+    found = {}
+    for tag in models:
+        value = F.lit(None).cast("double")
+        for row in (r for r in rows if r["tag"] == tag):
+            same = F.lit(True)
+            for c in by:
+                same = same & (F.col(c) == F.lit(row[c]))
+            value = F.when(same, F.lit(row["logp"])).otherwise(value)
+        found[tag] = value
+    if {row["tag"] for row in rows} != set(models):
+        raise ValueError("a model has no <unk> row: it was trained on an empty corpus")
+    return found
 
 
 def joint_weights(
@@ -68,7 +82,7 @@ def joint_weights(
     """
     on = [*by, "n", "gram"]
     models = {"s": specific, "g": general}
-    unknown = unknown or {tag: _unknown_logp(model, by) for tag, model in models.items()}
+    unknown = unknown or unknown_logps(models, by)
     word = (F.col("n") == 1) & (F.col("gram") != BOS)
     tagged = [
         model.filter(F.col("gram") != UNK).select(*on, "weight", F.lit(tag).alias("tag"))
@@ -89,17 +103,39 @@ def joint_weights(
 
 
 def segment_endings(
-    segs: DataFrame, order: int = ORDER, by: Sequence[str] = (), carried: Sequence[str] = ()
+    segs: DataFrame,
+    order: int = ORDER,
+    by: Sequence[str] = (),
+    carried: Sequence[str] = (),
+    long_bytes: int = LONG_BYTES,
+    piece: int = PIECE,
 ) -> DataFrame:
-    """One row per token of the padded segment: ``positions`` of the segment, the token
-    ``t0`` and the tokens before it. Scored positions are the words and the end symbol."""
+    """One row per token of the padded segment: the token ``t0`` and the tokens before it.
+
+    Scored positions are the words and the end symbol. The rows of a segment's last piece, to
+    which its end symbol belongs, have their number in ``positions``; it is null in others.
+    """
     keys = [*by, "seg_id", *carried]
-    steps = spread(segs).select(*keys, tokenize(F.col("text")).alias("words"))
-    for step in (hide_symbols, empty_to_unk, pad_sentence):
-        steps = steps.withColumn("words", step(F.col("words")))
-    # counted before the tokens are spread out, so that no row carries the whole array
-    steps = steps.select(*keys, (F.size("words") - 1).cast("long").alias("positions"), "words")
-    ends = steps.select(*keys, "positions", F.inline(endings(F.col("words"), order)))
+    text = F.coalesce("text", F.lit(""))
+    cut = spread(segs).select(*keys, text.alias("text"), *cuts(text, order, long_bytes, piece))
+    words = cut.select(*keys, F.inline(pieces(F.col("text"), piece))).select(
+        *keys, "first", "last", "rest", tokenize(F.col("text")).alias("words"), tokenize(F.col("before")).alias("before")
+    )
+    # Every text has a last piece, which is the only one that may be empty.
+    steps = words.withColumn("words", empty_to_unk(F.col("words")))
+    positions = F.when(F.col("last"), F.col("rest") + F.size("words") + 1)
+    steps = steps.select(*keys, positions.alias("positions"), "first", "last", "before", "words")
+    for name in ("words", "before"):
+        steps = steps.withColumn(name, hide_symbols(F.col(name)))
+    none = F.array().cast("array<string>")
+    start = F.when(F.col("first"), F.array(F.lit(BOS))).otherwise(none)
+    end = F.when(F.col("last"), F.array(F.lit(EOS))).otherwise(none)
+    steps = steps.withColumn("words", F.concat("before", start, "words", end))
+    # What comes before a piece is part of grams, but ends none: it is scored with its own piece.
+    skip = F.size("before")
+    every = endings(F.col("words"), order)
+    every = F.when(skip > 0, F.slice(every, skip + 1, F.size("words"))).otherwise(every)
+    ends = steps.select(*keys, "positions", F.inline(every))
     return ends.filter(F.col("t0").isNotNull())
 
 
@@ -167,6 +203,26 @@ def position_weights(
     return rows.select(*by, "seg_id", *carried, "positions", *sums, "known_s", "known_g")
 
 
+def wide_sums(*weights: str) -> list[Column]:
+    """The exact sums of columns of whole numbers, each in two parts of which neither overflows:
+    multiples of 2^30, and what is left."""
+    return [
+        F.sum(part).alias(f"{name}_{limb}")
+        for name in weights
+        for limb, part in (
+            ("high", F.shiftright(name, LIMB)),
+            ("low", F.col(name).bitwiseAND((1 << LIMB) - 1)),
+        )
+    ]
+
+
+def wide_total(name: str) -> Column:
+    """The value of ``wide_sums`` in the unit of a score, rounded once."""
+    high, low = F.col(f"{name}_high"), F.col(f"{name}_low")
+    high, low = high + F.shiftright(low, LIMB), low.bitwiseAND((1 << LIMB) - 1)
+    return high * F.lit((1 << LIMB) / UNIT) + low * F.lit(1 / UNIT)
+
+
 def score_lm(
     segs: DataFrame,
     specific: DataFrame,
@@ -182,18 +238,18 @@ def score_lm(
     models know the end symbol. ``carried`` names narrow columns of the segments that the
     result keeps, so that nothing has to be read again for them.
     """
-    unknown = {"s": _unknown_logp(specific, by), "g": _unknown_logp(general, by)}
+    unknown = unknown_logps({"s": specific, "g": general}, by)
     weights = materialize(joint_weights(specific, general, by, unknown), "weights", ["n"])
     whole = fits_broadcast(weights, broadcast_bytes)
     if whole:
         found = position_weights(segs, weights, order, by, carried).withColumn("n", F.lit(1))
     else:
         found = model_lookup(segs, weights, order, by, broadcast_bytes)
-    # positions and what is carried depend on seg_id alone
-    keys = [*by, "seg_id", *(carried if whole else ()), "positions"]
+    # what is carried depends on seg_id alone
+    keys = [*by, "seg_id", *(carried if whole else ())]
     sums = found.groupBy(*keys).agg(
-        F.sum("w_s").alias("sum_s"),
-        F.sum("w_g").alias("sum_g"),
+        F.max("positions").alias("positions"),
+        *wide_sums("w_s", "w_g"),
         F.count_if(F.col("n") == 1).alias("unigrams"),
         F.sum("known_s").alias("known_s"),
         F.sum("known_g").alias("known_g"),
@@ -204,8 +260,7 @@ def score_lm(
     # one unigram is the start symbol, which is no position
     unseen = F.col("positions") - (F.col("unigrams") - 1)
     totals = [
-        (F.col(f"sum_{tag}") / F.lit(UNIT) + unseen * unk).alias(f"logp_{tag}")
-        for tag, unk in unknown.items()
+        (wide_total(f"w_{tag}") + unseen * unk).alias(f"logp_{tag}") for tag, unk in unknown.items()
     ]
     oov = [(F.col("positions") - F.col(f"known_{tag}")).alias(f"oov_{tag}") for tag in unknown]
     return sums.select(*by, "seg_id", *carried, "positions", *totals, *oov)

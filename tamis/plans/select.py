@@ -16,6 +16,7 @@ from ..operators.sampling import sample_first_n, sample_random_n
 from ..operators.scoring import rounded, score_diff, score_lm
 from ..operators.vocabulary import count_segments, token_counts, vocab
 from ..sources.corpus import Corpus
+from ..sources.sinks import Models
 from ..sources.staging import BROADCAST_BYTES
 
 
@@ -29,6 +30,7 @@ class Settings:
     seed: int = 0
     broadcast_bytes: int = BROADCAST_BYTES
     tie_rows: int = TIE_ROWS
+    closed: bool = False  # tell the estimator the vocabulary, see ``train_lm``
 
 
 def rank_mode(rank_src: bool, rank_tgt: bool) -> tuple[str, ...]:
@@ -90,9 +92,36 @@ def train_models(
         settings.fallback,
         by=["model", "side"],
         broadcast_bytes=settings.broadcast_bytes,
+        closed=settings.closed,
     )
 
 
+def fit(
+    general: DataFrame | Corpus,
+    specific: DataFrame | Corpus,
+    rank_src: bool = True,
+    rank_tgt: bool = True,
+    sample: str | DataFrame = "first",
+    settings: Settings = Settings(),
+) -> Models:
+    """The models that ``select`` ranks by, to be kept by ``save_models`` or handed to it."""
+    frame = train_models(general, specific, rank_mode(rank_src, rank_tgt), sample, settings)
+    return Models(frame, settings.order, settings.min_count, settings.closed)
+
+
+def _fitting(models: Models, sides: tuple[str, ...], settings: Settings) -> DataFrame:
+    """The frame of kept models, or an error if they can't score these sides with these settings."""
+    lacking = set(sides) - set(models.sides)
+    if lacking:
+        raise ValueError(f"the models know the sides {models.sides}, not {', '.join(sorted(lacking))}")
+    for name in ("order", "min_count", "closed"):
+        if getattr(models, name) != getattr(settings, name):
+            raise ValueError(
+                f"the models were trained with {name} {getattr(models, name)}, not {getattr(settings, name)}"
+            )
+    return models.frame.filter(F.col("side").isin(*sides))
+
+
 def side_diffs(
     general: DataFrame,
     models: DataFrame,
@@ -145,28 +174,35 @@ def score_pairs(
 
 def select(
     general: DataFrame | Corpus,
-    specific: DataFrame | Corpus,
+    specific: DataFrame | Corpus | None = None,
     rank_src: bool = True,
     rank_tgt: bool = True,
     metric: str = "logprob",
     sample: str | DataFrame = "first",
     settings: Settings = Settings(),
     top: int | None = None,
+    models: Models | None = None,
 ) -> DataFrame:
     """Rank the general pairs, most in-domain first, without repeats.
 
     Takes pair frames or opened corpora and returns a pair frame with ``rank, score, seg_id,
     src, tgt``, for the ``top`` pairs only if given. ``sample`` is ``first``, ``random``, or the
-    drawn pairs.
+    drawn pairs. With ``models``, made by ``fit`` and kept or not, nothing is trained, and the
+    specific corpus is not needed; models of other sides or settings are an error.
 
     The general texts are read once for scores, digests and the order of ties, and once to put
     them to their ranks; a third time only where whole texts have to break ties. The sample
     reads the files it needs if the corpus was opened by ``open_corpus``.
     """
     sides = rank_mode(rank_src, rank_tgt)
-    models = train_models(general, specific, sides, sample, settings)
+    if models is not None:
+        trained = _fitting(models, sides, settings)
+    elif specific is not None:
+        trained = train_models(general, specific, sides, sample, settings)
+    else:
+        raise ValueError("either a specific corpus or models are needed")
     pairs = pairs_of(general)
-    keyed = score_pairs(fingerprints(pairs), models, sides, metric, settings, PRINTS)
+    keyed = score_pairs(fingerprints(pairs), trained, sides, metric, settings, PRINTS)
     ranks = rank_keys(
         keyed,
         pairs,

@@ -104,6 +104,14 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (total or 0) <= limit
 
 
+def checksums(*columns: str) -> list[Column]:
+    """Order-free checksums of rows as aggregates ``check_low``, ``check_high``: the sums of the
+    halves of their hashes, which lost, doubled or swapped rows change."""
+    value = F.xxhash64(*columns)
+    halves = (value.bitwiseAND((1 << 31) - 1), F.shiftrightunsigned(value, 33))
+    return [F.sum(half).alias(name) for half, name in zip(halves, ("check_low", "check_high"))]
+
+
 def lookup(
     rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", *, broadcast: bool
 ) -> DataFrame:

@@ -150,6 +150,77 @@ def test_scores_by_shuffled_joins(spark, models, limit):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
 
 
+# Pieces of few tokens, with texts of as many, one more, one less; whitespace at cuts.
+CUT = [
+    "", " \u3000 ", " " * 50, "w1", " \t".join(["w1 w2"] * 9), " w1 <s> w3 <unk> other w2" * 9 + " \n",
+    *(" ".join((WORDS * 2)[:n]) for n in (7, 8, 9, 12, 16, 17)),
+]
+
+
+@pytest.mark.parametrize(("piece", "limit"), [(8, 0), (8, 9000), (8, 1 << 28), (5, 1 << 28), (11, 1 << 28)])
+def test_scores_of_pieces(spark, models, piece, limit, monkeypatch):
+    whole = S.segment_endings
+    monkeypatch.setattr(S, "segment_endings", lambda *a: whole(*a, long_bytes=0, piece=piece))
+    rows = {r["seg_id"]: r for r in S.score_lm(frame(spark, CUT), *models, broadcast_bytes=limit).collect()}
+    vocabulary = brute.vocabulary(SPECIFIC)
+    for tag, texts in (("s", SPECIFIC), ("g", GENERAL)):
+        model = brute.train(texts, vocabulary)
+        for i, text in enumerate(CUT):
+            positions, total, oov = brute.score(text, model)
+            assert (rows[i]["positions"], rows[i][f"oov_{tag}"]) == (positions, oov), text
+            assert rows[i][f"logp_{tag}"] == pytest.approx(total, abs=1e-9), text
+
+
+def test_a_segment_of_three_million_tokens(spark, models):
+    block = " ".join(random.Random(7).choices(WORDS + ["other"], k=1000)) + " "
+    texts = frame(spark, [block * 3000]).repartition(1)
+    scores = [S.score_lm(texts, *models, broadcast_bytes=limit).first() for limit in (1 << 28, 0)]
+    assert scores[0] == scores[1]
+    vocabulary = brute.vocabulary(SPECIFIC)
+    for tag, corpus in (("s", SPECIFIC), ("g", GENERAL)):
+        model = brute.train(corpus, vocabulary)
+        # Every further block adds the same.
+        two, three = (brute.score(block * n, model) for n in (2, 3))
+        positions, total, oov = (b + (b - a) * 2997 for a, b in zip(two, three))
+        assert (scores[0]["positions"], scores[0][f"oov_{tag}"]) == (positions, oov)
+        assert scores[0][f"logp_{tag}"] == pytest.approx(total, rel=1e-9)
+
+
+def test_wide_sums_do_not_overflow(spark):
+    big = (1 << 62) + 12345
+    rows = [(0, -big)] * 9 + [(1, big)] * 5 + [(1, -1)] + [(2, 3)]
+    df = spark.createDataFrame(rows, "k int, w long").groupBy("k").agg(*S.wide_sums("w"))
+    found = {r["k"]: r["t"] for r in df.select("k", S.wide_total("w").alias("t")).collect()}
+    assert found == {0: -9 * big / S.UNIT, 1: (5 * big - 1) / S.UNIT, 2: 3 / S.UNIT}
+
+
+def test_closed_vocabulary(spark, words):
+    some = words.unionByName(spark.createDataFrame([("never",), ("<s>",), ("never",)], "tok string"))
+    model = M.train_lm(frame(spark, GENERAL), some, closed=True)
+    rows = {r["gram"]: r for r in model.collect()}
+    given = brute.vocabulary(SPECIFIC) - {"<s>", "</s>", "<unk>"} | {"never"}
+    unigrams = {g for g, r in rows.items() if r["n"] == 1}
+    assert unigrams == given | {"<s>", "</s>", "<unk>"}
+    assert sum(10 ** rows[g]["logp"] for g in unigrams - {"<s>"}) == pytest.approx(1, abs=1e-12)
+    assert rows["never"]["logp"] == rows["<unk>"]["logp"] and rows["never"]["bow"] == 0
+    # A word that a corpus lacks is known to its model.
+    scores = S.score_lm(frame(spark, ["w9 never x"]), model, M.train_lm(frame(spark, GENERAL), some)).first()
+    assert (scores["oov_s"], scores["oov_g"]) == (1, 3)
+
+
+def test_closed_vocabulary_by_side(spark):
+    texts = [("src", "a b a"), ("src", "b"), ("tgt", "c"), ("tgt", "")]
+    segs = spark.createDataFrame([(s, i, t) for i, (s, t) in enumerate(texts)], "side string, seg_id long, text string")
+    both = segs.withColumn("model", F.lit("m")).unionByName(segs.withColumn("model", F.lit("n")))
+    vocabulary = spark.createDataFrame([("src", w) for w in "abd"] + [("tgt", w) for w in "ce"], "side string, tok string")
+    model = M.train_lm(both, vocabulary, by=["model", "side"], closed=True)
+    for name in "mn":
+        for side, given in (("src", "abd"), ("tgt", "ce")):
+            rows = model.filter(f"model = '{name}' AND side = '{side}' AND n = 1 AND gram <> '<s>'").collect()
+            assert {r["gram"] for r in rows} == {*given, "</s>", "<unk>"}
+            assert sum(10 ** r["logp"] for r in rows) == pytest.approx(1, abs=1e-12)
+
+
 def test_symmetry(spark, models):
     segs = frame(spark, SCORED)
     same = S.score_diff(S.score_lm(segs, models[0], models[0])).collect()
