@@ -42,7 +42,7 @@ from ..functions.text import (
     pieces,
     tokenize,
 )
-from ..sources.staging import BROADCAST_BYTES, fits_broadcast, lookup, materialize, spread
+from ..sources.staging import BROADCAST_BYTES, fits_broadcast, frequent_lookup, lookup, materialize, spread
 
 SCALE = 6
 UNIT = float(1 << 40)  # units of a weight
@@ -150,24 +150,26 @@ def model_lookup(
 
     No model gram contains an unknown word, so tokens are first looked up alone and only
     those the models know go on to be expanded into grams. Words, the most frequent keys,
-    are few and fit a broadcast long after the longer grams no longer do.
+    are few and fit a broadcast long after the longer grams no longer do. What does not fit is
+    looked up by a shuffle, from which the most frequent grams are kept out.
     """
     words = weights.filter(F.col("n") == 1)
     whole = fits_broadcast(weights, broadcast_bytes)
     known = whole or fits_broadcast(words, broadcast_bytes)
-    ends = lookup(
-        segment_endings(segs, order, by),
-        words.select(*by, F.col("gram").alias("t0")),
-        [*by, "t0"],
-        broadcast=known,
-    )
+    ends, tokens = segment_endings(segs, order, by), words.select(*by, F.col("gram").alias("t0"))
+    if known:
+        ends = lookup(ends, tokens, [*by, "t0"], broadcast=True)
+    else:
+        ends = frequent_lookup(ends, tokens, [*by, "t0"], "t0")
     grams = ends.select(*by, "seg_id", "positions", F.inline(grams_ending(order=order)))
     grams = grams.filter(F.col("gram").isNotNull())
-    if whole or not known:
-        return lookup(grams.drop("n"), weights, [*by, "gram"], broadcast=whole)
+    if whole:
+        return lookup(grams.drop("n"), weights, [*by, "gram"], broadcast=True)
+    if not known:
+        return frequent_lookup(grams.drop("n"), weights, [*by, "gram"], "gram")
     short, long = F.col("n") == 1, F.col("n") > 1
     return lookup(grams.filter(short).drop("n"), words, [*by, "gram"], broadcast=True).unionByName(
-        lookup(grams.filter(long).drop("n"), weights.filter(long), [*by, "gram"], broadcast=False)
+        frequent_lookup(grams.filter(long).drop("n"), weights.filter(long), [*by, "gram"], "gram")
     )
 
 

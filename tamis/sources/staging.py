@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 256 * 1024 * 1024
 # Size up to which a corpus is dealt out to all cores, per core.
 SPLIT_BYTES = 32 * 1024 * 1024
+# Values that a frequency sketch returns, and those it keeps track of.
+FREQUENT = 1024
+TRACKED = 16384
 # What a hashed row costs beside its strings: key and value headers, pointers, doubles.
 ROW_BYTES = 120
 
@@ -118,13 +121,29 @@ def lookup(
     """Join many rows to a table that has each key once.
 
     ``broadcast`` says that the table's counted size allows a broadcast. Otherwise both sides
-    are shuffled. A single word or gram may hold a large part of all rows; adaptive execution
-    sees the size of its partition and has it read by several tasks, each with the part of the
-    table it needs. No key is copied that is not frequent.
+    are shuffled; where a single key may hold a large part of the rows, see ``frequent_lookup``.
     """
     return rows.join(F.broadcast(table) if broadcast else table, list(on), how)
 
 
+def frequent_lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], key: str) -> DataFrame:
+    """Inner join of many rows to a large table that has each key once, where single values of
+    ``key`` (one of ``on``, a string) may hold any share of the rows.
+
+    A frequency sketch finds the most frequent values: any value beyond a thousandth of the rows
+    is among them. Their rows of the table, few by construction, are broadcast and their
+    occurrences stay where they are; only the rest is shuffled, in which no value is frequent.
+    The rows are worked out for each of the three steps.
+    """
+    top = F.expr(f"approx_top_k({key}, {FREQUENT}, {TRACKED})")
+    most = rows.agg(top.alias("top")).select(F.inline("top")).select(F.col("item").alias(key))
+    most = materialize(most, "frequent")
+    hot = materialize(table.join(F.broadcast(most), key, "left_semi"), "frequent-rows")
+    rest = rows.join(F.broadcast(most), key, "left_anti")
+    found = lookup(rows, hot, on, broadcast=True)
+    return found.unionByName(lookup(rest, table, on, broadcast=False))
+
+
 def bounded(spark: SparkSession, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a table of a row per shuffle partition may be broadcast."""
     return int(spark.conf.get("spark.sql.shuffle.partitions")) * ROW_BYTES <= limit

@@ -9,7 +9,7 @@ from tamis.operators import ngram_model as M
 from tamis.operators import scoring as S
 from tamis.operators import vocabulary as V
 from tamis.sources import sinks
-from tamis.sources.staging import new_path
+from tamis.sources.staging import frequent_lookup, materialize, new_path
 
 
 def made_up(seed, n, words):
@@ -221,6 +221,58 @@ def test_closed_vocabulary_by_side(spark):
             assert sum(10 ** r["logp"] for r in rows) == pytest.approx(1, abs=1e-12)
 
 
+def test_a_gram_in_half_of_all_rows(spark, models):
+    rng = random.Random(8)
+    texts = [" ".join(["w1 w2 w3"] * 40 + rng.choices(WORDS, k=120)) for _ in range(300)]
+    weights = materialize(S.joint_weights(*models), "weights")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        segs = materialize(frame(spark, texts), "segs")
+        for limit in (0, 9000):
+            found = S.model_lookup(segs, weights, broadcast_bytes=limit)
+            # What was shuffled: no task has much more than another.
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(gram" in plan
+            common = found.groupBy("gram").count().orderBy(F.desc("count")).limit(3).collect()
+            assert min(r["count"] for r in common) > 300 * 40
+            most = spark.createDataFrame([(r["gram"],) for r in common], "gram string")
+            rest = found.join(F.broadcast(most), "gram", "left_anti").groupBy("gram").count()
+            whole = S.model_lookup(segs, weights)
+            assert sorted(rest.collect()) == sorted(
+                whole.join(F.broadcast(most), "gram", "left_anti").groupBy("gram").count().collect()
+            )
+            assert found.count() == whole.count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_frequent_key_is_not_shuffled(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.hash("id") % 20000))
+        also = F.when(F.col("id") % 7 == 1, F.lit("frequent, but not in the table")).otherwise(key)
+        rows = materialize(spark.range(0, 200_000, 1, 8).select("id", also.alias("k")), "rows")
+        table = rows.filter("k NOT LIKE 'freq%'").select("k", F.length("k").alias("n")).distinct()
+        table = materialize(table, "table")
+        found = frequent_lookup(rows, table, ["k"], "k")
+        assert found.count() == rows.filter("k NOT LIKE 'freq%'").count()
+        in_task = found.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+        # The first tasks read the rows, the last ones what was shuffled.
+        shuffled = sorted(r["count"] for r in in_task if r["task"] >= rows.rdd.getNumPartitions())
+        assert shuffled and shuffled[-1] < 2 * shuffled[len(shuffled) // 2]
+        assert sum(shuffled) < 0.5 * found.count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_symmetry(spark, models):
     segs = frame(spark, SCORED)
     same = S.score_diff(S.score_lm(segs, models[0], models[0])).collect()

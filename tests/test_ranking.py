@@ -114,6 +114,18 @@ def test_missing_score_is_an_error(spark):
         R.rank_ids(pairs, scores)
 
 
+def test_scores_of_other_ids_are_an_error(spark):
+    pairs = spark.createDataFrame([(i, f"s{i}", "t") for i in range(6)], "seg_id long, src string, tgt string")
+    keyed = R.fingerprints(pairs).withColumn("score", F.col("seg_id") * 0.5)
+    assert R.rank_keys(keyed, pairs).count() == 6
+    # One id lost and another one doubled: as many rows as there should be.
+    swapped = keyed.withColumn("seg_id", F.when(F.col("seg_id") == 4, F.lit(3)).otherwise(F.col("seg_id")))
+    with pytest.raises(ValueError, match="not of the same ids"):
+        R.rank_keys(swapped, pairs)
+    with pytest.raises(ValueError, match="6 pairs, 5 scores"):
+        R.rank_keys(keyed.filter("seg_id <> 2"), pairs)
+
+
 def test_dedup_and_sort(spark):
     rows = [(3, 1.0, "a", "x"), (1, 1.0, "a", "x"), (2, 1.0, "b", "x"), (4, 2.0, "c", "")]
     frame = spark.createDataFrame(rows, SCHEMA)

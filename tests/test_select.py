@@ -13,8 +13,9 @@ from tamis.operators import sampling as N
 from tamis.operators import scoring as S
 from tamis.operators import vocabulary as V
 from tamis.plans import select as P
+from tamis.sources import sinks
 from tamis.sources.corpus import open_corpus
-from tamis.sources.staging import materialize
+from tamis.sources.staging import materialize, new_path, scratch
 
 OTHER = [f"v{i}" for i in range(30)]
 
@@ -77,6 +78,48 @@ def test_shuffled_joins_give_the_same(spark, corpora):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
 
 
+def test_kept_models_give_the_same_and_train_nothing(spark, corpora, monkeypatch):
+    general, specific = corpora
+    path = new_path(spark, "kept")
+    sinks.save_models(P.fit(*corpora), path)
+    kept = sinks.load_models(spark, path)
+    assert kept.sides == ("src", "tgt")
+    trained = ids(P.select(*corpora))
+    with monkeypatch.context() as m, scratch(spark) as folder:
+        m.setattr(P, "train_models", None)
+        m.setattr(P, "train_lm", None)
+        assert ids(P.select(general, models=kept)) == trained
+        assert ids(P.select(general, rank_tgt=False, models=kept)) == expected((1,))
+        tables = {name.rsplit("-", 1)[0] for name in os.listdir(folder)}
+    assert "weights" in tables and not tables & {"vocab", "adjusted", "contexts", "model"}
+    with pytest.raises(ValueError, match="order"):
+        P.select(general, models=kept, settings=P.Settings(order=3))
+    with pytest.raises(ValueError, match="closed"):
+        P.select(general, models=kept, settings=P.Settings(closed=True))
+    with pytest.raises(ValueError, match="specific"):
+        P.select(general)
+    one = sinks.Models(kept.frame.filter("side = 'src'"), kept.order, kept.min_count, kept.closed)
+    with pytest.raises(ValueError, match="tgt"):
+        P.select(general, models=one)
+
+
+def test_changed_or_unfinished_models_are_refused(spark, corpora, tmp_path):
+    path = f"{tmp_path}/kept"
+    models = P.fit(*corpora, rank_tgt=False)
+    sinks.save_models(models, path)
+    with pytest.raises(Exception, match="(?i)exists"):
+        sinks.save_models(models, path)
+    sinks.save_models(models, path, mode="overwrite")
+    assert sinks.load_models(spark, path).frame.count() == models.frame.count()
+    sinks.save_model(models.frame.withColumn("bow", F.col("bow") + 1e-9), f"{tmp_path}/other")
+    part = next(f for f in os.listdir(f"{path}/model=general/side=src") if f.endswith(".parquet"))
+    os.remove(f"{path}/model=general/side=src/{part}")
+    with pytest.raises(ValueError, match="manifest"):
+        sinks.load_models(spark, path)
+    with pytest.raises(FileNotFoundError, match="manifest"):
+        sinks.load_models(spark, f"{tmp_path}/other")
+
+
 def test_drawn_sample(corpora):
     general, specific = corpora
     drawn = general.orderBy("seg_id").limit(specific.count())

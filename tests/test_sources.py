@@ -179,6 +179,32 @@ def test_write_ranked(spark):
         sinks.write_ranked(ranked, dest, "en", "en")
 
 
+def test_a_failed_rename_leaves_both_earlier_sides(spark, monkeypatch):
+    frames = [
+        spark.createDataFrame([(1, 0.0, 0, f"{name} src", f"{name} tgt")], "rank long, score double, seg_id long, src string, tgt string")
+        for name in ("old", "new")
+    ]
+    dest = new_path(spark, "sorted")
+    rename = sinks._rename
+
+    def failing(session, source, target):
+        if "writing" in source and target.endswith(".de"):
+            raise OSError("no rename")
+        rename(session, source, target)
+
+    def texts():
+        return [corpus.numbered_lines(spark, f"{dest}/general_corpus_sorted.{x}").first()["text"] for x in ("en", "de")]
+
+    sinks.write_ranked(frames[0], dest, "en", "de")
+    with monkeypatch.context() as m, pytest.raises(OSError, match="no rename"):
+        m.setattr(sinks, "_rename", failing)
+        sinks.write_ranked(frames[1], dest, "en", "de", mode="overwrite")
+    assert texts() == ["old src", "old tgt"]
+    assert len(os.listdir(dest)) == 2
+    sinks.write_ranked(frames[1], dest, "en", "de", mode="overwrite")
+    assert texts() == ["new src", "new tgt"] and len(os.listdir(dest)) == 2
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
