@@ -71,7 +71,8 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    read = spark.read.schema(df.schema).parquet(path)
+    return read.select(*["`" + c.replace("`", "``") + "`" for c in df.columns])
 
 
 def localize(df: DataFrame) -> DataFrame:
