@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tamis.sources.staging import fits_broadcast, materialize
 
-# Internal columns. Every operator first selects what it needs under names of this form, so
-# that columns of the caller, whatever their names, cannot clash.
+# Internal columns. Every operator first selects what it needs; where a stage hands on all
+# columns of the caller, ``plain`` takes them out of the way of these.
 FILE, ROW = "__file", "__row"
 PART, SEQ = "__part", "__seq"
 
@@ -54,12 +54,30 @@ def fold_of(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.pmod(utf8_crc32(doc_id.cast("string")), F.lit(folds)).cast("int"), F.lit(-1))
 
 
+def plain(docs: DataFrame, *known: str) -> DataFrame:
+    """All columns under names that clash with nothing; those ``known`` keep theirs. ``restored``
+    gives the others their names back."""
+    names = [c if c in known else f"c{i}" for i, c in enumerate(docs.columns)]
+    return docs.select(*[docs[quoted(c)].alias(name) for c, name in zip(docs.columns, names)])
+
+
+def restored(rows: DataFrame, inner: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, from rows that have those of ``inner``, which ``plain`` made."""
+    return rows.select(*[F.col(name).alias(c) for name, c in zip(inner.columns, docs.columns)])
+
+
+def _place(rows: DataFrame) -> list[Column]:
+    # asked for like this, it is the file's own also where a column is called the same
+    meta = rows.metadataColumn("_metadata")
+    return [meta["file_path"].alias(FILE), meta["row_index"].alias(ROW)]
+
+
 def in_files(docs: DataFrame, *columns: str) -> DataFrame:
     """The columns as a plain read of files; a frame that is none is written first. What joins
     several ``stored`` frames of the same documents starts from here."""
-    wanted = docs.select(*columns) if columns else docs
+    wanted = docs.select(*[docs[quoted(c)] for c in columns or docs.columns])
     try:
-        wanted.select("_metadata.file_path", "_metadata.row_index")
+        wanted.select(*_place(wanted))
         return wanted
     except AnalysisException:
         return materialize(wanted, "stored")
@@ -69,12 +87,10 @@ def stored(docs: DataFrame, *columns: str) -> DataFrame:
     """The columns with the place of each row in storage: ``FILE`` and ``ROW``.
 
     The place identifies a row, repeated ones included, and is the same in every scan,
-    however the files are split.
+    however the files are split. Columns whose names may clash with these go through ``plain``.
     """
     rows = in_files(docs, *columns)
-    return rows.select(
-        "*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)
-    )
+    return rows.select(*[rows[quoted(c)] for c in rows.columns], *_place(rows))
 
 
 def with_places(rows: DataFrame, narrow: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamis.llm.common import plain, quoted, restored
 from tamis.llm.words import alnum_spans, alnum_words, texts
 from tamis.sources.staging import materialize
 
@@ -119,8 +120,8 @@ def find_passages(
     found = "struct<n_words:bigint,n_hit:bigint,spans:array<struct<start:int,end:int>>,items:array<string>>"
     source = f"c{kept.index(text)}" if text in kept else "t"
     inner = docs.select(
-        *[F.col(c).alias(f"c{i}") for i, c in enumerate(kept)],
-        *([] if text in kept else [F.col(text).alias(source)]),
+        *[docs[quoted(c)].alias(f"c{i}") for i, c in enumerate(kept)],
+        *([] if text in kept else [docs[quoted(text)].alias(source)]),
     )
     schema = ", ".join(
         [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept)]
@@ -174,12 +175,11 @@ def find_passages(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark passage, with their columns as they were."""
-    names = docs.columns
-    inner = docs.select(*[F.col(c).alias(f"d{i}") for i, c in enumerate(names)])
-    found = find_passages(inner, benchmark, text=f"d{names.index('text')}")
-    clean = found.where(F.col("passages.n_hit") == 0)
-    return clean.select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(names)])
+    """The documents that hold no benchmark passage, with their columns as they were, whatever
+    their names."""
+    inner = plain(docs, "text")
+    found = find_passages(inner, benchmark)
+    return restored(found.where(F.col("passages.n_hit") == 0), inner, docs)
 
 
 def op2_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tamis.llm.common import FILE, ROW, in_files, stored
+from tamis.llm.common import FILE, ROW, in_files, plain, restored, stored
 from tamis.llm.words import texts
 from tamis.sources.staging import fits_broadcast, materialize
 
@@ -502,9 +502,10 @@ def op5_jaccard_join(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document of every component, that with the smallest ``doc_id`` (of several rows with
-    it the first in storage; null ids come last), and all without words; columns as they were."""
-    docs = in_files(docs)
-    found = materialize(near_duplicates(docs), "components")
+    it the first in storage; null ids come last), and all without words; columns as they were,
+    whatever their names."""
+    inner = in_files(plain(docs, "doc_id", "text"))
+    found = materialize(near_duplicates(inner), "components")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", FILE, ROW)
     grouped = found.where(F.col("component").isNotNull())
     first = grouped.groupBy("component").agg(F.min(order).alias("first"), F.count("*").alias("k")).where("k > 1")
@@ -516,4 +517,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     )
     if fits_broadcast(dropped, ID_BYTES):
         dropped = F.broadcast(dropped)
-    return stored(docs).join(dropped, [FILE, ROW], "left_anti").select(*docs.columns)
+    return restored(stored(inner).join(dropped, [FILE, ROW], "left_anti"), inner, docs)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import fold_of
+from tamis.llm.common import fold_of, plain, restored
 from tamis.llm.words import texts
 from tamis.sources.staging import materialize
 
@@ -268,16 +268,15 @@ def op6_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier accepts, with their columns as they were.
+    """The documents that the classifier accepts, with their columns as they were, whatever their
+    names.
 
     The model is fitted from statistics written once; a second pass over the documents scores
     and filters them where they are, so no text is shuffled.
     """
     measured = materialize(with_statistics(docs, "text", ["doc_id"]), "statistics")
     model = fit(measured, labels)
-    names = docs.columns
-    inner = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
-    text = f"c{names.index('text')}"
+    inner, text = plain(docs, "text"), "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,5 +284,4 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
             good = model.scores(x) >= THRESHOLD if len(x) else np.zeros(0, bool)
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    kept = inner.mapInArrow(run, inner.schema)
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    return restored(inner.mapInArrow(run, inner.schema), inner, docs)

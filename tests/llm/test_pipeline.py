@@ -3,6 +3,7 @@
 import corpus_pipeline
 import pytest
 from conftest_llm import ODD, documents
+from pyspark.sql import functions as F
 from test_jaccard_join import brute as near_brute
 
 from tamis.llm.decontamination import op2_decontamination
@@ -72,6 +73,28 @@ def test_run_is_all_stages(spark, stages):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, stages[-1][1].collect()))
 
 
+NAMES = ["a.b", "Shard", "__file", "__row", "__position", "__size", "_metadata", "c1", "passages", "`", "component"]
+
+
+def test_columns_of_any_name(spark, tmp_path):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    plain_docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    named = plain_docs.select("*", *[F.concat(F.lit(name), F.col("doc_id")).alias(name) for name in NAMES])
+    for name, stage in corpus_pipeline.STAGES:
+        found = []
+        for i, df in enumerate((plain_docs, named)):
+            path = str(tmp_path / f"{name}-{i}")
+            stage(spark, df, sf_dir).write.parquet(path)
+            found.append(spark.read.parquet(path))
+        plain_docs, named = found
+        assert ids(named) == ids(plain_docs)
+        kept = [n for n in NAMES if not (name == "shards" and n == "Shard")]
+        assert set(named.columns) - set(plain_docs.columns) == set(kept)
+        for row in named.collect():
+            assert all(row[n] == f"{n}{row['doc_id']}" for n in kept)
+
+
 def test_odd_and_empty_documents(spark):
     sf_dir = "/root/testdata/sf0.001"
     for rows in (ODD, []):
