@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm.common import FILE, ROW, stored, with_places
+from tamis.llm.common import FILE, ROW, plain, quoted, stored, with_places
 from tamis.llm.decontamination import drop_contaminated
 from tamis.llm.jaccard_join import one_of_each
 from tamis.llm.mixing import mixed_documents
@@ -51,14 +51,18 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns, the document's ``shard`` and its ``slot`` there, in the stored order.
 
     Only sizes are ordered and summed; the rows themselves are joined to their shards once. A
-    column of that name in the documents is replaced.
+    column of that name in the documents, in whatever case, is replaced; other columns stay as
+    they were, whatever their names.
     """
-    rows = stored(docs)
+    kept = docs.select(*[docs[quoted(c)] for c in docs.columns if c.lower() not in ("shard", "slot")])
+    inner = plain(kept, "text")
+    rows = stored(inner)
     size = (F.octet_length(F.coalesce("text", F.lit(""))) + F.lit(ROW_OVERHEAD)).cast("long")
     narrow = materialize(rows.select(FILE, ROW, size.alias("__size")), "sizes")
     placed = materialize(shard_by_bytes(narrow, "__size", [FILE, ROW], SHARDS), "shards")
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
-    return with_places(rows.select(FILE, ROW, *kept), placed).select(*kept, "shard", "slot")
+    found = with_places(rows, placed)
+    names = [F.col(name).alias(c) for name, c in zip(inner.columns, kept.columns)]
+    return found.select(*names, "shard", "slot")
 
 
 STAGES: list[tuple[str, Stage]] = [
