@@ -82,24 +82,27 @@ def seg_ids(df: DataFrame) -> DataFrame:
     return _with_ids(located, _file_offsets(df), columns)
 
 
-def _matches(spark: SparkSession, path: str) -> tuple[bool, list[str]]:
-    """Whether a path is a folder, and the names that a glob of it matches."""
+def _glob(spark: SparkSession, path: str):
+    """The file states that a glob matches, as an array of the JVM: asking it for its length is one
+    call, however many files there are."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = list(files.globStatus(target) or [])
-    folder = len(found) == 1 and found[0].isDirectory()
-    return folder, [status.getPath().getName() for status in found]
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target) or []
 
 
 def _pattern(spark: SparkSession, prefix: str) -> str:
     if prefix.startswith("s3://"):
         prefix = "s3a://" + prefix.removeprefix("s3://")
-    is_folder, _ = _matches(spark, prefix)
+    found = _glob(spark, prefix)
+    is_folder = len(found) == 1 and found[0].isDirectory()
     pattern = f"{prefix.rstrip('/')}/*.parquet" if is_folder else f"{prefix}*.parquet"
-    names = _matches(spark, pattern)[1]
-    if not names:
+    if not len(_glob(spark, pattern)):
         raise FileNotFoundError(f"no Parquet files at {prefix}")
-    # Spark's readers pass over such names in silence, and the corpus would lack their rows.
+    # Spark's readers pass over such names in silence, and the corpus would lack their rows. They
+    # are looked for by a glob of their own, so that no other name comes to the driver.
+    folder, slash, start = pattern.rpartition("/")
+    start = start.removesuffix("*.parquet")
+    hidden = f"{start}*.parquet" if start.startswith(("_", ".")) else "[_.]*.parquet" if not start else None
+    names = [f.getPath().getName() for f in _glob(spark, f"{folder}{slash}{hidden}")] if hidden else []
     skipped = [n for n in names if n.startswith(".") or (n.startswith("_") and "=" not in n)]
     if skipped:
         raise ValueError(f"{prefix}: Spark does not read files named {', '.join(sorted(skipped))}; rename them")
