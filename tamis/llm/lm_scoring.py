@@ -2,12 +2,16 @@
 
 Word counts come from all training documents. The recurrent model knows every word whose share
 of the counts is at least ``LEAST_SHARE``, so its vocabulary follows the corpus; any other word
-is its unknown token, times the word's share of all such words by the counts. It is trained on every training document once, in as many rounds as there are training
-folds: in a round each task trains on its documents of that fold from the same weights, and the
-weights are averaged over tasks, by tokens.
+is its unknown token, times the word's share of all such words by the counts.
 
-A dictionary of the ``HEAD`` most frequent words, or of all that the model knows, is broadcast. The counts of other words are
-found by a join on the words that each document has left over.
+It is trained on every training document once. The documents are dealt by hashes to replicas and
+rounds. In a round each replica trains on its documents, in the order of their hashes, from the
+same weights, and the replicas' changes are averaged, by tokens. How many replicas there are
+follows from the number of tokens, not from tasks or files, so the model depends on the rows only,
+and a replica has as many tokens in a large corpus as in a small one, or more.
+
+A dictionary of the ``HEAD`` most frequent words, or of all that the model knows, is broadcast.
+The counts of other words are found by a join on the words that each document has left over.
 """
 
 from __future__ import annotations
@@ -33,7 +37,10 @@ HEAD = 60_000  # words in the broadcast dictionary, if the model does not know m
 # that share than its inverse, which bounds the model.
 LEAST_SHARE = 1e-6
 LEAST_COUNT = 5  # in small corpora: words seen less often are what the unknown token learns from
-BLOCK = 8192  # weights in a row when the weights of tasks are averaged
+BLOCK = 8192  # weights in a row when the changes of replicas are averaged
+REPLICA_TOKENS = 4_000_000  # so many training tokens make a replica of their own
+REPLICAS = 1024  # at most; beyond, replicas get more tokens each. Bounds what a round shuffles
+ROUNDS = 8
 END_WORD = b""  # no word is empty; the end of a text is counted under it
 HELD_WORDS = 400_000  # distinct words a counting task holds before it hands them on
 GIVEN_LOG = np.log(10.0)
@@ -108,7 +115,6 @@ class Vocabulary:
         least = least_count(tokens)
         ranked = [i for i, w in enumerate(words) if w != END_WORD]
         model = [i for at, i in enumerate(ranked) if at < R.SIZE - 2 or counts[i] >= least]
-        self.classes = R.classes_for(len(model) + 2)
         self.token = np.full(len(words) + 1, R.UNKNOWN, np.int32)  # the last is for place -1
         self.token[model] = np.arange(2, 2 + len(model))
         self.token[self.place[END_WORD]] = R.END
@@ -117,10 +123,11 @@ class Vocabulary:
         # What the counts leave for all words without a token, the unseen one included.
         rest = max(tokens + 0.5 * (types + 1) - known - end, 0.5)
         self.rest = np.log10(rest)
-        shares = np.zeros(self.classes * self.classes)
+        shares = np.zeros(2 + len(model))
         shares[2 : 2 + len(model)] = counts[model] + 0.5
         shares[R.END], shares[R.UNKNOWN] = end, rest
         self.shares = shares / shares.sum()
+        self.edges = R.class_edges(self.shares)
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Place of every word, -1 beyond the head; with the end."""
@@ -128,45 +135,66 @@ class Vocabulary:
         return np.fromiter(map(self.place.get, words, repeat(-1)), np.int32, len(words))
 
 
-def trained(docs: DataFrame, text: str, fold: str, vocabulary, start: R.Parameters, folds: list[int]) -> R.Parameters:
-    """The model after one round per fold in ``folds``."""
-    spark = docs.sparkSession
-    values, classes = R.flat(start), len(start["class_bias"])
+def replicas_for(tokens: int) -> int:
+    """Replicas that a corpus of so many training tokens is dealt to."""
+    return min(REPLICAS, max(1, -(-tokens // REPLICA_TOKENS)))
 
-    def mean_of(tasks: pa.Table) -> pa.Table:
-        """Of one block of weights: one row for each task."""
-        n = tasks.column("n").to_numpy()
-        v = sum(np.frombuffer(x.as_py(), np.float32) * m for x, m in zip(tasks.column("v"), n)) / n.sum()
-        return pa.table({"i": tasks.column("i")[:1], "v": pa.array([v.astype(np.float32).tobytes()], pa.binary())})
 
-    for k in folds:
+def trained(docs: DataFrame, vocabulary, start: R.Parameters, replicas: int) -> R.Parameters:
+    """The model after all rounds on ``docs`` (``doc_id``, ``t``)."""
+    spark = docs.sparkSession
+    values, edges = R.flat(start), vocabulary.value.edges
+    place = F.xxhash64("doc_id", "t")
+    dealt = docs.select("t", place.alias("place"), F.pmod(place, F.lit(replicas)).cast("int").alias("replica"))
+
+    def mean_of(changes: pa.Table) -> pa.Table:
+        """Of one block of weights: one row for each replica, summed in their order."""
+        changes = changes.sort_by("replica")
+        n = changes.column("n").to_numpy()
+        blocks = zip(changes.column("v"), n / n.sum())
+        v = sum(np.frombuffer(x.as_py(), np.float16).astype(np.float64) * m for x, m in blocks)
+        return pa.table({"i": changes.column("i")[:1], "v": pa.array([v.astype(np.float32).tobytes()], pa.binary())})
+
+    for k in range(ROUNDS):
         weights = spark.sparkContext.broadcast(values)
 
         def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = vocabulary.value
-            trainer = R.Trainer(R.shaped(weights.value, classes))
-            for batch in batches:
-                trainer.learn([known.token[known.places(spaced_words(t))] for t in texts(batch, "t")])
-            if trainer.seen:
-                out = R.flat(trainer.p)
+            known, common = vocabulary.value, R.shaped(weights.value, edges)
+            trainer, current = None, None
+
+            def change() -> pa.RecordBatch:
+                trainer.learn()
+                out = (R.flat(trainer.p) - weights.value).astype(np.float16)
                 blocks = [out[at : at + BLOCK].tobytes() for at in range(0, len(out), BLOCK)]
-                yield pa.RecordBatch.from_arrays(
+                return pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(len(blocks), dtype=np.int32)),
+                        pa.array(np.full(len(blocks), current, np.int32)),
                         pa.array(blocks, pa.binary()),
                         pa.array(np.full(len(blocks), float(trainer.seen))),
                     ],
-                    ["i", "v", "n"],
+                    ["i", "replica", "v", "n"],
                 )
 
-        of_fold = docs.where(F.col(fold) == k).select(F.col(text).alias("t"))
-        parts = of_fold.mapInArrow(train, "i int, v binary, n double")
-        # One row per block of weights of the model, however many tasks there were.
+            for batch in batches:
+                for replica, value in zip(batch.column("replica").to_pylist(), texts(batch, "t")):
+                    if replica != current:
+                        if trainer:
+                            yield change()
+                        trainer, current = R.Trainer(common, edges), replica
+                    trainer.add(known.token[known.places(spaced_words(value))])
+            if trainer:
+                yield change()
+
+        of_round = dealt.where(F.pmod(F.shiftrightunsigned("place", 32), F.lit(ROUNDS)) == k)
+        ordered = of_round.repartitionById(replicas, F.col("replica")).sortWithinPartitions("replica", "place")
+        parts = ordered.select("replica", "t").mapInArrow(train, "i int, replica int, v binary, n double")
+        # One row per block of weights of the model, however many replicas there were.
         mean = parts.groupBy("i").applyInArrow(mean_of, "i int, v binary").toArrow().sort_by("i")
         if mean.num_rows:
-            values = np.frombuffer(b"".join(mean.column("v").to_pylist()), np.float32)
+            values = values + np.frombuffer(b"".join(mean.column("v").to_pylist()), np.float32)
         weights.unpersist()
-    return R.shaped(values, classes)
+    return R.shaped(values, edges)
 
 
 def score_texts(
@@ -176,8 +204,10 @@ def score_texts(
     ``score`` of every row, whole texts; the models learn from all folds but ``held_out``.
 
     A null text is empty and has its end only. A null id is in no fold: it is scored, and not
-    learned from. Repeated rows count and learn as often as they stand there. Without any
-    training document all counts are 0, and the model stays as it is initialised.
+    learned from. Repeated rows count and learn as often as they stand there; those of one id and
+    text do so in one replica. Without any training document all counts are 0, and the model stays
+    as it is initialised. A text is one sequence however long it is. Other columns are not read,
+    whatever their names.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -188,12 +218,11 @@ def score_texts(
     sums = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     vocabulary = Vocabulary(*head_of(counts), sums.n, sums.v)
     shared = spark.sparkContext.broadcast(vocabulary)
-    rounds = [k for k in range(folds) if k != held_out]
-    model = trained(rows, "t", "fold", shared, R.initial(vocabulary.shares), rounds)
+    model = trained(rows.where(learned), shared, R.initial(vocabulary.shares), replicas_for(sums.n))
     weights = spark.sparkContext.broadcast(R.flat(model))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, p = shared.value, R.shaped(weights.value, shared.value.classes)
+        known, p = shared.value, R.shaped(weights.value, shared.value.edges)
         for batch in batches:
             sequences, out = [], []
             for value in texts(batch, "t"):
@@ -215,7 +244,7 @@ def score_texts(
                         "times": list(rare.values()),
                     }
                 )
-            model_log = R.log_likelihoods(p, sequences) / GIVEN_LOG
+            model_log = R.log_likelihoods(p, known.edges, sequences) / GIVEN_LOG
             kind = pa.struct(
                 [("n_tokens", pa.int64()), ("n_head", pa.int64()), ("head_log", pa.float64())]
                 + [("n_unknown", pa.int64()), ("unknown_log", pa.float64())]

@@ -2,29 +2,28 @@
 
 Texts are sequences of small integers. They are laid end to end on parallel streams, and the
 streams are cut into windows. The hidden state is carried from window to window and reset where
-a text begins, so a text of any length gets the likelihood of the whole; in training the
+a text begins, in training as in scoring, so a text of any length is one text; in training the
 gradient stops at the window's edge.
+
+A class is a run of tokens that follow each other by frequency. A step pays for all classes and
+for the tokens of one class, so classes of frequent tokens are small and those of rare ones large.
 """
 
 from __future__ import annotations
 
 import heapq
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
 HIDDEN = 16
-# Of the smallest model; a larger vocabulary has as many classes as words of a class.
-CLASSES = 32
-PER_CLASS = 32
-SIZE = CLASSES * PER_CLASS  # tokens of the smallest model
+SIZE = 1024  # tokens of the smallest model
 END, UNKNOWN = 0, 1  # END also stands before the first token of a text
 WINDOW = 32  # steps of one window
 STREAMS = 256  # at most so many streams side by side
 LEAST_WINDOWS = 40  # fewer streams for short input, so that there are so many windows
-PIECE = 1024  # tokens after which a training text goes on as another
+CHUNK = 1_000_000  # tokens laid out together in training
 RATE = 0.01
 LEAST = 1e-30
 SAFE = 60.0  # size of an exponent that needs no shift
@@ -33,48 +32,51 @@ CELLS = 24_576  # of a softmax held at a time, so that it stays in the caches
 Parameters = dict[str, np.ndarray]
 
 
-def classes_for(tokens: int) -> int:
-    """Classes, and words of a class, of a model with room for so many tokens."""
-    return max(CLASSES, math.isqrt(max(tokens - 1, 0)) + 1)
+def class_edges(shares: np.ndarray) -> np.ndarray:
+    """First token of every class, and the number of tokens.
+
+    ``END`` and ``UNKNOWN`` are alone in theirs. A class ends where the square roots of its
+    tokens' shares sum to one, which makes the expected cost of a step least: a token of share p
+    adds about sqrt(p) to the number of classes and p / sqrt(p) to the words of the class looked at.
+    """
+    filled = np.floor(np.cumsum(np.sqrt(shares[2:])))
+    starts = 2 + np.flatnonzero(np.diff(filled, prepend=-1.0) > 0)
+    return np.array([END, UNKNOWN, *starts, len(shares)], np.int64)
 
 
-def shapes(classes: int) -> dict[str, tuple[int, ...]]:
-    """Of a model with so many classes of as many words."""
+def shapes(edges: np.ndarray) -> dict[str, tuple[int, ...]]:
+    """Of a model with these classes; the last column of the outputs is the bias."""
+    tokens, classes = int(edges[-1]), len(edges) - 1
     return {
-        "embed": (classes * classes, HIDDEN),
+        "embed": (tokens, HIDDEN),
         "input": (HIDDEN, 3 * HIDDEN),
         "state": (HIDDEN, 3 * HIDDEN),
         "gate_bias": (3 * HIDDEN,),
-        "class_out": (HIDDEN, classes),
-        "class_bias": (classes,),
-        "word_out": (classes, HIDDEN, classes),
-        "word_bias": (classes, classes),
+        "class_out": (classes, HIDDEN + 1),
+        "word_out": (tokens, HIDDEN + 1),
     }
 
 
-SHAPES = shapes(CLASSES)
-
-
 def initial(shares: np.ndarray, seed: int = 8) -> Parameters:
-    """Small random weights; the biases give every token its share (an array of ``classes`` times
-    ``classes``)."""
+    """Small random weights; the biases give every token its share, which falls from token 2 on."""
     rng = np.random.default_rng(seed)
-    classes = classes_for(len(shares))
-    p = {k: rng.normal(0, 0.15, shape).astype(np.float32) for k, shape in shapes(classes).items()}
+    edges = class_edges(shares)
+    p = {k: rng.normal(0, 0.15, shape).astype(np.float32) for k, shape in shapes(edges).items()}
     p["gate_bias"][:] = 0
-    by_class = np.maximum(shares, 1e-9).reshape(classes, classes)
-    p["class_bias"] = np.log(by_class.sum(1)).astype(np.float32)
-    p["word_bias"] = np.log(by_class / by_class.sum(1, keepdims=True)).astype(np.float32)
+    shares = np.maximum(shares, 1e-12)
+    by_class = np.add.reduceat(shares, edges[:-1])
+    p["class_out"][:, -1] = np.log(by_class)
+    p["word_out"][:, -1] = np.log(shares / np.repeat(by_class, np.diff(edges)))
     return p
 
 
 def flat(p: Parameters) -> np.ndarray:
-    return np.concatenate([p[k].ravel() for k in SHAPES])
+    return np.concatenate([x.ravel() for x in p.values()])
 
 
-def shaped(values: np.ndarray, classes: int = CLASSES) -> Parameters:
+def shaped(values: np.ndarray, edges: np.ndarray) -> Parameters:
     out, at = {}, 0
-    for k, shape in shapes(classes).items():
+    for k, shape in shapes(edges).items():
         n = int(np.prod(shape))
         out[k] = values[at : at + n].reshape(shape).astype(np.float32)
         at += n
@@ -162,40 +164,43 @@ def _with_one(states: np.ndarray) -> np.ndarray:
     return np.concatenate([states, np.ones((len(states), 1), states.dtype)], 1)
 
 
-def _outputs(p: Parameters) -> tuple[np.ndarray, np.ndarray]:
-    """Output weights of the classes, as one group, and of the words, a group per class; the bias
-    is the last row."""
-    of_class = np.concatenate([p["class_out"], p["class_bias"][None]])[None]
-    return of_class, np.concatenate([p["word_out"], p["word_bias"][:, None]], 1)
+def _safe(out: np.ndarray) -> bool:
+    """States are at most one in size, so small weights need no shift."""
+    return bool(np.abs(out).sum(1).max() < SAFE)
 
 
 def _softmax(
-    out: np.ndarray, used: np.ndarray, group: np.ndarray, goal: np.ndarray, n: int = 0
-) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
-    """Of every step the chance of its goal by the softmax of its group. With ``n``, also the
-    gradients of the summed loss divided by ``n``, by ``out`` and by ``used``.
+    out: np.ndarray, edges: np.ndarray, used: np.ndarray, group: np.ndarray, goal: np.ndarray, safe: bool, n: int = 0
+) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None, list[slice]]:
+    """Of every step the chance of its goal, a row of ``out``, by the softmax of its group: the
+    rows from one edge to the next. With ``n``, also the gradients of the summed loss divided by
+    ``n``, by ``out`` and by ``used``, and the rows that the first has: those of no other group
+    are set.
 
     Steps are put in the order of their groups once, so that a group, of which there are many,
     costs few calls.
     """
     order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(len(out) + 1))
+    bounds = np.searchsorted(group[order], np.arange(len(edges)))
     used, goal = used[order], goal[order]
-    # States are at most one in size, so small weights need no shift.
-    shift = not np.abs(out).sum(1).max() < SAFE
-    chunk = max(16, CELLS // out.shape[2])
-    steps = np.arange(chunk)
     kind = np.result_type(out, used)
-    chance = np.empty(len(goal), kind)
-    d_out, d_used = (np.zeros_like(out), np.empty(used.shape, kind)) if n else (None, None)
-    for c in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
-        own, stop = out[c], int(edges[c + 1])
-        for at in range(int(edges[c]), stop, chunk):
+    chance = np.ones(len(goal), kind)
+    d_out, d_used = (np.empty_like(out), np.zeros(used.shape, kind)) if n else (None, None)
+    touched = []
+    # In a group of one, the chance is one.
+    for c in np.flatnonzero((bounds[1:] > bounds[:-1]) & (np.diff(edges) > 1)).tolist():
+        low, high = int(edges[c]), int(edges[c + 1])
+        own, stop = out[low:high], int(bounds[c + 1])
+        if n:
+            touched.append(slice(low, high))
+            d_out[low:high] = 0
+        chunk = max(16, CELLS // len(own))
+        for at in range(int(bounds[c]), stop, chunk):
             cut = slice(at, min(at + chunk, stop))
-            held, wanted = used[cut], goal[cut]
-            k = steps[: len(wanted)]
-            e = own.T @ held.T  # one column per step, which numpy sums fast
-            if shift:
+            held, wanted = used[cut], goal[cut] - low
+            k = np.arange(len(wanted))
+            e = own @ held.T  # one column per step, which numpy sums fast
+            if not safe:
                 e -= e.max(0)
             np.exp(e, out=e)
             sums = e.sum(0)
@@ -205,41 +210,67 @@ def _softmax(
                 sums *= n
                 e /= sums
                 e[wanted, k] = (right - 1) / n
-                d_out[c] += (e @ held).T
-                d_used[cut] = e.T @ own.T
+                d_out[low:high] += e @ held
+                d_used[cut] = e.T @ own
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
-    return chance[back], d_out, d_used[back] if n else None
+    return chance[back], d_out, d_used[back] if n else None, touched
 
 
-def log_likelihoods(p: Parameters, sequences: list[np.ndarray]) -> np.ndarray:
+def log_likelihoods(p: Parameters, edges: np.ndarray, sequences: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of every whole sequence."""
     total = np.zeros(len(sequences))
     if not sequences:
         return total
     streams = laid_out(sequences)
     h = np.zeros((streams.given.shape[1], HIDDEN), np.float32)
-    driven, classes = _driven(p), len(p["class_bias"])
-    of_class, of_word = _outputs(p)
+    driven, classes = _driven(p), np.array([0, len(edges) - 1])
+    of_class, of_word = p["class_out"], p["word_out"]
+    safe = _safe(of_class), _safe(of_word)
     for given, wanted, first, text in streams.windows():
         states, h = _forward(p, driven[given], first, h[: given.shape[1]], None)
         real = np.flatnonzero(text.ravel() >= 0)
         used, goal = _with_one(states.reshape(-1, HIDDEN)[real]), wanted.ravel()[real].astype(np.int64)
-        group, word = np.divmod(goal, classes)
-        chance = _softmax(of_class, used, np.zeros_like(group), group)[0]
-        chance *= _softmax(of_word, used, group, word)[0]
+        group = np.searchsorted(edges, goal, "right") - 1
+        chance = _softmax(of_class, classes, used, np.zeros_like(group), group, safe[0])[0]
+        chance *= _softmax(of_word, edges, used, group, goal, safe[1])[0]
         logs = np.log(np.maximum(chance, LEAST))
         total += np.bincount(text.ravel()[real], weights=logs, minlength=len(sequences))
     return total
 
 
+@dataclass(frozen=True)
+class Gradient:
+    """By every parameter, but only in the rows listed; the rest of the array is not set."""
+
+    values: Parameters
+    rows: dict[str, list[slice] | np.ndarray]
+
+    def parts(self) -> Iterator[tuple[str, slice | np.ndarray, np.ndarray]]:
+        """Parameter, rows of it, gradient by those rows."""
+        for k, x in self.values.items():
+            if k == "embed":
+                yield k, self.rows[k], x
+            elif k in self.rows:
+                for rows in self.rows[k]:
+                    yield k, rows, x[rows]
+            else:
+                yield k, slice(None), x
+
+
 def gradients(
-    p: Parameters, given: np.ndarray, wanted: np.ndarray, first: np.ndarray, real: np.ndarray, h: np.ndarray
-) -> tuple[Parameters, np.ndarray, float]:
+    p: Parameters,
+    edges: np.ndarray,
+    given: np.ndarray,
+    wanted: np.ndarray,
+    first: np.ndarray,
+    real: np.ndarray,
+    h: np.ndarray,
+) -> tuple[Gradient, np.ndarray, float]:
     """Gradients of the mean loss over the real steps of one window, by backpropagation through
-    its steps; the state after it; the summed loss."""
+    its steps; the state after it; the summed loss. Only the tokens and the classes of the window
+    are looked at, however many the model has."""
     trace: list = []
-    # Only the tokens of the window are looked at, however many the model has.
     tokens, place = np.unique(given.ravel(), return_inverse=True)
     steps, width = given.shape
     states, last = _forward(p, _driven(p, tokens)[place].reshape(steps, width, -1), first, h, trace)
@@ -247,17 +278,17 @@ def gradients(
     at_real = np.flatnonzero(real.ravel())
     used = _with_one(flat_states[at_real])
     goal = wanted.ravel()[at_real].astype(np.int64)
-    classes = len(p["class_bias"])
-    group, word = np.divmod(goal, classes)
+    group = np.searchsorted(edges, goal, "right") - 1
     n = max(len(goal), 1)
-    g = {k: np.zeros_like(v) for k, v in p.items()}
-
-    of_class, of_word = _outputs(p)
-    chance, d_class, d_used = _softmax(of_class, used, np.zeros_like(group), group, n)
-    inner, d_word, d_inner = _softmax(of_word, used, group, word, n)
+    g: Parameters = {}
+
+    of_class, of_word = p["class_out"], p["word_out"]
+    classes = np.array([0, len(of_class)])
+    chance, g["class_out"], d_used, _ = _softmax(
+        of_class, classes, used, np.zeros_like(group), group, _safe(of_class), n
+    )
+    inner, g["word_out"], d_inner, touched = _softmax(of_word, edges, used, group, goal, _safe(of_word), n)
     loss = -float(np.log(np.maximum(chance, LEAST)).sum() + np.log(np.maximum(inner, LEAST)).sum())
-    g["class_out"], g["class_bias"] = d_class[0, :-1], d_class[0, -1]
-    g["word_out"], g["word_bias"] = d_word[:, :-1], d_word[:, -1]
     d_used += d_inner
     d_states = np.zeros_like(flat_states)
     d_states[at_real] = d_used[:, :-1]
@@ -292,52 +323,66 @@ def gradients(
     order = np.argsort(place, kind="stable")
     by_token = np.add.reduceat(d_driven[order], np.searchsorted(place[order], np.arange(len(tokens))))
     g["input"] = p["embed"][tokens].T @ by_token
-    g["embed"][tokens] = by_token @ p["input"].T
-    return g, last, loss
+    g["embed"] = by_token @ p["input"].T
+    return Gradient(g, {"embed": tokens, "word_out": touched}), last, loss
 
 
 class Trainer:
-    """Adam over the windows of whatever it is given; one pass."""
+    """Adam over the windows of whatever it is given, in the order given; one pass. Rows that a
+    window does not touch keep their weights and their moments."""
 
-    def __init__(self, p: Parameters, rate: float = RATE) -> None:
+    def __init__(self, p: Parameters, edges: np.ndarray, rate: float = RATE) -> None:
         self.p = {k: v.copy() for k, v in p.items()}
+        self.edges = edges
         self.rate, self.step, self.seen, self.loss = rate, 0, 0, 0.0
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.v = {k: np.zeros_like(v) for k, v in p.items()}
-
-    def learn(self, sequences: list[np.ndarray]) -> None:
-        """All tokens of the sequences; those longer than ``PIECE`` in pieces, so that a few
-        long texts do not leave most streams empty."""
-        pieces = [s[at : at + PIECE] for s in sequences for at in range(0, len(s), PIECE)]
-        if not pieces:
+        self.held: list[np.ndarray] = []
+        self.tokens = 0
+
+    def add(self, sequence: np.ndarray) -> None:
+        """A whole text. Texts are held until they make up a chunk, so that windows do not depend
+        on the batches in which texts come."""
+        self.held.append(sequence)
+        self.tokens += len(sequence)
+        if self.tokens >= CHUNK:
+            self.learn()
+
+    def learn(self) -> None:
+        """From the texts held."""
+        if not self.held:
             return
-        streams = laid_out(pieces)
+        streams = laid_out(self.held)
+        self.held, self.tokens = [], 0
         h = np.zeros((streams.given.shape[1], HIDDEN), np.float32)
         for given, wanted, first, text in streams.windows():
             real = text >= 0
-            g, h, loss = gradients(self.p, given, wanted, first, real, h[: given.shape[1]])
+            g, h, loss = gradients(self.p, self.edges, given, wanted, first, real, h[: given.shape[1]])
             self.seen += int(real.sum())
             self.loss += loss
             self._update(g, real.sum() / (WINDOW * streams.given.shape[1]))
 
-    def _update(self, g: Parameters, share: float) -> None:
+    def _update(self, g: Gradient, share: float) -> None:
         """One step, as long as the share of the window that holds text: where most streams
         have run out, the few long texts left would turn the model to themselves."""
         self.step += 1
-        norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
+        parts = list(g.parts())
+        norm = np.sqrt(sum(float(np.vdot(x, x)) for _, _, x in parts))
         scale = min(1.0, 1.0 / max(norm, 1e-9))
         ahead = self.rate * share * np.sqrt(1 - 0.99**self.step) / (1 - 0.9**self.step)
-        for k, x in g.items():
-            # In place: with a large vocabulary, the arrays are larger than the caches.
-            m, v = self.m[k], self.v[k]
+        for k, rows, x in parts:
+            # A class at a time, so that the arrays stay in the caches.
+            m, v = self.m[k][rows], self.v[k][rows]
             m *= 0.9
-            m += x * np.float32(0.1 * scale)
             x *= np.float32(0.1 * scale)
+            m += x
             x *= x
             v *= 0.99
             v += x
+            if k == "embed":  # taken by number, so these are copies
+                self.m[k][rows], self.v[k][rows] = m, v
             np.sqrt(v, out=x)
             x += 1e-6
             np.divide(m, x, out=x)
             x *= np.float32(ahead)
-            self.p[k] -= x
+            self.p[k][rows] -= x

@@ -11,18 +11,22 @@ from tamis.llm import recurrent as R
 from tamis.llm.words import spaced_words
 
 
+TOKENS = 1024
+EDGES = R.class_edges(np.array([0.1, 0.2, *(0.7 / np.arange(1, TOKENS - 1) / sum(1 / np.arange(1, TOKENS - 1)))]))
+
+
 @pytest.fixture(scope="module")
 def model():
     rng = np.random.default_rng(1)
-    return {k: rng.normal(0, 0.3, s).astype(np.float32) for k, s in R.SHAPES.items()}
+    return {k: rng.normal(0, 0.3, s).astype(np.float32) for k, s in R.shapes(EDGES).items()}
 
 
 def sequences(seed, n=9):
     rng = np.random.default_rng(seed)
-    return [np.append(rng.integers(1, R.SIZE, rng.integers(0, 150)), R.END).astype(np.int16) for _ in range(n)]
+    return [np.append(rng.integers(1, TOKENS, rng.integers(0, 150)), R.END).astype(np.int16) for _ in range(n)]
 
 
-def step_by_step(p, words):
+def step_by_step(p, edges, words):
     """Log likelihood of one text by the definition of the cell, one step at a time."""
     h, given, total = np.zeros(R.HIDDEN), R.END, 0.0
     H = R.HIDDEN
@@ -33,17 +37,27 @@ def step_by_step(p, words):
         r = 1 / (1 + np.exp(-(a[H : 2 * H] + b[H : 2 * H])))
         n = np.tanh(a[2 * H :] + r * b[2 * H :])
         h = (1 - z) * n + z * h
-        c, w = divmod(int(wanted), R.PER_CLASS)
-        classes = h @ p["class_out"] + p["class_bias"]
-        words_of = h @ p["word_out"][c] + p["word_bias"][c]
-        total += classes[c] - np.log(np.exp(classes).sum()) + words_of[w] - np.log(np.exp(words_of).sum())
+        c = next(i for i in range(len(edges) - 1) if edges[i] <= wanted < edges[i + 1])
+        own = p["word_out"][edges[c] : edges[c + 1]]
+        classes = p["class_out"][:, :-1] @ h + p["class_out"][:, -1]
+        words_of = own[:, :-1] @ h + own[:, -1]
+        total += classes[c] - np.log(np.exp(classes).sum())
+        total += words_of[wanted - edges[c]] - np.log(np.exp(words_of).sum())
         given = wanted
     return total
 
 
+def test_classes_of_rare_tokens_are_larger():
+    sizes = np.diff(EDGES)
+    assert EDGES[0] == R.END and EDGES[-1] == TOKENS and sizes[:2].tolist() == [1, 1]
+    assert sizes.min() > 0 and sizes[2] < sizes[len(sizes) // 2] < sizes[-2]
+    assert R.class_edges(np.array([0.5, 0.5])).tolist() == [0, 1, 2]
+
+
 def test_whole_texts_across_windows(model):
     given = sequences(2)
-    assert np.allclose(R.log_likelihoods(model, given), [step_by_step(model, s) for s in given], rtol=1e-4)
+    found = R.log_likelihoods(model, EDGES, given)
+    assert np.allclose(found, [step_by_step(model, EDGES, s) for s in given], rtol=1e-4)
 
 
 def test_gradients_match_differences(model):
@@ -54,10 +68,12 @@ def test_gradients_match_differences(model):
     real = text >= 0
 
     def loss(q):
-        return R.gradients(q, given, wanted, first, real, h)[2] / real.sum()
+        return R.gradients(q, EDGES, given, wanted, first, real, h)[2] / real.sum()
 
-    g = R.gradients(p, given, wanted, first, real, h)[0]
-    for k in R.SHAPES:
+    g = {k: np.zeros_like(v) for k, v in p.items()}
+    for k, rows, x in R.gradients(p, EDGES, given, wanted, first, real, h)[0].parts():
+        g[k][rows] = x
+    for k in g:
         for at in np.argsort(-np.abs(g[k]).ravel())[:3]:
             at = np.unravel_index(at, p[k].shape)
             up, down = ({**p, k: p[k].copy()} for _ in range(2))
@@ -67,8 +83,8 @@ def test_gradients_match_differences(model):
 
 
 def test_likelihoods_of_all_tokens_sum_to_one(model):
-    every = [np.array([w], np.int16) for w in range(R.SIZE)]
-    assert np.exp(R.log_likelihoods(model, every)).sum() == pytest.approx(1, abs=1e-4)
+    every = [np.array([w], np.int16) for w in range(TOKENS)]
+    assert np.exp(R.log_likelihoods(model, EDGES, every)).sum() == pytest.approx(1, abs=1e-4)
 
 
 def in_fold(doc_id, fold):
@@ -112,6 +128,57 @@ def test_better_than_counts_on_held_out_texts(spark):
     assert np.mean([r.score > r.base_score for r in held]) > 0.9
 
 
+def reference(rows, ids, vocabulary, replicas):
+    """The model trained in this process: round by round, replica by replica, in the order of the
+    hashes (``ids``: place of every training row)."""
+    edges, p = vocabulary.edges, R.initial(vocabulary.shares)
+    for k in range(M.ROUNDS):
+        changes, seen = [], []
+        for replica in range(replicas):
+            own = sorted((place, t or "") for place, t in ids if place % replicas == replica)
+            own = [t for place, t in own if (place % 2**64 >> 32) % M.ROUNDS == k]
+            trainer = R.Trainer(p, edges)
+            for t in own:
+                trainer.add(vocabulary.token[vocabulary.places(spaced_words(t))])
+            trainer.learn()
+            changes.append({key: (trainer.p[key] - p[key]).astype(np.float16) for key in p})
+            seen.append(trainer.seen)
+        if sum(seen):
+            p = {
+                key: (p[key] + sum(c[key].astype(float) * n for c, n in zip(changes, seen)) / sum(seen)).astype(np.float32)
+                for key in p
+            }
+    return p
+
+
+def test_scores_match_one_process_and_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(M, "REPLICA_TOKENS", 3000)
+    rng = np.random.default_rng(7)
+    rows = [(d, " ".join(f"w{int(w)}" for w in rng.zipf(1.3, rng.integers(0, 90)))) for d in range(300)]
+    rows += [(300, "a long text of few words " * 2000), (301, None)]
+    docs = documents(spark, rows)
+    one, many = (M.op8_lm(docs.repartition(n, "doc_id")).collect() for n in (1, 31))
+    score = {r.doc_id: r.score for r in one}
+    assert {r.doc_id: r.score for r in many} == pytest.approx(score, rel=1e-6)
+
+    counts = Counter(w for d, t in rows if not in_fold(d, 1) for w in spaced_words(t) + [b""])
+    pairs = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
+    total = sum(counts.values())
+    vocabulary = M.Vocabulary([w for w, _ in pairs], np.array([float(c) for _, c in pairs]), total, len(counts))
+    places = docs.selectExpr("doc_id", "text", "xxhash64(doc_id, text) AS place").collect()
+    replicas = M.replicas_for(total)
+    assert replicas > 2
+    p = reference(rows, [(r.place, r.text) for r in places if not in_fold(r.doc_id, 1)], vocabulary, replicas)
+    for d, t in rows[::7] + rows[-2:]:
+        words = spaced_words(t) + [b""]
+        tokens = [vocabulary.token[vocabulary.place.get(w, -1)] for w in words]
+        expected = step_by_step(p, vocabulary.edges, tokens) / math.log(10)
+        expected += sum(
+            math.log10(counts[w] + 0.5) - vocabulary.rest for w, k in zip(words, tokens) if k == R.UNKNOWN
+        )
+        assert score[d] == pytest.approx(expected, rel=1e-4)
+
+
 def test_every_frequent_word_has_a_token_of_its_own():
     words = [b"", *(b"w%d" % i for i in range(5000))]
     counts = np.array([900.0] + [50.0] * 4000 + [1.0] * 1000)
@@ -125,7 +192,7 @@ def test_every_frequent_word_has_a_token_of_its_own():
 def test_order_of_words_beyond_the_smallest_model_counts(spark):
     rng = np.random.default_rng(5)
     # The frequent words fill the smallest model; each of the others stands before its partner.
-    frequent = " ".join(f"f{i}" for i in range(1100))
+    frequent = " ".join(f"f{i}" for i in range(R.SIZE + 76))
     pairs = [[f"a{i} b{i}" for i in rng.permutation(60)] for _ in range(40)]
     train = [d for d in range(200) if not in_fold(d, 1)][:40]
     alone = [d for d in range(200, 300) if in_fold(d, 1)][:2]
