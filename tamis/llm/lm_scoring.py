@@ -38,9 +38,9 @@ HEAD = 60_000  # words in the broadcast dictionary, if the model does not know m
 LEAST_SHARE = 1e-6
 LEAST_COUNT = 5  # in small corpora: words seen less often are what the unknown token learns from
 BLOCK = 8192  # weights in a row when the changes of replicas are averaged
-REPLICA_TOKENS = 4_000_000  # so many training tokens make a replica of their own
+REPLICA_TOKENS = 8_000_000  # so many training tokens make a replica of their own
 REPLICAS = 1024  # at most; beyond, replicas get more tokens each. Bounds what a round shuffles
-ROUNDS = 8
+ROUNDS = 4
 END_WORD = b""  # no word is empty; the end of a text is counted under it
 HELD_WORDS = 400_000  # distinct words a counting task holds before it hands them on
 GIVEN_LOG = np.log(10.0)

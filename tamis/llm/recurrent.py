@@ -23,10 +23,11 @@ END, UNKNOWN = 0, 1  # END also stands before the first token of a text
 WINDOW = 32  # steps of one window
 STREAMS = 256  # at most so many streams side by side
 LEAST_WINDOWS = 40  # fewer streams for short input, so that there are so many windows
-CHUNK = 1_000_000  # tokens laid out together in training
+CHUNK = 2_000_000  # tokens laid out together in training
 RATE = 0.01
 LEAST = 1e-30
 SAFE = 60.0  # size of an exponent that needs no shift
+SAFE_STEPS = 16  # updates for which that holds: each changes a weight by at most 2.4 times the rate
 CELLS = 24_576  # of a softmax held at a time, so that it stays in the caches
 
 Parameters = dict[str, np.ndarray]
@@ -204,14 +205,13 @@ def _softmax(
                 e -= e.max(0)
             np.exp(e, out=e)
             sums = e.sum(0)
-            right = e[wanted, k] / sums
-            chance[cut] = right
+            chance[cut] = e[wanted, k] / sums
             if n:
-                sums *= n
-                e /= sums
-                e[wanted, k] = (right - 1) / n
-                d_out[low:high] += e @ held
-                d_used[cut] = e.T @ own
+                # The sums divide the few columns of the states instead of the many of the words.
+                e[wanted, k] -= sums
+                share = (1 / (sums * n))[:, None]
+                d_out[low:high] += e @ (held * share)
+                d_used[cut] = (e.T @ own) * share
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
     return chance[back], d_out, d_used[back] if n else None, touched
@@ -266,6 +266,7 @@ def gradients(
     first: np.ndarray,
     real: np.ndarray,
     h: np.ndarray,
+    safe: bool = False,
 ) -> tuple[Gradient, np.ndarray, float]:
     """Gradients of the mean loss over the real steps of one window, by backpropagation through
     its steps; the state after it; the summed loss. Only the tokens and the classes of the window
@@ -284,10 +285,8 @@ def gradients(
 
     of_class, of_word = p["class_out"], p["word_out"]
     classes = np.array([0, len(of_class)])
-    chance, g["class_out"], d_used, _ = _softmax(
-        of_class, classes, used, np.zeros_like(group), group, _safe(of_class), n
-    )
-    inner, g["word_out"], d_inner, touched = _softmax(of_word, edges, used, group, goal, _safe(of_word), n)
+    chance, g["class_out"], d_used, _ = _softmax(of_class, classes, used, np.zeros_like(group), group, safe, n)
+    inner, g["word_out"], d_inner, touched = _softmax(of_word, edges, used, group, goal, safe, n)
     loss = -float(np.log(np.maximum(chance, LEAST)).sum() + np.log(np.maximum(inner, LEAST)).sum())
     d_used += d_inner
     d_states = np.zeros_like(flat_states)
@@ -334,7 +333,7 @@ class Trainer:
     def __init__(self, p: Parameters, edges: np.ndarray, rate: float = RATE) -> None:
         self.p = {k: v.copy() for k, v in p.items()}
         self.edges = edges
-        self.rate, self.step, self.seen, self.loss = rate, 0, 0, 0.0
+        self.rate, self.step, self.seen, self.loss, self.safe = rate, 0, 0, 0.0, False
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.v = {k: np.zeros_like(v) for k, v in p.items()}
         self.held: list[np.ndarray] = []
@@ -357,7 +356,10 @@ class Trainer:
         h = np.zeros((streams.given.shape[1], HIDDEN), np.float32)
         for given, wanted, first, text in streams.windows():
             real = text >= 0
-            g, h, loss = gradients(self.p, self.edges, given, wanted, first, real, h[: given.shape[1]])
+            if self.step % SAFE_STEPS == 0:
+                self.safe = _safe(self.p["class_out"]) and _safe(self.p["word_out"])
+            h = h[: given.shape[1]]
+            g, h, loss = gradients(self.p, self.edges, given, wanted, first, real, h, self.safe)
             self.seen += int(real.sum())
             self.loss += loss
             self._update(g, real.sum() / (WINDOW * streams.given.shape[1]))
