@@ -266,12 +266,14 @@ def _written_levels(
     broadcast_bytes: int,
     words: DataFrame | None = None,
 ) -> DataFrame:
-    """The model of written adjusted counts, order by order, each written before the next one
-    reads it, so that no plan holds more than one step of the recursion.
-
-    Where an order's counted size allows, its contexts and its level are broadcast. Otherwise
-    they are shuffled by context and by suffix; a key has no more rows than the vocabulary has
-    words, and adaptive execution splits the partitions of the most frequent ones.
+    """The model of written adjusted counts.
+
+    If the counted size of all orders allows a broadcast, every gram looks up all of its suffixes
+    in one pass, without a shuffle. Otherwise the model is made order by order, each written before
+    the next one reads it, so that no plan holds more than one step of the recursion. Where an
+    order's size allows, its contexts and its level are broadcast then, too; the rest are shuffled
+    by context and by suffix. A key has no more rows than the vocabulary has words, and adaptive
+    execution splits the partitions of the most frequent ones. Both ways do the same arithmetic.
     """
     spark = adjusted.sparkSession
     tallied = localize(tallies(adjusted, by))  # one row per order and model
@@ -288,6 +290,14 @@ def _written_levels(
         return F.broadcast(found) if n in small else found
 
     terms, root = _terms(adjusted, disc, by), _root(adjusted, contexts, by, words)
+    if sum(sizes.values()) <= broadcast_bytes:
+        lowest = _level(1, terms, contexts_of(1), root, by)
+        seen = lowest
+        if words is not None:
+            lowest = lowest.unionByName(_unseen(words, adjusted, root, by))
+        rows = _with_backoff(1, lowest, contexts_of(2), order, by)
+        higher = _chained(terms, contexts, seen, order, by)
+        return materialize(rows.unionByName(higher), "model")
     level = root
     path = new_path(spark, "model")
     for n in range(1, order + 1):
@@ -301,6 +311,50 @@ def _written_levels(
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def _chained(
+    terms: DataFrame, contexts: DataFrame, unigrams: DataFrame, order: int, by: Sequence[str]
+) -> DataFrame:
+    """The model rows of all orders above the first, from broadcasts of the terms of each order.
+
+    The probability of a gram is its own term plus its context's back-off weight times the
+    probability of its suffix, and so on down to the unigram: a gram's row takes the terms of
+    all its suffixes, and the recursion is an expression of that row.
+    """
+    found = F.broadcast(contexts.select(*by, "n", "ctx", "s", "b"))
+    own = terms.filter(F.col("n") > 1).join(found, [*by, "n", "ctx"])
+    rows = own.select(*by, "n", "gram", (F.col("rest") / F.col("s")).alias("share"), "b")
+    low = F.col("p_1")
+    tables = {1: unigrams.select(*by, F.col("gram").alias("suffix_1"), F.col("p").alias("p_1"))}
+    for k in range(2, order):
+        of_order = terms.filter(F.col("n") == k).join(
+            F.broadcast(contexts.filter(F.col("n") == k).select(*by, "ctx", "s", "b")), [*by, "ctx"]
+        )
+        tables[k] = of_order.select(
+            *by,
+            F.col("gram").alias(f"suffix_{k}"),
+            (F.col("rest") / F.col("s")).alias(f"share_{k}"),
+            F.col("b").alias(f"b_{k}"),
+        )
+        longer = F.col("n") > k
+        low = F.when(longer, F.col(f"share_{k}") + F.col(f"b_{k}") * low).otherwise(low)
+    for k, table in tables.items():
+        suffix = F.when(F.col("n") > k, F.substring_index("gram", " ", -k))
+        rows = rows.withColumn(f"suffix_{k}", suffix).join(F.broadcast(table), [*by, f"suffix_{k}"], "left")
+    rows = rows.withColumn("low", low)
+    p = F.col("share") + F.col("b") * F.col("low")
+    backoff = contexts.select(
+        *by, (F.col("n") - 1).cast("int").alias("n"), F.col("ctx").alias("gram"), F.log10("b").alias("bow")
+    )
+    level = rows.select(*by, "n", "gram", p.alias("p"), "low", "b").join(
+        F.broadcast(backoff), [*by, "n", "gram"], "left"
+    )
+    bow = F.coalesce("bow", F.lit(0.0))
+    gain = F.log10("p") - F.log10("low") - F.log10("b")
+    return level.select(
+        *by, "n", "gram", F.log10("p").alias("logp"), bow.alias("bow"), (gain + bow).alias("weight"), "p"
+    )
+
+
 def _with_backoff(
     n: int, level: DataFrame, contexts: DataFrame, order: int, by: Sequence[str]
 ) -> DataFrame:
