@@ -317,35 +317,43 @@ JOIN near nn ON nn.doc_id = e.doc_id AND nn.kind = 'own'
 
 def op10() -> str:
     """Slot by slot: the released block with the earliest deadline, and weights anew when a group
-    has run out. Groups are numbered from 1, the sources without a weight first."""
-    from tamis.llm.mixing import BLOCK_ROWS, OTHERS_WEIGHT, WEIGHTS
+    has run out. Groups are numbered from 1, the sources with a weight first."""
+    from tamis.llm.mixing import BLOCK_ROWS, OTHERS_WEIGHT, OWN_SOURCES, WEIGHTS
 
-    names = list(WEIGHTS)
-    group = " ".join(f"WHEN source = '{name}' THEN {i + 2}" for i, name in enumerate(names))
-    weights = [OTHERS_WEIGHT, *WEIGHTS.values()]
-    each = f"range(1, {len(weights) + 1})"
-    named = ", ".join(["NULL", *[f"'{name}'" for name in names]])
+    names = ", ".join(f"'{name}'" for name in WEIGHTS)
+    each = "range(1, len(w) + 1)"
     return f"""
-WITH RECURSIVE placed AS (
-  SELECT doc_id, source, CASE {group} ELSE 1 END AS g FROM documents
+WITH RECURSIVE others AS (
+  SELECT source, CASE WHEN m > {OWN_SOURCES} THEN 1 ELSE k END AS k, CASE WHEN m > {OWN_SOURCES} THEN 1 ELSE m END AS m
+  FROM (SELECT source, row_number() OVER (ORDER BY source NULLS LAST) AS k, count(*) OVER () AS m
+        FROM (SELECT DISTINCT source FROM documents WHERE source IS NULL OR source NOT IN ({names})))
+),
+own AS (SELECT unnest([{names}]) AS source, unnest(range(1, {len(WEIGHTS) + 1})) AS g, unnest({list(WEIGHTS.values())}) AS w),
+parts AS (
+  SELECT source, g, w * (SELECT coalesce(max(m), 1) FROM others) AS w, source AS name FROM own
+  UNION ALL
+  SELECT source, {len(WEIGHTS)} + k, {OTHERS_WEIGHT},
+         CASE WHEN (SELECT count(*) FROM others) <= {OWN_SOURCES} THEN source END FROM others
 ),
 blocked AS (
-  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, source) - 1 AS i FROM placed
+  SELECT doc_id, d.source, g, name, row_number() OVER (PARTITION BY g ORDER BY doc_id, d.source) - 1 AS i
+  FROM documents d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source
 ),
 sizes AS (SELECT g, count(*) AS c FROM blocked GROUP BY g),
 counts AS (
-  SELECT list(coalesce((c + {BLOCK_ROWS} - 1) // {BLOCK_ROWS}, 0) ORDER BY k) AS n
-  FROM (SELECT unnest({each}) AS k) LEFT JOIN sizes ON g = k
+  SELECT list(coalesce((c + {BLOCK_ROWS} - 1) // {BLOCK_ROWS}, 0)::BIGINT ORDER BY p.g) AS n,
+         list(p.w::BIGINT ORDER BY p.g) AS w
+  FROM (SELECT DISTINCT g, w FROM parts) p LEFT JOIN sizes s ON s.g = p.g
 ),
 run AS (
-  SELECT 0::BIGINT AS next, 0::BIGINT AS start, list_transform({each}, lambda k: 0::BIGINT) AS had, n AS rest, n,
+  SELECT 0::BIGINT AS next, 0::BIGINT AS start, list_transform({each}, lambda k: 0::BIGINT) AS had, n AS rest, n, w,
          NULL::BIGINT AS slot, NULL::BIGINT AS g, NULL::BIGINT AS block, NULL::BIGINT AS release, NULL::BIGINT AS deadline
   FROM counts
   UNION ALL
   SELECT next + 1, CASE WHEN rest[p] = 1 THEN next + 1 ELSE start END,
          CASE WHEN rest[p] = 1 THEN list_transform({each}, lambda k: 0::BIGINT)
               ELSE list_transform({each}, lambda k: had[k] + (k = p)::BIGINT) END,
-         list_transform({each}, lambda k: rest[k] - (k = p)::BIGINT), n,
+         list_transform({each}, lambda k: rest[k] - (k = p)::BIGINT), n, w,
          next, p, n[p] - rest[p], start + had[p] * total // w[p], start + best // 100
   FROM (
     SELECT *, best % 100 AS p FROM (
@@ -353,15 +361,14 @@ run AS (
         WHEN rest[k] > 0 AND had[k] * total // w[k] <= next - start
         THEN ((had[k] + 1) * total + w[k] - 1) // w[k] * 100 + k END)) AS best
       FROM (
-        SELECT run.*, {weights}::BIGINT[] AS w,
-               list_sum(list_transform({each}, lambda k: CASE WHEN rest[k] > 0 THEN {weights}[k] ELSE 0 END))::BIGINT
+        SELECT run.*, list_sum(list_transform({each}, lambda k: CASE WHEN rest[k] > 0 THEN w[k] ELSE 0 END))::BIGINT
                  AS total
         FROM run
       ) WHERE total > 0
     )
   )
 )
-SELECT doc_id, source, [{named}][b.g] AS mix_group, block, release, deadline, slot,
+SELECT doc_id, source, b.name AS mix_group, block, release, deadline, slot,
        row_number() OVER (ORDER BY slot, i) - 1 AS position
 FROM blocked b JOIN run ON run.g = b.g AND run.block = i // {BLOCK_ROWS}
 """
