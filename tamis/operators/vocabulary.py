@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import UNK, tokenize
@@ -70,20 +70,54 @@ def vocab_lookup(
     return found.select(*by, "seg_id", "pos", "tok", F.coalesce("hit", F.lit(False)).alias("known"))
 
 
+# An array of this many unknown words is looked through, a longer one searched by halves.
+FEW = 32
+
+
+def _among(words: Column, word: Column) -> Column:
+    """Whether a sorted array has the word."""
+
+    def further(place: Column, step: Column) -> Column:
+        after = place + step
+        return F.when((after <= F.size(words)) & (F.get(words, after - 1) <= word), after).otherwise(place)
+
+    steps = F.array(*[F.lit(1 << k) for k in range(29, -1, -1)])
+    place = F.aggregate(steps, F.lit(0), further)  # how many are not behind the word
+    found = F.coalesce(F.get(words, place - 1) == word, F.lit(False))
+    return F.when(F.size(words) <= FEW, F.array_contains(words, word)).otherwise(found)
+
+
 def masked_words(
     segs: DataFrame,
     vocabulary: DataFrame,
     by: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``seg_id, words``: tokens in order, those outside the vocabulary as ``<unk>``."""
-    tokens = vocab_lookup(segs, vocabulary, by, broadcast_bytes)
-    word = F.when(F.col("known"), F.col("tok")).otherwise(F.lit(UNK))
-    placed = F.when(F.col("tok").isNotNull(), F.struct("pos", word.alias("word")))
-    # one group is one row of the input, split into its tokens
-    return tokens.groupBy(*by, "seg_id").agg(
-        F.array_sort(F.collect_list(placed))["word"].alias("words")
+    """``seg_id, words``: tokens in order, those outside the vocabulary as ``<unk>``.
+
+    A segment looks up each of its distinct tokens once. What is shuffled is its token array, as
+    it is, with the tokens that the vocabulary lacks; they are replaced in the array.
+    """
+    on = [c for c in by if c in vocabulary.columns] + ["tok"]
+    known = materialize(vocabulary.select(*on), "vocab")
+    words = spread(segs).select(*by, "seg_id", tokenize(F.col("text")).alias("words"))
+    # The array goes under a key that is no token, and a different one in each segment.
+    no_token = F.concat(F.lit(" "), F.col("seg_id").cast("string"))
+    array = F.struct(no_token.alias("tok"), F.col("words").alias("words"))
+    nothing = F.lit(None).cast("array<string>")
+    tokens = F.transform(
+        F.array_distinct("words"), lambda t: F.struct(t.alias("tok"), nothing.alias("words"))
+    )
+    rows = words.select(*by, "seg_id", F.inline(F.concat(F.array(array), tokens)))
+    lacking = lookup(rows, known, on, "left_anti", broadcast=fits_broadcast(known, broadcast_bytes))
+    unknown = F.collect_set(F.when(F.col("words").isNull(), F.col("tok")))
+    found = lacking.groupBy(*by, "seg_id").agg(
+        F.first("words", ignorenulls=True).alias("words"), F.array_sort(unknown).alias("unknown")
+    )
+    masked = F.transform(
+        "words", lambda w: F.when(_among(F.col("unknown"), w), F.lit(UNK)).otherwise(w)
     )
+    return found.select(*by, "seg_id", masked.alias("words"))
 
 
 def mask_oov(

@@ -41,6 +41,28 @@ def test_mask_with_sides(spark, words):
     assert {(r["side"], r["text"]) for r in masked} == {("x", "a <unk>"), ("y", "<unk> b")}
 
 
+@pytest.mark.parametrize("few", [0, 32])
+def test_mask_of_many_unknown_words(spark, monkeypatch, few):
+    monkeypatch.setattr(V, "FEW", few)
+    texts = [[f"w{i * k % 997}" for i in range(600 * k)] for k in (1, 2, 3)]
+    segs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "seg_id long, text string")
+    kept = {f"w{i}" for i in range(0, 997, 3)}
+    vocabulary = spark.createDataFrame([(w,) for w in kept], "tok string")
+    masked = {r["seg_id"]: r["words"] for r in V.masked_words(segs, vocabulary).collect()}
+    assert masked == {i: [w if w in kept else "<unk>" for w in t] for i, t in enumerate(texts)}
+
+
+def test_masking_shuffles_distinct_tokens(spark, segs, words, capsys):
+    from pyspark.sql import functions as F
+
+    long = spark.createDataFrame([(i, "a b " * 500 + f"c{i} " * 500) for i in range(20)], "seg_id long, text string")
+    masked = V.masked_words(long, words)
+    masked.explain()
+    plan = capsys.readouterr().out
+    assert "collect_list" not in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert masked.agg(F.sum(F.size("words"))).first()[0] == 20 * 1500
+
+
 def test_write_filtered_text(spark, segs, words):
     dest = new_path(spark, "masked")
     assert sinks.write_filtered_text(segs, words, dest, 5) == 5
