@@ -56,6 +56,25 @@ def read_corpus(spark, sf_dir):
     return corpus.read_corpus(spark, f"{sf_dir}/documents", "text", "lang")
 
 
+@register(
+    "read_corpus_odd_names",
+    "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seg_id, text AS src, lang AS tgt FROM documents",
+)
+def read_corpus_odd_names(spark, sf_dir):
+    """All documents from a folder in which the first files bear names that Spark passes over."""
+    dest = new_path(spark, "odd")
+    docs = table(spark, sf_dir, "documents").repartitionByRange(6, "doc_id")
+    docs.sortWithinPartitions("doc_id").write.parquet(dest)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(dest)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(f.getPath().getName() for f in store.listStatus(folder))
+    parts = [name for name in parts if name.startswith("part-")]
+    for name in parts[: len(parts) // 2]:
+        old, new = (spark._jvm.org.apache.hadoop.fs.Path(folder, n) for n in (name, f"_{name}"))
+        store.rename(old, new)
+    return corpus.read_corpus(spark, dest, "text", "lang")
+
+
 @register(
     "project_text",
     "SELECT CASE WHEN quality = 1 THEN text ELSE '' END AS src, coalesce(nullif(lang, 'en'), '') AS tgt"

@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .row_groups import FILE, ROW, read_row_groups, row_groups
 from .staging import fits_broadcast, lookup, materialize, rows_before
 
 
@@ -41,7 +43,7 @@ def project_text(df: DataFrame, src_col: str, tgt_col: str) -> DataFrame:
     return df.select(*others, src.alias("src"), tgt.alias("tgt"))
 
 
-FILE, ROW, ORDER, SKIP = "__file", "__row", "__order", "__skip"
+ORDER, SKIP = "__order", "__skip"
 
 
 def _place(df: DataFrame) -> list[Column]:
@@ -55,9 +57,12 @@ def _path_order(file: str) -> Column:
     return F.url_decode(F.replace(F.col(file), F.lit("+"), F.lit("%2B")))
 
 
-def _file_offsets(df: DataFrame) -> DataFrame:
+def _file_sizes(df: DataFrame) -> DataFrame:
+    return df.select(*_place(df)).groupBy(FILE).agg(F.count(F.lit(1)).alias("size"))
+
+
+def _offsets(sizes: DataFrame) -> DataFrame:
     """The rows in files that come before each file, from one count per file; written."""
-    sizes = df.select(*_place(df)).groupBy(FILE).agg(F.count(F.lit(1)).alias("size"))
     ordered = sizes.select(FILE, "size", _path_order(FILE).alias(ORDER))
     return materialize(
         ordered.select(FILE, ORDER, rows_before("size", ORDER).alias(SKIP)), "files"
@@ -79,7 +84,7 @@ def seg_ids(df: DataFrame) -> DataFrame:
     """
     columns = [c for c in df.columns if c != "seg_id"]
     located = df.select(*[F.col(f"`{c}`") for c in columns], *_place(df))
-    return _with_ids(located, _file_offsets(df), columns)
+    return _with_ids(located, _offsets(_file_sizes(df)), columns)
 
 
 def _glob(spark: SparkSession, path: str):
@@ -89,24 +94,24 @@ def _glob(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target) or []
 
 
-def _pattern(spark: SparkSession, prefix: str) -> str:
+def _matching(spark: SparkSession, prefix: str) -> tuple[str | None, list]:
+    """A glob of the files that Spark's reader takes, and the states of those that it passes over
+    because of their names. The latter are looked for by a glob of their own, so that no other
+    name comes to the driver."""
     if prefix.startswith("s3://"):
         prefix = "s3a://" + prefix.removeprefix("s3://")
     found = _glob(spark, prefix)
     is_folder = len(found) == 1 and found[0].isDirectory()
     pattern = f"{prefix.rstrip('/')}/*.parquet" if is_folder else f"{prefix}*.parquet"
-    if not len(_glob(spark, pattern)):
+    matches = len(_glob(spark, pattern))
+    if not matches:
         raise FileNotFoundError(f"no Parquet files at {prefix}")
-    # Spark's readers pass over such names in silence, and the corpus would lack their rows. They
-    # are looked for by a glob of their own, so that no other name comes to the driver.
     folder, slash, start = pattern.rpartition("/")
     start = start.removesuffix("*.parquet")
-    hidden = f"{start}*.parquet" if start.startswith(("_", ".")) else "[_.]*.parquet" if not start else None
-    names = [f.getPath().getName() for f in _glob(spark, f"{folder}{slash}{hidden}")] if hidden else []
-    skipped = [n for n in names if n.startswith(".") or (n.startswith("_") and "=" not in n)]
-    if skipped:
-        raise ValueError(f"{prefix}: Spark does not read files named {', '.join(sorted(skipped))}; rename them")
-    return pattern
+    odd = f"{start}*.parquet" if start.startswith(("_", ".")) else "[_.]*.parquet" if not start else None
+    states = [(f, f.getPath().getName()) for f in _glob(spark, f"{folder}{slash}{odd}")] if odd else []
+    odd_files = [f for f, n in states if n.startswith(".") or (n.startswith("_") and "=" not in n)]
+    return (pattern if matches > len(odd_files) else None), odd_files
 
 
 @dataclass(frozen=True)
@@ -120,19 +125,32 @@ class Corpus:
 
 def open_corpus(spark: SparkSession, prefix: str, src_col: str, tgt_col: str) -> Corpus:
     """Parquet files as pair frames: those directly in the folder ``prefix``, or else those whose
-    path starts with ``prefix``. No match is an error, and so is a file that Spark would skip."""
-    files = spark.read.parquet(_pattern(spark, prefix))
-    offsets = _file_offsets(files)
-    texts = [c.alias(name) for c, name in zip(_texts(files, src_col, tgt_col), ("src", "tgt"))]
-    located = files.select(*texts, *_place(files))
+    path starts with ``prefix``. No match is an error. Files whose names Spark passes over
+    (``_x.parquet``, ``.x.parquet``) are read by row groups."""
+    pattern, odd_files = _matching(spark, prefix)
+    scans, counts = [], []
+    if pattern:
+        files = spark.read.parquet(pattern)
+        texts = [c.alias(name) for c, name in zip(_texts(files, src_col, tgt_col), ("src", "tgt"))]
+        located = files.select(*texts, *_place(files))
+        scans.append(lambda head: located.filter(head))
+        counts.append(_file_sizes(files))
+    if odd_files:
+        groups = row_groups(spark, odd_files)
+        scans.append(lambda head: read_row_groups(groups.filter(head), src_col, tgt_col))
+        counts.append(groups.groupBy(FILE).agg(F.sum("size").alias("size")))
+    offsets = _offsets(reduce(DataFrame.unionByName, counts))
+
+    def numbered(head: Column) -> DataFrame:
+        rows = reduce(DataFrame.unionByName, [scan(head) for scan in scans])
+        return _with_ids(rows, offsets, ["src", "tgt"])
 
     def first(n: int) -> DataFrame:
         last = offsets.filter(F.col(SKIP) < n).agg(F.max(ORDER)).first()[0]
         # The files up to one in path order; their rows keep their numbers.
-        head = located.filter(_path_order(FILE) <= F.lit(last or ""))
-        return _with_ids(head, offsets, ["src", "tgt"]).filter(F.col("seg_id") < n)
+        return numbered(_path_order(FILE) <= F.lit(last or "")).filter(F.col("seg_id") < n)
 
-    return Corpus(_with_ids(located, offsets, ["src", "tgt"]), first)
+    return Corpus(numbered(F.lit(True)), first)
 
 
 def read_corpus(spark: SparkSession, prefix: str, src_col: str, tgt_col: str) -> DataFrame:

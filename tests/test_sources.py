@@ -82,14 +82,47 @@ def test_columns_of_any_name(spark, tmp_path):
     ]
 
 
-def test_files_that_spark_would_skip_are_an_error(spark, folder):
-    for hidden in ("_b.parquet", ".c.parquet"):
-        os.link(f"{folder}/b.parquet", f"{folder}/{hidden}")
-    with pytest.raises(ValueError, match=r"\.c\.parquet, _b\.parquet"):
-        corpus.read_corpus(spark, folder, "en", "de")
-    for hidden in ("_b.parquet", ".c.parquet"):
-        os.unlink(f"{folder}/{hidden}")
-    assert corpus.read_corpus(spark, folder, "en", "de").count() == 60
+@pytest.fixture
+def odd_names(folder):
+    """The files of ``folder``, and two whose names Spark's reader passes over."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    # In order by name: .c, 10, 9, _b, a b, a+c, a, ...
+    for name, size in ((".c", 20), ("_b", 9)):
+        table = pa.table({
+            "en": [None if i == 3 else f"{name} {i}" for i in range(size)],
+            "de": [f"{name} zeile {i}" for i in range(size)],
+            "tokens": [["x", None, f"{name}{i}"] for i in range(size)],
+            "place": list(range(size)),
+        })
+        pq.write_table(table, f"{folder}/{name}.parquet", row_group_size=7)
+    return folder
+
+
+def test_files_that_spark_passes_over_are_read(spark, odd_names):
+    rows = corpus.read_corpus(spark, odd_names, "en", "de").orderBy("seg_id").collect()
+    assert [r["seg_id"] for r in rows] == list(range(60 + 20 + 9))
+    dots = [("" if i == 3 else f".c {i}", f".c zeile {i}") for i in range(20)]
+    lines = [("" if i == 3 else f"_b {i}", f"_b zeile {i}") for i in range(9)]
+    assert [(r["src"], r["tgt"]) for r in rows[:20]] == dots
+    # 10.parquet and 9.parquet come between: two rows and three
+    assert [(r["src"], r["tgt"]) for r in rows[25:34]] == lines
+
+
+def test_odd_names_by_prefix_and_alone(spark, odd_names):
+    assert corpus.read_corpus(spark, f"{odd_names}/_", "en", "de").count() == 9
+    tokens = corpus.read_corpus(spark, f"{odd_names}/.c", "tokens", "en").orderBy("seg_id").first()
+    assert tuple(tokens) == (0, "x .c0", ".c 0")
+    with pytest.raises(Exception, match="not string"):
+        corpus.read_corpus(spark, f"{odd_names}/_", "place", "de").collect()
+
+
+@pytest.mark.parametrize("n", [0, 7, 20, 27, 89, 100])
+def test_head_with_odd_names(spark, odd_names, n):
+    whole = corpus.read_corpus(spark, odd_names, "en", "de")
+    head = corpus.read_corpus_head(spark, odd_names, "en", "de", n)
+    assert sorted(map(tuple, head.collect())) == sorted(map(tuple, N.sample_first_n(whole, n).collect()))
 
 
 def test_the_first_rows_are_read_from_their_files_alone(spark, folder):
