@@ -7,7 +7,8 @@ once, whole, and no document is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import ahocorasick
@@ -22,24 +23,37 @@ from tamis.sources.staging import materialize
 
 WINDOW = 10
 # Bytes of item texts in one automaton; it takes about a hundred times that in memory. A larger
-# set of items is dealt into blocks of that size. Then a task holds one automaton at a time and
-# scans each batch of texts by one after the other, still in one pass over the documents.
+# set of items is dealt into blocks of that size. Then a task holds one automaton at a time, and
+# scans by one after the other what it has read of the documents: batches of so many bytes, cut
+# into words once. Both set the order of the work, not its result.
 BLOCK_BYTES = 512 * 1024
+HELD_BYTES = 64 * 1024 * 1024
 
 Items = list[tuple[str | None, str]]
 
 
 class Automaton:
-    """The windows of some items; ``scan`` finds them in a list of words."""
+    """The windows of some items; ``scan`` finds them in the numbers of a text's words.
 
-    def __init__(self, items: Items, window: int) -> None:
-        self.numbers: dict[bytes, int] = {}
+    Words are numbered from 1 as they come. With given ``numbers``, windows that hold a word
+    without one can't occur and are left out.
+    """
+
+    def __init__(self, items: Items, window: int, numbers: dict[bytes, int] | None = None) -> None:
+        self.numbers: dict[bytes, int] = {} if numbers is None else numbers
         owners: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
-            words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in alnum_words(text)]
+            if numbers is None:
+                words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in alnum_words(text)]
+            else:
+                words = self.numbered(alnum_words(text))
             size = min(window, len(words))
-            for start in range(len(words) - size + 1 if words else 0):
-                owner = owners.setdefault(tuple(words[start : start + size]), set())
+            clear = 0  # how many words in a row up to this one have a number
+            for last, number in enumerate(words):
+                clear = clear + 1 if number else 0
+                if last + 1 < size or clear < size:
+                    continue
+                owner = owners.setdefault(tuple(words[last + 1 - size : last + 1]), set())
                 if item is not None:
                     owner.add(item)
         self.matcher = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
@@ -49,14 +63,31 @@ class Automaton:
         if not self.empty:
             self.matcher.make_automaton()
 
-    def scan(self, words: list[bytes]) -> Iterator[tuple[int, int, set[str]]]:
+    def numbered(self, words: list[bytes]) -> list[int]:
+        """Their numbers, 0 for words without one."""
+        return list(map(self.numbers.get, words, repeat(0)))
+
+    def scan(self, words: Sequence[int]) -> Iterator[tuple[int, int, set[str]]]:
         """First word, word after the last, and owners of every occurrence, by last word."""
         if words and not self.empty:
-            numbers = tuple(map(self.numbers.get, words, repeat(0)))
-            for last, (size, owner) in self.matcher.iter(numbers):
+            for last, (size, owner) in self.matcher.iter(tuple(words)):
                 yield last + 1 - size, last + 1, owner
 
 
+def held(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups that end with the batch that brings them to ``limit`` bytes."""
+    group: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping or touching spans made one."""
     out: list[tuple[int, int]] = []
@@ -104,6 +135,7 @@ def find_passages(
     window: int = WINDOW,
     keep: list[str] | None = None,
     block_bytes: int = BLOCK_BYTES,
+    held_bytes: int = HELD_BYTES,
 ) -> DataFrame:
     """The columns ``keep`` (all, if not given) of every document, and what was found in it.
 
@@ -136,21 +168,43 @@ def find_passages(
         ]
     )
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single = Automaton(blocks[0].value, window) if len(blocks) == 1 else None
+    Found = tuple[int, list[tuple[int, int]], set[str]]
+
+    def by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[Found]]]:
+        automaton = Automaton(blocks[0].value if blocks else [], window)
         for batch in batches:
-            found = [(0, [], set()) for _ in range(batch.num_rows)]
+            found = []
+            for value in texts(batch, source):
+                words = alnum_words(value)
+                places = list(automaton.scan(automaton.numbered(words)))
+                items = set().union(*[owner for _, _, owner in places])
+                found.append((len(words), merged([(start, end) for start, end, _ in places]), items))
+            yield batch, found
+
+    def by_each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[Found]]]:
+        for group in held(batches, held_bytes):
+            numbers: dict[bytes, int] = {}
+            cut = [
+                array("I", [numbers.setdefault(w, len(numbers) + 1) for w in alnum_words(value)])
+                for batch in group
+                for value in texts(batch, source)
+            ]
+            found: list[Found] = [(len(words), [], set()) for words in cut]
             for block in blocks:
-                automaton = single or Automaton(block.value, window)
-                for i, value in enumerate(texts(batch, source)):
-                    words = alnum_words(value)
-                    _, hits, items = found[i]
+                automaton = Automaton(block.value, window, numbers)
+                for i, words in enumerate(cut):
+                    n, hits, items = found[i]
                     for start, end, owner in automaton.scan(words):
                         hits.append((start, end))
                         items |= owner
-                    found[i] = (len(words), merged(hits), items)
-            if not blocks:
-                found = [(len(alnum_words(value)), [], set()) for value in texts(batch, source)]
+                    found[i] = (n, merged(hits), items)
+            at = 0
+            for batch in group:
+                yield batch, found[at : at + batch.num_rows]
+                at += batch.num_rows
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in by_each(batches) if len(blocks) > 1 else by_one(batches):
             rows = []
             for value, (n_words, hits, items) in zip(texts(batch, source), found):
                 places = alnum_spans(value) if hits else []

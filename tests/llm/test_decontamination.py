@@ -60,8 +60,27 @@ def test_matches_brute_force(spark):
 def test_blocks_of_items_change_nothing(spark):
     docs = documents(spark, DOCS)
     one = find_passages(docs, benchmark(spark), keep=["doc_id"])
-    many = find_passages(docs, benchmark(spark), keep=["doc_id"], block_bytes=20)
-    assert rows(one) == rows(many)
+    for held_bytes in (1, 1 << 26):
+        many = find_passages(docs, benchmark(spark), keep=["doc_id"], block_bytes=20, held_bytes=held_bytes)
+        assert rows(one) == rows(many)
+
+
+def test_automata_of_a_task_are_built_once_for_many_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    from tamis.llm.decontamination import Automaton, held
+
+    batches = [pa.RecordBatch.from_pydict({"t": ["x" * 100] * 10}) for _ in range(50)]
+    assert [len(g) for g in held(iter(batches), 1 << 26)] == [50]
+    sizes = [len(g) for g in held(iter(batches), 5000)]
+    assert sum(sizes) == 50 and 5 <= min(sizes[:-1]) + 1 and max(sizes) <= 5
+    # windows with words that no text has are left out, others keep their places
+    items = [("a", "one two three four"), ("b", "three four five"), ("c", "two"), ("d", "six")]
+    numbers = {b"one": 1, b"two": 2, b"three": 3, b"four": 4}
+    found = list(Automaton(items, 2, numbers).scan([4, 1, 2, 3, 4]))
+    assert sorted((s, e, *sorted(o)) for s, e, o in found) == [
+        (1, 3, "a"), (2, 3, "c"), (2, 4, "a"), (3, 5, "a", "b")
+    ]
 
 
 def test_spans_are_places_in_the_original_text(spark):
