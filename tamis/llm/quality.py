@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,6 +141,10 @@ def matrix(batch: pa.RecordBatch) -> np.ndarray:
     return np.asarray(batch.column("x").flatten()).reshape(batch.num_rows, len(STATISTICS))
 
 
+def vectors(rows: np.ndarray | list[np.ndarray]) -> pa.Array:
+    return pa.array(list(rows), pa.list_(pa.float64()))
+
+
 @dataclass(frozen=True)
 class Classifier:
     features: Fourier
@@ -201,15 +206,25 @@ def fit(measured: DataFrame, labels: DataFrame) -> Classifier:
             z = features(matrix(batch))
             y = np.asarray(batch.column("y"))
             sums += z.T @ np.column_stack([z, y])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(size), pa.int32()), pa.array(list(sums), pa.list_(pa.float64()))], ["i", "v"]
-        )
-
-    # One row per feature and partition, added up per feature: the driver gets one matrix.
-    zeros = F.array_repeat(F.lit(0.0), FEATURES + 2)
-    added = F.aggregate(F.collect_list("v"), zeros, lambda a, v: F.zip_with(a, v, lambda p, q: p + q))
-    parts = labelled.where(F.col("fold") != CALIBRATION).mapInArrow(partial_sums, "i int, v array<double>")
-    rows = parts.groupBy("i").agg(added.alias("v")).collect()
+        part = pa.array([TaskContext.get().partitionId()] * size, pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), part, vectors(sums)], ["i", "part", "v"])
+
+    def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            parts = np.asarray(batch.column("v").flatten()).reshape(batch.num_rows, FEATURES + 2)
+            for i, v in zip(batch.column("i").to_pylist(), parts):
+                sums[i] = sums[i] + v if i in sums else v.copy()
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), vectors(list(sums.values()))], ["i", "v"])
+
+    # One row per feature and partition, added up per feature as they stream by, in the order of
+    # the partitions, so that a task that runs again gets the same sums. The driver gets one matrix.
+    parts = labelled.where(F.col("fold") != CALIBRATION).mapInArrow(
+        partial_sums, "i int, part int, v array<double>"
+    )
+    dealt = parts.repartition("i").sortWithinPartitions("i", "part").select("i", "v")
+    rows = dealt.mapInArrow(added_up, "i int, v array<double>").collect()
     system = np.zeros((FEATURES + 1, FEATURES + 2))
     for row in rows:
         system[row.i] = row.v
