@@ -28,7 +28,8 @@ pairs still in different components are compared, all of them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,7 @@ PAIRS_PER_ROW = 1000
 STAR_ROUNDS = 6
 LINKS_PER_ROW = 0.01  # links found in a round beyond which the next is one of stars again
 LONGS = 8  # of the second sketch
+NODE_BITS = 62  # of a set's number; sets that clash are found and get others
 HELD_KEYS = 100_000  # keys a task holds before it hands them on
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # any odd number with its bits well spread
@@ -120,9 +122,21 @@ def links(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def node_of(found: np.ndarray) -> int:
-    """A signed 63-bit number of a set; equal sets have equal numbers."""
-    return xxhash.xxh3_64_intdigest(found.tobytes()) >> 2 << 1
+def node_of(found: np.ndarray, clashing: frozenset[int] = frozenset(), bits: int = NODE_BITS) -> int:
+    """A signed number of a set, its lowest bit 0; equal sets have equal numbers. Of a chain of
+    hashes the first that is not among the clashing ones."""
+    data, turn = found.tobytes(), 0
+    while True:
+        node = xxhash.xxh3_64_intdigest(data, turn) >> (64 - bits) << 1
+        if node not in clashing:
+            return node
+        turn += 1
+
+
+def proof_of(found: np.ndarray) -> int:
+    """A signed 64-bit number by which sets with the same node are told apart."""
+    high = xxhash.xxh3_128_intdigest(found.tobytes(), 1) >> 64
+    return high - (1 << 64) if high >> 63 else high
 
 
 def slack(n: int, percent: int = PERCENT) -> int:
@@ -165,8 +179,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def measured(rows: DataFrame, percent: int) -> DataFrame:
-    """Per row: ``n`` (shingles), ``node`` (null if none), and ``need_0``, ``need_1``: how many
+def measured(rows: DataFrame, percent: int, name: Callable[[np.ndarray], int]) -> DataFrame:
+    """Per row: ``n`` (shingles), ``node`` and ``proof`` (null if none), and ``need_0``, ``need_1``: how many
     blocks a linked set must share in the own and in the next band (null if not sketched)."""
     keep = [c for c in rows.columns if c != "t"]
 
@@ -179,19 +193,19 @@ def measured(rows: DataFrame, percent: int) -> DataFrame:
                 need: list[int | None] = [None, None]
                 for k, band in enumerate(bands(n, percent) if n else []):
                     need[k] = max(len(sketch(found, band)) - slack(n, percent), 1)
-                out.append((n, node_of(found) if n else None, *need))
-            columns = list(zip(*out)) if out else [(), (), (), ()]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                out.append((n, *((name(found), proof_of(found)) if n else (None, None)), *need))
+            columns = list(zip(*out)) if out else [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                [*keep, "n", "node", "need_0", "need_1"],
+                [*keep, "n", "node", "proof", "need_0", "need_1"],
             )
 
     kept = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep]
-    return rows.mapInArrow(run, ", ".join([*kept, "n long, node long, need_0 int, need_1 int"]))
+    return rows.mapInArrow(run, ", ".join([*kept, "n long, node long, proof long, need_0 int, need_1 int"]))
 
 
-def block_keys(rows: DataFrame, percent: int) -> DataFrame:
+def block_keys(rows: DataFrame, percent: int, name: Callable[[np.ndarray], int]) -> DataFrame:
     """``key``, ``member`` for every block of every text; the lowest bit of ``member`` says that
     the sketch is that of the next band. A task emits a set once, however often it meets it."""
 
@@ -209,7 +223,7 @@ def block_keys(rows: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for value in texts(batch, "t"):
                 found = shingles(value)
-                if not len(found) or (node := node_of(found)) in seen:
+                if not len(found) or (node := name(found)) in seen:
                     continue
                 seen.add(node)
                 for k, band in enumerate(bands(len(found), percent)):
@@ -409,16 +423,41 @@ def _all_pairs(groups: DataFrame, percent: int) -> DataFrame:
     return _paired(groups, _as_x(groups.where("comp <> main")), percent)
 
 
+def numbered_sets(
+    rows: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame, Callable[[np.ndarray], int]]:
+    """The measured rows, one row per node, and the function that names a set's node.
+
+    No two sets have one node: where a second hash shows that they would, the sets of that node
+    take the next hash of their chains, and all rows are measured again. With 62 bits that is not
+    expected below 10^9 different sets; what comes to the driver are the numbers that clash.
+    """
+    clashing: frozenset[int] = frozenset()
+    while True:
+        name = partial(node_of, clashing=clashing, bits=NODE_BITS)
+        counted = materialize(measured(rows, percent, name), "shingled")
+        by_node = counted.where(F.col("node").isNotNull()).groupBy("node")
+        nodes = materialize(
+            by_node.agg(
+                F.min(F.struct(FILE, ROW)).alias("at"),
+                F.first("need_0").alias("need_0"),
+                F.first("need_1").alias("need_1"),
+                (F.min("proof") != F.max("proof")).alias("clash"),
+            ),
+            "nodes",
+        )
+        found = frozenset(r["node"] for r in nodes.where("clash").select("node").collect())
+        if not found:
+            return counted.drop("proof"), nodes.drop("clash"), name
+        clashing |= found
+
+
 def linked_nodes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """``rows``: ``t`` and identity. Returns the measured rows and the components' labels."""
     spark = rows.sparkSession
-    counted = materialize(measured(rows, percent), "shingled")
-    by_node = counted.where(F.col("node").isNotNull()).groupBy("node")
-    nodes = by_node.agg(
-        F.min(F.struct(FILE, ROW)).alias("at"), F.first("need_0").alias("need_0"), F.first("need_1").alias("need_1")
-    )
+    counted, nodes, name = numbered_sets(rows, percent)
     searched = materialize(
-        searched_blocks(shared_blocks(block_keys(rows, percent)), nodes), "searched-blocks"
+        searched_blocks(shared_blocks(block_keys(rows, percent, name)), nodes), "searched-blocks"
     )
     wanted = nodes.join(searched.select("node").distinct(), "node").select("node", "at.*")
     wanted = materialize(wanted, "candidates")
@@ -471,8 +510,8 @@ def near_duplicates(
     Two documents are linked if 100 times the size of the intersection of their shingle sets is
     at least ``percent`` times that of the union; ``component`` names the set of documents
     reachable over links, null for texts without words (null and empty ones), which link with
-    nothing. A text of fewer than five words is one shingle. Repeated rows are linked. Links are
-    exact but for collisions of 64-bit hashes.
+    nothing. A text of fewer than five words is one shingle. Repeated rows are linked. Shingles are
+    64-bit hashes; links are exact but for their collisions. Sets are told apart by 126 bits.
     """
     rows = stored(docs, doc_id, text).select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), FILE, ROW

@@ -85,6 +85,16 @@ def test_every_way_gives_the_same(spark, monkeypatch):
     assert rows(M.op5_jaccard_join(documents(spark, given))) == brute(given)
 
 
+@pytest.mark.parametrize("bits", [8, 9])
+def test_clashing_numbers_of_sets_are_told_apart(spark, monkeypatch, bits):
+    monkeypatch.setattr(M, "NODE_BITS", bits)
+    given = corpus(6, 80)
+    assert rows(M.op5_jaccard_join(documents(spark, given))) == brute(given)
+    of_sets = {M.shingles(t).tobytes() for _, t in given}
+    one_hash = {M.node_of(np.frombuffer(s, np.uint64), bits=bits) for s in of_sets}
+    assert len(one_hash) < len(of_sets)  # there were clashes
+
+
 def test_odd_rows(spark, odd):
     assert rows(M.op5_jaccard_join(odd)) == brute(ODD)
 
