@@ -343,3 +343,23 @@ def test_large_tables_are_never_broadcast_together(spark, words, monkeypatch):
     check_model(M.train_lm(frame(spark, SPECIFIC), words, broadcast_bytes=sizes[-1]), SPECIFIC)
     large = [df for df in hints if df.agg(F.sum(row_bytes(df))).first()[0] > sum(sizes) / 10]
     assert sum(df.agg(F.sum(row_bytes(df))).first()[0] for df in large) <= 3 * sizes[-1]
+
+
+def test_longer_grams_are_built_where_the_shorter_one_was_found(spark, models, monkeypatch):
+    weights = materialize(S.joint_weights(*models), "weights")
+    looked_up = []
+
+    def counted(rows, *args):
+        looked_up.append(rows.count())
+        return frequent_lookup(rows, *args)
+
+    monkeypatch.setattr(S, "frequent_lookup", counted)
+    segs = materialize(frame(spark, SCORED), "segs")
+    found = S.model_lookup(segs, weights, broadcast_bytes=9000)
+    by_order = dict(found.groupBy("n").count().collect())
+    # of each order at most what the order below found, and not all grams at once
+    assert len(looked_up) == 4
+    assert all(looked_up[n - 2] <= by_order[n - 1] for n in range(2, 6))
+    columns = ["seg_id", "n", "gram", "w_s", "w_g"]
+    whole = S.model_lookup(segs, weights).select(*columns)
+    assert sorted(map(tuple, found.select(*columns).collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
