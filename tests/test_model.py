@@ -363,3 +363,27 @@ def test_longer_grams_are_built_where_the_shorter_one_was_found(spark, models, m
     columns = ["seg_id", "n", "gram", "w_s", "w_g"]
     whole = S.model_lookup(segs, weights).select(*columns)
     assert sorted(map(tuple, found.select(*columns).collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+
+
+@pytest.mark.parametrize("order", [2, 5])
+def test_one_shuffle_finds_what_broadcasts_find(spark, words, order, monkeypatch):
+    """Pairs in most rows, words of one model only, reserved symbols, and two sides."""
+    both = {
+        name: frame(spark, texts).withColumn("model", F.lit(name)).withColumn("side", F.lit("src"))
+        for name, texts in (("specific", SPECIFIC), ("general", GENERAL))
+    }
+    every = both["specific"].unionByName(both["general"])
+    every = every.unionByName(every.withColumn("side", F.lit("tgt")).filter("seg_id % 2 = 0"))
+    trained = M.train_lm(every, words, order, by=["model", "side"])
+    models = [trained.filter(F.col("model") == name).drop("model") for name in ("specific", "general")]
+    texts = SCORED + CUT + ["w1 w2 " * 30 + " ".join(random.Random(k).choices(WORDS, k=20)) for k in range(40)]
+    segs = frame(spark, texts).withColumn("side", F.lit("src"))
+    segs = materialize(segs.unionByName(segs.withColumn("side", F.lit("tgt"))), "segs")
+    used, hot = [], []
+    paired, frequent = S.paired_weights, S._frequent_pairs
+    monkeypatch.setattr(S, "paired_weights", lambda *a: used.append(1) or paired(*a))
+    monkeypatch.setattr(S, "_frequent_pairs", lambda *a: hot.append(frequent(*a)) or hot[-1])
+    small = sum(m.filter("n = 1").agg(F.sum(row_bytes(m))).first()[0] for m in models)
+    found, whole = (S.score_lm(segs, *models, order, ["side"], limit).collect() for limit in (small, 1 << 28))
+    assert used == [1] and hot[0].count() > 0
+    assert len(found) == 2 * len(texts) and sorted(found) == sorted(whole)
