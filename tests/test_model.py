@@ -387,3 +387,18 @@ def test_one_shuffle_finds_what_broadcasts_find(spark, words, order, monkeypatch
     found, whole = (S.score_lm(segs, *models, order, ["side"], limit).collect() for limit in (small, 1 << 28))
     assert used == [1] and hot[0].count() > 0
     assert len(found) == 2 * len(texts) and sorted(found) == sorted(whole)
+
+
+@pytest.mark.parametrize(("order", "closed"), [(2, False), (5, False), (4, True)])
+def test_two_shuffles_train_what_broadcasts_train(spark, words, order, closed, monkeypatch):
+    texts = {"a": SPECIFIC, "b": GENERAL, "c": ["w1 w1 w1 w1 w1 w1 w2", "w2"], "d": [""]}
+    each = [frame(spark, t).withColumn("model", F.lit(m)) for m, t in texts.items()]
+    segs = materialize(each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3]), "segs")
+    joined = []
+    monkeypatch.setattr(M, "_shuffled", lambda *a, of=M._shuffled: joined.append(1) or of(*a))
+    small = M.train_lm(segs, words, order, by=["model"], closed=closed).collect()
+    assert not joined
+    for limit in (0, 60_000):  # words shuffled, too, or broadcast
+        large = M.train_lm(segs, words, order, by=["model"], broadcast_bytes=limit, closed=closed)
+        assert sorted(map(repr, large.collect())) == sorted(map(repr, small))
+    assert len(joined) == 2
