@@ -184,7 +184,9 @@ def load_model(spark, sf_dir):
 def per_token(words: DataFrame, *steps) -> DataFrame:
     for step in steps:
         words = words.withColumn("w", step(F.col("w")))
-    return words.select("doc_id", F.posexplode("w").alias("pos", "tok"))
+    # A plain explode has its array worked out once more, to filter out rows whose array is empty.
+    tokens = words.select("doc_id", F.posexplode_outer("w").alias("pos", "tok"))
+    return tokens.filter(F.col("pos").isNotNull())
 
 
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,14 +74,19 @@ def vocab_lookup(
 FEW = 32
 
 
+# For an array of less than 2^k values: the steps by which it is searched.
+HALVES = [[1 << j for j in range(k - 1, -1, -1)] for k in range(31)]
+
+
 def _among(words: Column, word: Column) -> Column:
     """Whether a sorted array has the word."""
 
     def further(place: Column, step: Column) -> Column:
-        after = place + step
-        return F.when((after <= F.size(words)) & (F.get(words, after - 1) <= word), after).otherwise(place)
+        after = place + step  # null is got beyond the end, and is no smaller word
+        return F.when(F.get(words, after - 1) <= word, after).otherwise(place)
 
-    steps = F.array(*[F.lit(1 << k) for k in range(29, -1, -1)])
+    halves = F.array(*[F.array(*map(F.lit, steps)).cast("array<int>") for steps in HALVES])
+    steps = F.get(halves, F.length(F.bin(F.size(words))))  # as many as the size has bits
     place = F.aggregate(steps, F.lit(0), further)  # how many are not behind the word
     found = F.coalesce(F.get(words, place - 1) == word, F.lit(False))
     return F.when(F.size(words) <= FEW, F.array_contains(words, word)).otherwise(found)

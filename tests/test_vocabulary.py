@@ -100,3 +100,34 @@ def test_place_among_equal_values(spark):
     assert N.nth_smallest(frame, "v", 3) == (5, 2)
     assert N.nth_smallest(frame, "v", 5) == (9, 1)
     assert N.nth_smallest(frame, "v", 6) is None
+
+
+def test_words_are_masked_once(spark, capsys):
+    """Taking tokens out of masked arrays doesn't work the arrays out a second time for a filter."""
+    from pyspark.sql import functions as F
+
+    from tamis.catalog.queries import per_token
+    from tamis.functions.text import empty_to_unk, skip_symbols
+
+    texts = [(i, "a b " * i + f"c{i}") for i in range(5)] + [(5, ""), (None, "a d")]
+    segs = spark.createDataFrame(texts, "seg_id long, text string")
+    vocabulary = spark.createDataFrame([("a",), ("b",)], "tok string")
+    masked = V.masked_words(segs, vocabulary).select(F.col("seg_id").alias("doc_id"), F.col("words").alias("w"))
+    tokens = per_token(masked, skip_symbols)
+    tokens.explain(extended=True)
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.count("array_contains(") == 1
+    assert sorted(r["tok"] for r in tokens.collect()) == ["a"] * 11 + ["b"] * 10
+    every = per_token(masked, skip_symbols, empty_to_unk).collect()
+    assert sorted(r["doc_id"] for r in every if r["tok"] == "<unk>") == [0, 5]
+
+
+def test_a_sorted_array_is_searched_by_as_many_steps_as_its_size_has_bits(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(V, "FEW", -1)
+    assert [len(V.HALVES[n.bit_length()]) for n in (0, 1, 2, 255, 256)] == [0, 1, 2, 8, 9]
+    rows = [([f"w{i:03d}" for i in range(0, 2 * n, 2)], f"w{k:03d}") for n in range(20) for k in range(2 * n + 1)]
+    searched = spark.createDataFrame(rows, "words array<string>, w string").repartition(2)
+    found = searched.select("words", "w", V._among(F.col("words"), F.col("w")).alias("has")).collect()
+    assert len(found) == len(rows) and all(r["has"] == (r["w"] in r["words"]) for r in found)
