@@ -402,3 +402,29 @@ def test_two_shuffles_train_what_broadcasts_train(spark, words, order, closed, m
         large = M.train_lm(segs, words, order, by=["model"], broadcast_bytes=limit, closed=closed)
         assert sorted(map(repr, large.collect())) == sorted(map(repr, small))
     assert len(joined) == 2
+
+
+@pytest.mark.parametrize("order", [2, 5])
+def test_words_are_shuffled_as_numbers(spark, words, order, capsys):
+    sentences = M.training_sentences(frame(spark, SPECIFIC + GENERAL), words)
+    ids = M.word_ids(words.select(F.col("tok").alias("gram")))
+    expected = M.sentence_counts(sentences, order)
+    plans = []
+    written = M.materialize
+
+    def kept(df, name, *rest):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return written(df, name, *rest)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(M, "materialize", kept)
+        found = M.sentence_counts(sentences, order, (), ids)
+        assert sorted(found.collect()) == sorted(expected.collect())
+        model = M.train_lm(frame(spark, SPECIFIC), words, order, broadcast_bytes=12_000)
+        check = M.train_lm(frame(spark, SPECIFIC), words, order)
+    assert sorted(map(repr, model.collect())) == sorted(map(repr, check.collect()))
+    by_name = dict(plans[:-4])  # the last tables are those of the model that is broadcast
+    assert "RepartitionByExpression [pair_0" in by_name["adjusted"]
+    assert by_name["model"].count("RepartitionByExpression [pair_0") == 2
+    # A model holds no column that nothing reads.
+    assert model.columns == ["n", "gram", "logp", "bow", "weight"]

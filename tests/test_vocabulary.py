@@ -131,3 +131,23 @@ def test_a_sorted_array_is_searched_by_as_many_steps_as_its_size_has_bits(spark,
     searched = spark.createDataFrame(rows, "words array<string>, w string").repartition(2)
     found = searched.select("words", "w", V._among(F.col("words"), F.col("w")).alias("has")).collect()
     assert len(found) == len(rows) and all(r["has"] == (r["w"] in r["words"]) for r in found)
+
+
+def test_numbers_of_words_are_packed(spark):
+    from pyspark.sql import functions as F
+
+    most = (1 << 31) - 1
+    rows = [(1, most, None), (most, most, 7), (None, 1, most), (most, None, None), (2, 2, 3)]
+    frame = spark.createDataFrame(rows, "a int, b int, c int").select("*", *V.packed(["a", "b", "c"]))
+    assert frame.columns[3:] == ["pair_0", "pair_1"]
+    back = frame.select(*V.unpacked(["a", "b", "c"])).collect()
+    assert sorted(map(tuple, back)) == sorted(tuple(v or 0 for v in r) for r in rows)
+    by_pairs = [tuple(v or 0 for v in r[:3]) for r in frame.orderBy("pair_0", "pair_1").collect()]
+    assert by_pairs == sorted(by_pairs)
+    words = spark.createDataFrame([("x",), ("y",), ("x",)], "gram string")
+    ids = V.numbered(words)
+    texts = spark.createDataFrame([("x", "y"), ("y", "z"), (None, "x")], "p string, q string")
+    numbers = V.coded(texts, ids, ["p", "q"])
+    assert sorted(r["id"] for r in ids.collect()) == [1, 2] and numbers.filter("q IS NULL").count() == 1
+    words_again = V.decoded(numbers, ids, ["p", "q"]).select("p", "q").collect()
+    assert sorted(map(tuple, words_again), key=str) == sorted([("x", "y"), ("y", None), (None, "x")], key=str)
