@@ -428,3 +428,15 @@ def test_words_are_shuffled_as_numbers(spark, words, order, capsys):
     assert by_name["model"].count("RepartitionByExpression [pair_0") == 2
     # A model holds no column that nothing reads.
     assert model.columns == ["n", "gram", "logp", "bow", "weight"]
+
+
+def test_one_broadcast_finds_words_and_their_weights(spark, models, monkeypatch):
+    weights = materialize(S.joint_weights(*models), "weights")
+    broadcast, of = [], S.lookup
+    monkeypatch.setattr(S, "lookup", lambda *a, **k: broadcast.append(a[1].columns) or of(*a, **k))
+    segs = materialize(frame(spark, SCORED), "segs")
+    found = S.model_lookup(segs, weights, broadcast_bytes=9000)
+    assert sum("t0" in c or "gram" in c for c in broadcast) == 1 and broadcast[1:] == [["t1"]]
+    whole = S.model_lookup(segs, weights)
+    assert sorted(found.columns) == sorted(whole.columns)
+    assert sorted(map(repr, found.select(whole.columns).collect())) == sorted(map(repr, whole.collect()))
