@@ -32,7 +32,7 @@ from ..functions.text import (
     suffix_of,
 )
 from ..sources.staging import BROADCAST_BYTES, fits_broadcast, localize, lookup, materialize, row_bytes
-from .vocabulary import coded, decoded, masked_words, numbered, packed, unpacked
+from .vocabulary import coded, decoded, fits_words, masked_words, numbered, packed, unpacked
 
 # Discounts for adjusted counts 1, 2 and 3 or more where an order's own
 # counts do not yield valid ones.
@@ -90,7 +90,7 @@ def sentence_counts(
     and then what is distinct of them by the last two words. All grams of two words or more that
     end in these are in one partition then. Sorted from the last word backwards, those that share
     an ending are neighbours, and each order is counted on the rows of the next longer one. With ``ids``
-    of all words, which fit a broadcast, words are shuffled as numbers, two in a long.
+    of all words, which may be broadcast, words are shuffled as numbers, two in a long.
     """
     words = [f"t{k}" for k in range(order)]
     padded = sentences.select(*by, F.inline(endings(pad_sentence(F.col("words")), order)))
@@ -296,13 +296,14 @@ def train_lm(
     own = [c for c in by if c in vocabulary.columns]
     vocabulary = materialize(vocabulary.select(*own, "tok"), "vocabulary")
     ids = None
-    if fits_broadcast(vocabulary, broadcast_bytes):
-        ids = word_ids(vocabulary.select(F.col("tok").alias("gram")))
+    grams = vocabulary.select(F.col("tok").alias("gram"))
+    if fits_words(grams, broadcast_bytes):
+        ids = word_ids(grams)
     sentences = training_sentences(segs, vocabulary, by, broadcast_bytes)
     adjusted = sentence_counts(sentences, order, by, ids)
     words = _given_words(vocabulary, by) if closed else None
     columns = ["logp", "bow", "weight"]
-    return _written_levels(adjusted, order, fallback, by, broadcast_bytes, columns, words)
+    return _written_levels(adjusted, order, fallback, by, broadcast_bytes, columns, words, ids)
 
 
 def _written_levels(
@@ -313,13 +314,14 @@ def _written_levels(
     broadcast_bytes: int,
     columns: Sequence[str],
     words: DataFrame | None = None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
-    """The ``columns`` of the model of written adjusted counts.
+    """The ``columns`` of the model of written adjusted counts, with ``ids`` of all words if there are.
 
     If the counted size of all orders allows a broadcast, every gram looks up all of its suffixes
     in one pass, without a shuffle. Otherwise all grams are shuffled by their first two words, where
-    their contexts are, and by their last two, where their suffixes are. Words and the contexts of one
-    word are then broadcast if their size allows. Both ways do the same arithmetic.
+    their contexts are, and by their last two, where their suffixes are. The probabilities and contexts
+    of single words are then broadcast if their size allows. Both ways do the same arithmetic.
     """
     tallied = localize(tallies(adjusted, by))  # one row per order and model
     disc = _discounts(tallied, fallback, by)
@@ -340,7 +342,10 @@ def _written_levels(
     if whole:
         higher = _chained(terms, contexts, seen, order, by)
     else:
-        higher = _shuffled(adjusted, disc, of_words, seen, order, by, few)
+        single = adjusted.filter(F.col("n") == 1)
+        if ids is None and fits_words(single, broadcast_bytes):
+            ids = word_ids(single)
+        higher = _shuffled(adjusted, disc, of_words, seen, order, by, few, ids)
     return materialize(rows.unionByName(higher).select(*by, "n", "gram", *columns), "model")
 
 
@@ -352,6 +357,7 @@ def _shuffled(
     order: int,
     by: Sequence[str],
     few: bool,
+    ids: DataFrame | None,
 ) -> DataFrame:
     """The model rows of all orders above the first, from two shuffles of the grams.
 
@@ -359,8 +365,10 @@ def _shuffled(
     gram. Sorted by their words they are neighbours there: each gram gets the counts of its context
     and, if it is one, its own. Then all suffixes of two words or more share the last two words, and
     are neighbours when sorted from the last word backwards: each gram gets the terms of its
-    suffixes. ``contexts`` of one word and ``unigrams`` are joined, as broadcasts if they are ``few``.
-    Words are shuffled as numbers then, two in a long, and are put back at the end.
+    suffixes. ``contexts`` of one word and ``unigrams`` are broadcast if they are ``few``. Otherwise
+    they are joined to the grams of two words alone: only these have such a context, and each suffix of
+    two words is in the second shuffle, where the others get its last word's probability from it. With
+    ``ids`` of all words, words are shuffled as numbers, two in a long, and are put back at the end.
     """
     first, last = [f"w{k}" for k in range(1, order + 1)], [f"t{k}" for k in range(order)]
     parts = F.split("gram", " ")
@@ -368,15 +376,21 @@ def _shuffled(
         *by, F.col("n").cast("int").alias("n"), "a", *[F.get(parts, F.lit(k)).alias(w) for k, w in enumerate(first)]
     )
     start, end = first[:2], last[:2]
-    if few:
+    along = [] if few else ["s_1", "b_1", "p_1"]
+    if not few:
+        context = contexts.select(*by, F.col("ctx").alias("w1"), F.col("s").alias("s_1"), F.col("b").alias("b_1"))
+        word = unigrams.select(*by, F.col("gram").alias("w2"), F.col("p").alias("p_1"))
+        pairs = rows.filter(F.col("n") == 2).join(context, [*by, "w1"]).join(word, [*by, "w2"])
+        rows = rows.filter(F.col("n") > 2).unionByName(pairs, allowMissingColumns=True)
+    if ids is not None:
         start = end = ["pair_0"]
-        ids = word_ids(adjusted.filter(F.col("n") == 1))
-        rows = coded(rows, ids, first).select(*by, "a", *packed([*first, "n"]))
-        contexts = coded(contexts, ids, ["ctx"])
-        unigrams = coded(unigrams, ids, ["gram"])
+        rows = coded(rows, ids, first).select(*by, "a", *along, *packed([*first, "n"]))
+        if few:
+            contexts = coded(contexts, ids, ["ctx"])
+            unigrams = coded(unigrams, ids, ["gram"])
     rows = rows.repartition(*by, *start)
-    if few:
-        rows = rows.select(*by, "a", *start, *unpacked([*first, "n"]))
+    if ids is not None:
+        rows = rows.select(*by, "a", *along, *start, *unpacked([*first, "n"]))
     for m in range(order - 1, 1, -1):
         of = W.partitionBy(*by, *start, *first[2:m])
         a = F.when(F.col("n") == m + 1, F.col("a"))  # of the grams whose context has these m words
@@ -393,8 +407,9 @@ def _shuffled(
     above = disc.select(*by, (F.col("n") - 1).alias("n"), *[F.col(f"d{k}").alias(f"e{k}") for k in (1, 2, 3)])
     # bounded: one row per order and model
     rows = _with_discounts(rows, disc, by).join(F.broadcast(above), [*by, "n"], "left")
-    one = contexts.select(*by, F.col("ctx").alias("w1"), F.col("s").alias("s_1"), F.col("b").alias("b_1"))
-    rows = lookup(rows, one, [*by, "w1"], broadcast=few)
+    if few:
+        one = contexts.select(*by, F.col("ctx").alias("w1"), F.col("s").alias("s_1"), F.col("b").alias("b_1"))
+        rows = lookup(rows, one, [*by, "w1"], broadcast=True)
     s, b, own = F.col("s_1"), F.col("b_1"), F.lit(None).cast("double")
     for m in range(2, order):
         s = F.when(F.col("n") == m + 1, F.col(f"s_{m}")).otherwise(s)
@@ -403,12 +418,13 @@ def _shuffled(
     discount = F.when(F.col("a") == 1, F.col("d1")).when(F.col("a") == 2, F.col("d2"))
     rest = F.col("a") - discount.otherwise(F.col("d3"))
     backwards = [F.get(F.array(*first), F.col("n") - 1 - k).alias(t) for k, t in enumerate(last)]
-    rows = rows.select(*by, "n", *backwards, (rest / s).alias("share"), b.alias("b"), own.alias("own"))
-    if few:
-        rows = rows.select(*by, "share", "b", "own", *packed([*last, "n"]))
+    along = along[2:]
+    rows = rows.select(*by, "n", *backwards, (rest / s).alias("share"), b.alias("b"), own.alias("own"), *along)
+    if ids is not None:
+        rows = rows.select(*by, "share", "b", "own", *along, *packed([*last, "n"]))
     rows = rows.repartition(*by, *end)
-    if few:
-        rows = rows.select(*by, "share", "b", "own", *end, *unpacked([*last, "n"]))
+    if ids is not None:
+        rows = rows.select(*by, "share", "b", "own", *along, *end, *unpacked([*last, "n"]))
     low = F.col("p_1")
     for k in range(order - 1, 1, -1):
         of = W.partitionBy(*by, *end, *last[2:k])
@@ -417,9 +433,13 @@ def _shuffled(
     for k in range(2, order):
         longer = F.col("n") > k
         low = F.when(longer, F.col(f"share_{k}") + F.col(f"b_{k}") * low).otherwise(low)
-    words = unigrams.select(*by, F.col("gram").alias("t0"), F.col("p").alias("p_1"))
-    rows = lookup(rows, words, [*by, "t0"], broadcast=few).withColumn("low", low)
     if few:
+        words = unigrams.select(*by, F.col("gram").alias("t0"), F.col("p").alias("p_1"))
+        rows = lookup(rows, words, [*by, "t0"], broadcast=True)
+    elif order > 2:
+        rows = rows.withColumn("p_1", F.max("p_1").over(W.partitionBy(*by, *end)))
+    rows = rows.withColumn("low", low)
+    if ids is not None:
         rows = decoded(rows, ids, last)
     rows = rows.withColumn("p", F.col("share") + F.col("b") * F.col("low"))
     bow = F.coalesce(F.log10("own"), F.lit(0.0))

@@ -53,7 +53,7 @@ from ..sources.staging import (
     materialize,
     spread,
 )
-from .vocabulary import coded, numbered, packed, unpacked
+from .vocabulary import buckets, coded, fits_words, found_in, numbered, packed, unpacked
 
 SCALE = 6
 UNIT = float(1 << 40)  # units of a weight
@@ -240,10 +240,9 @@ def _coded_endings(
 ) -> DataFrame:
     """``segment_endings`` of the known tokens as numbers, up to the first unknown word before each."""
     # A token counts by the words of its own side.
-    own = words.select(*by, F.col("gram").alias("t0"), "id")
-    rows = lookup(segment_endings(segs, order, by), own, [*by, "t0"], broadcast=True)
+    rows = found_in(segment_endings(segs, order, by), buckets(words, "gram", ["id"], by), "t0")
     before = [f"t{k}" for k in range(1, order)]
-    rows = coded(rows.drop("t0").withColumnRenamed("id", "t0"), ids, before)
+    rows = coded(rows.filter(F.col("found_id").isNotNull()).withColumnRenamed("found_id", "t0"), ids, before)
     known = F.lit(True)
     for name in before:
         known = known & F.col(name).isNotNull()
@@ -272,7 +271,7 @@ def paired_weights(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """The rows of ``position_weights`` for models beyond a broadcast. ``words``, the written joint
-    weights of single words, are broadcast.
+    weights of single words, are broadcast in ``buckets``.
 
     All model grams that end at a token share its last two words. So tokens, with the words before
     them as numbers, two in a long, and the grams of both models go through one shuffle by the last two.
@@ -282,7 +281,7 @@ def paired_weights(
     these are, which decides on the place of rows only.
     """
     ids = numbered(words)
-    words = materialize(words.join(F.broadcast(ids), "gram"), "word-ids")
+    words = materialize(coded(words.withColumn("id", F.col("gram")), ids, ["id"]), "word-ids")
     names = [f"t{k}" for k in range(order)]
     key = [*by, "t0", "t1"]
     hot = _frequent_pairs(
@@ -325,11 +324,10 @@ def paired_weights(
         found = [F.coalesce(f"{tag}_{n}", F.lit(0).cast("long")) for n in range(2, order + 1)]
         weights.append(reduce(lambda x, y: x + y, found).alias(f"longer_{tag}"))
     rows = rows.select(*by, "seg_id", "positions", "t0", *weights)
-    single = words.select(*by, F.col("id").alias("t0"), "w_s", "w_g", "known_s", "known_g")
-    sums = [(F.col(f"w_{tag}") + F.col(f"longer_{tag}")).alias(f"w_{tag}") for tag in models]
-    return lookup(rows, single, [*by, "t0"], broadcast=True).select(
-        *by, "seg_id", "positions", *sums, "known_s", "known_g"
-    )
+    single = buckets(words, "id", [f"{c}_{tag}" for c in ("w", "known") for tag in models], by)
+    sums = [(F.col(f"found_w_{tag}") + F.col(f"longer_{tag}")).alias(f"w_{tag}") for tag in models]
+    known = [F.col(f"found_known_{tag}").alias(f"known_{tag}") for tag in models]
+    return found_in(rows, single, "t0").select(*by, "seg_id", "positions", *sums, *known)
 
 
 def wide_sums(*weights: str) -> list[Column]:
@@ -373,7 +371,7 @@ def score_lm(
     words = materialize(joint_weights(*single, by, unknown), "word-weights")
     # A gram is in both models at most: what is beyond twice the limit is not worth joining.
     both = reduce(DataFrame.unionByName, [model.select(*by, "n", "gram") for model in models.values()])
-    paired = not fits_broadcast(both, 2 * broadcast_bytes) and fits_broadcast(words, broadcast_bytes)
+    paired = not fits_broadcast(both, 2 * broadcast_bytes) and fits_words(words, broadcast_bytes)
     whole = False
     if paired:
         found = paired_weights(segs, models, words, order, by).withColumn("n", F.lit(1))

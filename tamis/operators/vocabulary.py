@@ -7,6 +7,7 @@ a model name); every step then works on all their combinations in one pass.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,25 +142,90 @@ HALF = 31
 
 
 def numbered(words: DataFrame) -> DataFrame:
-    """``gram, id``: a number from 1 for each distinct word of a table that fits a broadcast; written."""
+    """``gram, id``: a number from 1 for each distinct word of a table that ``fits_words``; written."""
     distinct = words.select("gram").distinct().coalesce(1)
     number = (F.monotonically_increasing_id() + 1).cast("int").alias("id")
     return materialize(distinct.select("gram", number), "ids")
 
 
+# Words of one row of a table of words that is broadcast, and what a word costs there beside its
+# string: its share of the row's headers and key, a mark, a number, two weights, whether two models have it.
+PER_BUCKET = 32
+WORD_BYTES = 40
+
+
+def fits_words(words: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the words in ``gram`` of a written table may be broadcast in ``buckets``, by counting
+    them. They may take twice the limit, as little else is broadcast with them."""
+    padded = F.ceil(F.octet_length("gram") / 8) * 8
+    total = words.agg(F.sum(padded + F.lit(WORD_BYTES))).first()[0]
+    return (total or 0) <= 2 * limit
+
+
+class Buckets(NamedTuple):
+    """A table of which each row holds the arrays of some ``PER_BUCKET`` keys and of their values."""
+
+    frame: DataFrame
+    key: str
+    values: tuple[str, ...]
+    by: tuple[str, ...]
+    number: int
+
+    def of(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.number)).cast("int").alias("bucket")
+
+    def place(self, key: str) -> Column:
+        """Where the arrays have the key, from 0. Strings are searched by their marks, and by themselves
+        if another one has the same mark."""
+        keys, value = F.col(f"all_{self.key}"), F.col(key)
+        place = F.array_position(keys, value).cast("int") - 1
+        if "mark" not in self.values:
+            return place
+        marked = F.array_position("all_mark", mark(key)).cast("int") - 1
+        return F.when((marked < 0) | (F.get(keys, marked) == value), marked).otherwise(place)
+
+
+def mark(word: str) -> Column:
+    """A part of the word's hash that its bucket does not follow from."""
+    return F.shiftright(F.xxhash64(word), 32).cast("int")
+
+
+def buckets(table: DataFrame, key: str, values: Sequence[str], by: Sequence[str] = ()) -> Buckets:
+    """A written table that has each key once, ready to be broadcast: a row per key would take
+    several times the memory for its headers."""
+    if table.schema[key].dataType.typeName() == "string":
+        table, values = table.withColumn("mark", mark(key)), [*values, "mark"]
+    dealt = Buckets(table, key, tuple(values), tuple(by), max(1, table.count() // PER_BUCKET))
+    entries = F.array_sort(F.collect_set(F.struct(key, *values))).alias("entries")
+    rows = table.groupBy(*by, dealt.of(key)).agg(entries)
+    arrays = [F.col(f"entries.{c}").alias(f"all_{c}") for c in (key, *values)]
+    return dealt._replace(frame=rows.select(*by, "bucket", *arrays))
+
+
+def found_in(rows: DataFrame, table: Buckets, name: str) -> DataFrame:
+    """The rows with the values of the key in column ``name``, which is dropped; null where there is
+    no such key."""
+    others = [c for c in rows.columns if c != name]
+    joined = rows.withColumn("bucket", table.of(name)).join(
+        F.broadcast(table.frame), [*table.by, "bucket"], "left"
+    )
+    found = [F.get(f"all_{c}", table.place(name)).alias(f"found_{c}") for c in table.values if c != "mark"]
+    return joined.select(*others, *found)
+
+
 def coded(rows: DataFrame, ids: DataFrame, names: Sequence[str]) -> DataFrame:
     """The words in the columns ``names`` replaced by their numbers; null for any other word."""
+    table = buckets(ids, "gram", ["id"])
     for name in names:
-        found = F.broadcast(ids.select(F.col("gram").alias(name), F.col("id").alias("code")))
-        rows = rows.join(found, name, "left").drop(name).withColumnRenamed("code", name)
+        rows = found_in(rows, table, name).withColumnRenamed("found_id", name)
     return rows
 
 
 def decoded(rows: DataFrame, ids: DataFrame, names: Sequence[str]) -> DataFrame:
     """The numbers in the columns ``names`` replaced by their words; null for none."""
+    table = buckets(ids, "id", ["gram"])
     for name in names:
-        found = F.broadcast(ids.select(F.col("id").alias(name), F.col("gram").alias("word")))
-        rows = rows.join(found, name, "left").drop(name).withColumnRenamed("word", name)
+        rows = found_in(rows, table, name).withColumnRenamed("found_gram", name)
     return rows
 
 

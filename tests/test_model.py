@@ -430,6 +430,24 @@ def test_words_are_shuffled_as_numbers(spark, words, order, capsys):
     assert model.columns == ["n", "gram", "logp", "bow", "weight"]
 
 
+def test_words_beyond_a_broadcast_of_rows_go_as_numbers(spark, words, models, monkeypatch):
+    # 3,000 bytes: less than a row for each word takes, more than buckets of words do
+    plans, written, used, paired = [], M.materialize, [], S.paired_weights
+    monkeypatch.setattr(S, "paired_weights", lambda *a: used.append(1) or paired(*a))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(
+            M, "materialize", lambda df, name, *a: plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())) or written(df, name, *a)
+        )
+        model = M.train_lm(frame(spark, SPECIFIC), words, broadcast_bytes=3000)
+    by_name = dict(plans)
+    assert "RepartitionByExpression [pair_0" in by_name["adjusted"]
+    assert by_name["model"].count("RepartitionByExpression [pair_0") == 2
+    assert sorted(map(repr, model.collect())) == sorted(map(repr, models[0].collect()))
+    segs = materialize(frame(spark, SCORED), "segs")
+    found, whole = (S.score_lm(segs, *models, broadcast_bytes=limit).collect() for limit in (3000, 1 << 28))
+    assert used == [1] and sorted(found) == sorted(whole)
+
+
 def test_one_broadcast_finds_words_and_their_weights(spark, models, monkeypatch):
     weights = materialize(S.joint_weights(*models), "weights")
     broadcast, of = [], S.lookup

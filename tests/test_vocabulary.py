@@ -151,3 +151,26 @@ def test_numbers_of_words_are_packed(spark):
     assert sorted(r["id"] for r in ids.collect()) == [1, 2] and numbers.filter("q IS NULL").count() == 1
     words_again = V.decoded(numbers, ids, ["p", "q"]).select("p", "q").collect()
     assert sorted(map(tuple, words_again), key=str) == sorted([("x", "y"), ("y", None), (None, "x")], key=str)
+
+
+@pytest.mark.parametrize("few_marks", [False, True])
+def test_words_are_found_in_buckets(spark, monkeypatch, few_marks):
+    from pyspark.sql import functions as F
+
+    if few_marks:  # words that share their mark are told apart
+        monkeypatch.setattr(V, "mark", lambda word: F.pmod(F.xxhash64(word), F.lit(3)).cast("int"))
+    words = spark.createDataFrame([(s, f"w{i}", i) for s in "ab" for i in range(200) if s == "a" or i % 2], "side string, gram string, id int")
+    table = V.buckets(words, "gram", ["id"], ["side"])
+    assert table.frame.count() <= 2 * 350 // V.PER_BUCKET
+    rows = [(s, w) for s in "abc" for w in [*(f"w{i}" for i in range(250)), None, ""]]
+    found = V.found_in(spark.createDataFrame(rows, "side string, w string").withColumn("k", F.col("w")), table, "w").collect()
+    known = {(r["side"], r["gram"]): r["id"] for r in words.collect()}
+    assert len(found) == len(rows) and all(r["found_id"] == known.get((r["side"], r["k"])) for r in found)
+
+
+def test_words_in_buckets_fit_where_rows_of_words_do_not(spark):
+    from tamis.sources.staging import fits_broadcast
+
+    words = spark.createDataFrame([(f"word{i}",) for i in range(1000)], "gram string")
+    assert V.fits_words(words, 50_000) and not fits_broadcast(words, 50_000)
+    assert not V.fits_words(words, 20_000)
