@@ -190,9 +190,14 @@ def mark(word: str) -> Column:
     return F.shiftright(F.xxhash64(word), 32).cast("int")
 
 
-def buckets(table: DataFrame, key: str, values: Sequence[str], by: Sequence[str] = ()) -> Buckets:
+def buckets(
+    table: DataFrame, key: str, values: Sequence[str], by: Sequence[str] = (), limit: int = BROADCAST_BYTES
+) -> Buckets:
     """A written table that has each key once, ready to be broadcast: a row per key would take
-    several times the memory for its headers."""
+    several times the memory for its headers. Where that fits the limit, rows are kept, which are
+    found faster, and the number of buckets is 0."""
+    if fits_broadcast(table, limit):
+        return Buckets(table, key, tuple(values), tuple(by), 0)
     if table.schema[key].dataType.typeName() == "string":
         table, values = table.withColumn("mark", mark(key)), [*values, "mark"]
     dealt = Buckets(table, key, tuple(values), tuple(by), max(1, table.count() // PER_BUCKET))
@@ -206,6 +211,10 @@ def found_in(rows: DataFrame, table: Buckets, name: str) -> DataFrame:
     """The rows with the values of the key in column ``name``, which is dropped; null where there is
     no such key."""
     others = [c for c in rows.columns if c != name]
+    if not table.number:
+        values = [F.col(c).alias(f"found_{c}") for c in table.values]
+        found = F.broadcast(table.frame.select(*table.by, F.col(table.key).alias(name), *values))
+        return rows.join(found, [*table.by, name], "left").drop(name)
     joined = rows.withColumn("bucket", table.of(name)).join(
         F.broadcast(table.frame), [*table.by, "bucket"], "left"
     )
