@@ -458,3 +458,77 @@ def test_one_broadcast_finds_words_and_their_weights(spark, models, monkeypatch)
     whole = S.model_lookup(segs, weights)
     assert sorted(found.columns) == sorted(whole.columns)
     assert sorted(map(repr, found.select(whole.columns).collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_grams_of_numbers_are_walked_over_without_windows(spark, words, models, monkeypatch):
+    plans, of = {}, M.materialize
+
+    def kept(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return of(df, name, *rest)
+
+    monkeypatch.setattr(M, "materialize", kept)
+    monkeypatch.setattr(S, "materialize", kept)
+    M.train_lm(frame(spark, SPECIFIC), words, broadcast_bytes=3000)
+    S.score_lm(materialize(frame(spark, SCORED), "segs"), *models, broadcast_bytes=3000)
+    for name in ("adjusted", "model", "sums"):
+        assert "MapInArrow" in plans[name] and "Window" not in plans[name]
+    # Texts are not shuffled to be masked, and a model is told by a number.
+    assert "RepartitionByExpression" not in plans["sentences"] and "Aggregate" not in plans["sentences"]
+
+
+def test_numbered_texts_in_pieces(spark, models, monkeypatch):
+    texts = SCORED + CUT + ["", None, " \t ", "<s> w1 </s> <unk>", "w1 w2 w3 " * 40, "\x1cw1\x85w2\u2003w3\u200bw4"]
+    segs = materialize(frame(spark, texts), "segs")
+    whole = sorted(S.score_lm(segs, *models, broadcast_bytes=1 << 28).collect())
+    monkeypatch.setattr(S, "SHORT_BYTES", 0)
+    monkeypatch.setattr(S, "cuts", lambda text, order, size, cut=S.cuts: cut(text, order, size, 7))
+    monkeypatch.setattr(S, "pieces", lambda text, of=S.pieces: of(text, 7))
+    found = sorted(S.score_lm(segs, *models, broadcast_bytes=3000).collect())
+    assert len(found) == len(texts) and found == whole
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_what_ends_with_a_table_goes_on_in_the_next(order, monkeypatch):
+    """Grams and tokens in their order, a few rows at a time, with a frequent pair that is dealt out."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tamis.operators import coded
+
+    rng = random.Random(order)
+    names = ["<s>", "</s>", *(f"w{k}" for k in range(5))]
+    own = {"gram": names, "id": list(range(1, 8)), "w_s": [3] * 7, "w_g": [5] * 7, "known_s": [1] * 7, "known_g": [0] * 7}
+
+    class Known:
+        value = coded.Words(pa.table(own))
+
+    texts = [" ".join(rng.choices([*names[2:], "x"], k=30)) for _ in range(20)]
+    every = {" ".join(t[k : k + n]) for text in texts for t in [["<s>", *text.split(), "</s>"]] for n in range(2, order + 1) for k in range(33 - n)}
+    known = sorted(g for g in every if "x" not in g)
+    grams = [rng.sample(known, len(known) // 2) for _ in range(2)]
+    weights = [{g: rng.randrange(1, 1000) for g in of} for of in grams]
+    hot = [(0, (3 << 31) | 4), (0, (5 << 31) | 5)]
+    pieces = pa.RecordBatch.from_pydict(
+        {"seg_id": list(range(20)), "text": texts, "before": [""] * 20, "first": [True] * 20, "last": [True] * 20, "rest": [0] * 20}
+    )
+    rows = list(coded.segment_tokens(Known, order, hot, 32)(iter([pieces])))
+    for tag, of in enumerate(weights):
+        batch = pa.RecordBatch.from_pydict({"n": [len(g.split()) for g in of], "gram": list(of), "w": [float(w) for w in of.values()]})
+        rows += coded.model_grams(Known, order, tag, hot, 32)(iter([batch]))
+    names = coded.columns(order)
+    table = pa.Table.from_batches(rows).sort_by([(c, "ascending") for c in names[:-1]])
+    expected = {}
+    for seg_id, text in enumerate(texts):
+        tokens = ["<s>", *text.split(), "</s>"]
+        found = [" ".join(tokens[k : k + n]) for n in range(2, order + 1) for k in range(len(tokens) - n + 1)]
+        words = sum(t != "x" for t in tokens)
+        expected[seg_id] = [w * words + sum(of.get(g, 0) for g in found) for w, of in zip((3, 5), weights)]
+    for size in (2, 7, 1 << 18):
+        monkeypatch.setattr(coded, "CHUNK", size)
+        found = pa.Table.from_batches(coded.found_weights(order, 32)(iter(table.to_batches(max_chunksize=3)))).to_pylist()
+        sums = {seg_id: [0, 0] for seg_id in range(20)}
+        for r in found:
+            if r["kind"] == coded.WEIGHTS:
+                sums[r["seg_id"]] = list(np.add(sums[r["seg_id"]], [r["high"], r["low"]]))
+        assert sums == expected
