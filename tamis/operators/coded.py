@@ -23,7 +23,7 @@ from .vocabulary import HALF
 
 LOW = (1 << HALF) - 1
 # Rows or tokens that a task works on at once.
-CHUNK = 1 << 18
+CHUNK = 1 << 17
 # So many weights of 2^49 units at most are added up in a long.
 RUN = 1 << 12
 # Kinds of the rows of a segment, in the place of a pair of words: its weights, and its counts.

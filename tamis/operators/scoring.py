@@ -62,6 +62,7 @@ UNIT = float(1 << 40)  # units of a weight
 LIMB = 30  # bits of the lower part of a sum of weights
 SKETCHED = 16  # one of so many segments shows which pairs of words are frequent
 SHORT_BYTES = 1 << 16  # a text beyond this goes to Python in pieces
+NO_ID = -1 << 63  # stands for a null seg_id
 SALTS = 32  # places that the rows of a frequent pair of words are dealt out to
 
 
@@ -268,7 +269,8 @@ def paired_weights(
     known = coded.shared(words.select(*by, "gram", "w_s", "w_g", "known_s", "known_g"), by)
     columns = coded.columns(order)
     schema = ", ".join(f"{c} long" for c in columns)
-    texts = segs.select(*by, F.col("seg_id").cast("long").alias("seg_id"), F.coalesce("text", F.lit("")).alias("text"))
+    seg_id = F.coalesce(F.col("seg_id").cast("long"), F.lit(NO_ID)).alias("seg_id")
+    texts = segs.select(*by, seg_id, F.coalesce("text", F.lit("")).alias("text"))
 
     def tokens(of: DataFrame, hot: Sequence[tuple[int, int]]) -> DataFrame:
         parts = of.select(*by, "seg_id", "text", *cuts(F.col("text"), order, SHORT_BYTES))
@@ -298,7 +300,7 @@ def paired_weights(
     low_half = (1 << HALF) - 1
     return found.select(
         *values,
-        "seg_id",
+        F.when(F.col("seg_id") != NO_ID, F.col("seg_id")).cast(segs.schema["seg_id"].dataType).alias("seg_id"),
         F.when(F.col("kind") == coded.COUNTS, F.shiftright("high", HALF)).alias("positions"),
         of(coded.WEIGHTS, F.col("high")).alias("w_s"),
         of(coded.WEIGHTS, F.col("low")).alias("w_g"),

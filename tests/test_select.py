@@ -261,3 +261,17 @@ def test_plan_of_training_samples_and_ranks(spark, smallest):
     best = R.attach_ranks(flat, R.rank_ids(flat, scores, top=5), 5)
     final = plan_of(best)
     assert "SortMergeJoin" not in final and "BroadcastHashJoin" in final
+
+
+def test_general_documents_are_not_shuffled(spark, tmp_path):
+    """Documents labelled twice, without a language or an id, and ids that occur twice."""
+    docs = [(1, "a", "fr"), (2, "b", "de"), (3, "c", None), (4, "d", "fr"), (None, "e", "fr"), (2, "f", "fr"), (5, "g", None)]
+    labels = [(1, 1), (2, 1), (2, 1), (3, 1), (None, 1), (4, 0), (2, 0)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = documents(spark, str(tmp_path))
+    texts = [sorted(r["src"] for r in rows.collect()) for rows in found]
+    assert texts == [["b", "b", "d", "e", "g"], ["a", "f"]]
+    for rows in found:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
