@@ -121,6 +121,25 @@ def test_more_sources_than_have_a_group_are_mixed_as_one(spark, monkeypatch):
     assert check(found, 4) == expected_groups(rows, WEIGHTS, 2, 4, pooled=True)
 
 
+@pytest.mark.parametrize("block_rows", [1, 4])
+def test_sources_of_one_group_take_turns(spark, monkeypatch, block_rows):
+    """More sources than have a group: each keeps within a block of its share of the group's rows."""
+    monkeypatch.setattr("tamis.llm.mixing.OWN_SOURCES", 3)
+    rows = mixed_rows()
+    found = mix(documents(spark, rows), "source", ["doc_id"], WEIGHTS, 2, block_rows).collect()
+    pooled = [r for r in sorted(found, key=lambda r: r.position) if r.mix_group is None]
+    of = {}
+    for i, _, name in sorted(rows):
+        if name not in WEIGHTS:
+            of.setdefault(name, []).append(i)
+    expected = sorted((at // block_rows, name is None, name or "", i) for name, ids in of.items() for at, i in enumerate(ids))
+    assert len(of) == 4 and [r.doc_id for r in pooled] == [i for *_, i in expected]
+    stop = len(of) * (min(map(len, of.values())) // block_rows) * block_rows  # while all sources have blocks
+    for t in range(0, stop, block_rows):
+        had = [sum(r.source == name for r in pooled[:t]) for name in of]
+        assert all(abs(n - Fraction(t, len(of))) < block_rows for n in had)
+
+
 def test_odd_rows(odd):
     found = op10_mixing(odd).collect()
     assert len(found) == len(ODD)
