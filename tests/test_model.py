@@ -473,8 +473,15 @@ def test_grams_of_numbers_are_walked_over_without_windows(spark, words, models,
     S.score_lm(materialize(frame(spark, SCORED), "segs"), *models, broadcast_bytes=3000)
     for name in ("adjusted", "model", "sums"):
         assert "MapInArrow" in plans[name] and "Window" not in plans[name]
-    # Texts are not shuffled to be masked, and a model is told by a number.
-    assert "RepartitionByExpression" not in plans["sentences"] and "Aggregate" not in plans["sentences"]
+    # What is shuffled for a sentence are the numbers of its words.
+    assert plans["sentences"].index("Aggregate") < plans["sentences"].index("MapInArrow")
+
+
+def test_one_sentence_for_each_id(spark, words):
+    segs = frame(spark, SPECIFIC)
+    twice = materialize(segs.unionByName(segs.filter("seg_id % 3 = 0")), "segs")
+    for limit in (3000, 1 << 28):
+        check_model(M.train_lm(twice, words, broadcast_bytes=limit), SPECIFIC)
 
 
 def test_numbered_texts_in_pieces(spark, models, monkeypatch):
